@@ -212,10 +212,268 @@ def with_staging(body: str, *extra_ctes: str, match: str = "substring") -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
-SALARY_CELLS = _salary_cells_ctes
+def _in(values) -> str:
+    return "(" + ", ".join(q(v) for v in values) + ")"
+
+
+def _label_case(mapping: dict[str, str], col: str) -> str:
+    parts = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())
+    return f"coalesce(CASE {col} {parts} END, {col})"
+
+
+SKILL_DEMAND = f"""
+fam_tot AS (SELECT role_family, count(*) AS n_total FROM postings GROUP BY role_family),
+fam_skill AS (
+  SELECT s.role_family, h.skill, count(*) AS n
+  FROM (SELECT DISTINCT * FROM skill_hits) h JOIN staged s USING (posting_id) GROUP BY s.role_family, h.skill),
+skill_demand AS (
+  SELECT DATE '{SNAPSHOT}' AS snapshot_date, f.role_family, f.skill, CAST(f.n AS INT) AS n_postings,
+         round_even(CAST(f.n AS DOUBLE) / CAST(t.n_total AS DOUBLE), 4) AS share_of_postings
+  FROM fam_skill f JOIN fam_tot t USING (role_family))
+"""
+
+ACTIVITY = f"""
+act_base AS (
+  SELECT company_canonical,
+         CASE WHEN role_family IN {_in(DATA_AI_FAMILIES)} THEN 1 ELSE 0 END AS is_data_ai,
+         (CAST(salary_monthly_low AS DOUBLE) + CAST(salary_monthly_high AS DOUBLE)) / 2 AS mid
+  FROM postings),
+{percentile_ctes("act_med", "act_base", ["company_canonical"], "mid", [0.5])},
+activity AS (
+  SELECT DATE '{SNAPSHOT}' AS snapshot_date, a.company_canonical AS name_canonical,
+         CAST(count(*) AS INT) AS n_postings, CAST(sum(a.is_data_ai) AS INT) AS n_data_ai,
+         CAST(round_even(max(m.q0), 0) AS INT) AS median_monthly
+  FROM act_base a LEFT JOIN act_med m USING (company_canonical) GROUP BY a.company_canonical),
+activity_named AS (
+  SELECT a.snapshot_date, a.name_canonical, c.headcount_band, c.industry, a.n_postings, a.n_data_ai, a.median_monthly
+  FROM activity a LEFT JOIN companies c USING (name_canonical))
+"""
+
+RAW = """
+raw AS (
+  SELECT source, posting_id AS source_post_id, fetched_at, min(seq) AS raw_id, count(*) AS n_fetches,
+         arg_min(skills_delim, seq) AS hints
+  FROM valid GROUP BY source, posting_id, fetched_at)
+"""
+
+
+def _week(col: str) -> str:
+    return f"CAST(date_trunc('week', {col}) + INTERVAL 6 DAY AS DATE)"
+
+
+def _pct_outputs(quantiles_names) -> str:
+    return ", ".join(f"p.q{i} AS {n}" for i, n in enumerate(quantiles_names))
+
+
+# Required (NOT NULL) columns per table, as (table, column, oracle CTE, oracle expression).
+def _not_null_rows():
+    from ..schemas import TABLE_RULES
+    cte = {"raw_postings": "raw", "companies": "companies", "postings": "postings",
+           "salary_by_role": "salary_cells", "skill_demand": "skill_demand", "company_activity": "activity"}
+    alias = {
+        ("raw_postings", "payload"): "hints",
+        ("companies", "company_id"): "name_canonical",
+        ("postings", "company_id"): "company_canonical",
+        ("company_activity", "company_id"): "name_canonical",
+    }
+    rows = []
+    for t, rule in TABLE_RULES.items():
+        for c, (_, req) in rule["columns"].items():
+            if req:
+                rows.append((t, c, cte[t], alias.get((t, c), c)))
+    return rows
+
+
+def _keys_rows():
+    cte = {"raw_postings": "raw", "companies": "companies", "postings": "postings",
+           "salary_by_role": "salary_cells", "skill_demand": "skill_demand", "company_activity": "activity"}
+    from ..schemas import TABLE_RULES
+    rename = {("companies", "company_id"): "name_canonical", ("company_activity", "company_id"): "name_canonical"}
+    rows = []
+    for t, rule in TABLE_RULES.items():
+        for key in [rule["key"]] + rule.get("unique", []):
+            cols = [rename.get((t, k), k) for k in key]
+            rows.append((t, ",".join(key), cte[t], cols))
+    return rows
 
 
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
-    o["salary_cells_exact"] = with_staging("SELECT * FROM salary_cells", _salary_cells_ctes())
+    cells = _salary_cells_ctes()
+    o["required_fields"] = with_staging("SELECT seq, posting_id, source, fetched_at FROM valid")
+    o["postings_staged"] = with_staging("SELECT * FROM postings")
+    o["companies_dim"] = with_staging(
+        "SELECT name_canonical, name_raw, headcount_band, headcount_est, industry, first_seen_at, last_seen_at FROM companies"
+    )
+    o["raw_dedup"] = with_staging("SELECT * FROM raw", RAW)
+    o["latest_hints"] = with_staging(
+        "SELECT l.posting_id, l.source, h.hints_delim AS hints FROM last_row l LEFT JOIN hints h USING (source, posting_id)"
+    )
+    o["midpoint"] = (
+        f"WITH fx AS ({FEED}) SELECT seq, (CAST(salary_monthly_low AS DOUBLE) + CAST(salary_monthly_high AS DOUBLE)) / 2 AS midpoint FROM fx"
+    )
+    o["role_classify"] = (
+        f"WITH fx AS ({FEED}) SELECT seq, role_raw, {role_case('role_raw', 'role_canonical')} AS role_canonical, "
+        f"{role_case('role_raw', 'role_family')} AS role_family FROM fx"
+    )
+    o["seniority_classify"] = (
+        f"WITH fx AS ({FEED}) SELECT seq, role_raw, experience_years_min, "
+        f"{seniority_case('role_raw', 'experience_years_min')} AS seniority FROM fx"
+    )
+    o["company_canonical"] = (
+        f"WITH fx AS ({FEED}) SELECT seq, company_name, {company_case('company_name')} AS name_canonical FROM fx"
+    )
+    o["skills_from_hints"] = f"""WITH fx AS ({FEED}),
+h AS (SELECT DISTINCT s.seq, tax.skill
+      FROM (SELECT seq, lower(trim(unnest(string_split(skills_delim, '|')))) AS hint FROM fx) s
+      JOIN {taxonomy_values()} ON tax.surface = s.hint),
+agg AS (SELECT seq, string_agg(skill, '|' ORDER BY skill) AS skills FROM h GROUP BY seq)
+SELECT f.seq, coalesce(a.skills, '') AS skills FROM fx f LEFT JOIN agg a USING (seq)"""
+    o["skills_from_text"] = f"""WITH fx AS ({FEED}),
+hay AS (SELECT seq, {haystack("coalesce(role_raw, '') || ' ' || coalesce(description_excerpt, '')")} AS hay FROM fx),
+h AS (SELECT DISTINCT hay.seq, tax.skill FROM hay JOIN {taxonomy_values()} ON contains(hay.hay, tax.pattern)),
+agg AS (SELECT seq, string_agg(skill, '|' ORDER BY skill) AS skills FROM h GROUP BY seq)
+SELECT f.seq, coalesce(a.skills, '') AS skills FROM fx f LEFT JOIN agg a USING (seq)"""
+    o["skills_extract"] = with_staging("SELECT posting_id, skills FROM postings")
+    o["skills_extract_token"] = with_staging("SELECT posting_id, skills FROM postings", match="token")
+    o["skills_theta_join"] = f"""WITH d AS (SELECT doc_id, {haystack("text")} AS hay FROM documents)
+SELECT d.doc_id, tax.skill, tax.surface FROM d JOIN {taxonomy_values()} ON contains(d.hay, tax.pattern)"""
+    o["postings_with_company"] = with_staging(
+        "SELECT posting_id, company_canonical, headcount_band, industry, role_canonical, fetched_at FROM enriched"
+    )
+    o["salary_cells_exact"] = with_staging("SELECT * FROM salary_cells", cells)
+    keys = ["role_canonical", "seniority", "headcount_band", "city"]
+    on = " AND ".join(f"c.{k} IS NOT DISTINCT FROM d.{k}" for k in keys)
+    o["cells_null_safe_join"] = with_staging(
+        f"SELECT c.*, coalesce(d.n_disclosed, 0) AS n_disclosed FROM cnt c LEFT JOIN dis d ON {on}",
+        f"""cnt AS (SELECT {", ".join(keys)}, count(*) AS n_postings FROM enriched GROUP BY {", ".join(keys)}),
+dis AS (SELECT {", ".join(keys)}, count(*) AS n_disclosed FROM enriched
+        WHERE salary_disclosed AND salary_monthly_low IS NOT NULL AND salary_monthly_high IS NOT NULL
+        GROUP BY {", ".join(keys)})""",
+    )
+    o["skill_demand"] = with_staging("SELECT * FROM skill_demand", SKILL_DEMAND)
+    o["company_activity"] = with_staging(
+        "SELECT snapshot_date, name_canonical, n_postings, n_data_ai, median_monthly FROM activity", ACTIVITY
+    )
+    o["weekly_volume"] = with_staging(
+        f"SELECT {_week('fetched_at')} AS week_ending, role_family, count(*) AS n FROM postings "
+        f"WHERE fetched_at IS NOT NULL GROUP BY ALL"
+    )
+    fam_cols = ", ".join(
+        f"CAST(sum(CASE WHEN role_family = {q(f)} THEN n ELSE 0 END) AS BIGINT) AS {f}" for f in FAMILY_LABELS
+    )
+    o["weekly_pivot"] = with_staging(
+        f"SELECT week_ending, {fam_cols} FROM wk GROUP BY week_ending",
+        f"wk AS (SELECT {_week('fetched_at')} AS week_ending, role_family, count(*) AS n FROM postings "
+        f"WHERE fetched_at IS NOT NULL GROUP BY ALL)",
+    )
+    o["disclosure_rate"] = with_staging(
+        "SELECT role_family, avg(CAST(salary_disclosed AS INT)) AS disclosed_share, count(*) AS n FROM postings GROUP BY role_family"
+    )
+    o["top_skills_family"] = with_staging(
+        "SELECT role_family, skill, n, CAST(rank AS INT) AS rank FROM ("
+        "SELECT role_family, skill, n, row_number() OVER (PARTITION BY role_family ORDER BY n DESC, skill) AS rank "
+        "FROM fam_skill) WHERE rank <= 8",
+        SKILL_DEMAND,
+    )
+    o["salary_kpis"] = with_staging(
+        """SELECT t.role_canonical, t.total_postings, t.total_disclosed,
+  CASE WHEN t.total_postings > 0 THEN CAST(t.total_disclosed AS DOUBLE) / CAST(t.total_postings AS DOUBLE) ELSE 0.0 END AS disclosure_rate,
+  CAST(trunc(m50.q0) AS INT) AS median_p50, CAST(trunc(m75.q0) AS INT) AS median_p75
+FROM (SELECT role_canonical, CAST(sum(n_postings) AS BIGINT) AS total_postings,
+             CAST(sum(n_disclosed) AS BIGINT) AS total_disclosed FROM salary_cells GROUP BY role_canonical) t
+LEFT JOIN k50 m50 USING (role_canonical) LEFT JOIN k75 m75 USING (role_canonical)""",
+        cells,
+        percentile_ctes("k50", "salary_cells", ["role_canonical"], "p50_monthly", [0.5]),
+        percentile_ctes("k75", "salary_cells", ["role_canonical"], "p75_monthly", [0.5]),
+    )
+    bk = ["role_canonical", "headcount_band", "seniority"]
+    o["salary_box"] = with_staging(
+        f"""SELECT {", ".join("b." + k for k in bk)}, b.n_values AS n_cells, e.min_p50, b.q0 AS q1_p50,
+  b.q1 AS median_p50, b.q2 AS q3_p50, e.max_p50
+FROM box b JOIN (SELECT {", ".join(bk)}, min(p50_monthly) AS min_p50, max(p50_monthly) AS max_p50
+                 FROM salary_cells WHERE p50_monthly IS NOT NULL GROUP BY ALL) e USING ({", ".join(bk)})""",
+        cells,
+        percentile_ctes("box", "salary_cells", bk, "p50_monthly", [0.25, 0.5, 0.75]),
+    )
+    o["filter_values"] = with_staging(
+        """SELECT DISTINCT 'role_canonical' AS dimension, role_canonical AS value FROM salary_cells
+UNION SELECT DISTINCT 'seniority', seniority FROM salary_cells
+UNION SELECT DISTINCT 'headcount_band', headcount_band FROM salary_cells
+UNION SELECT DISTINCT 'role_family', role_family FROM skill_demand""",
+        cells,
+        SKILL_DEMAND,
+    )
+    o["labels_lookup"] = with_staging(
+        f"SELECT role_canonical, {_label_case(ROLE_LABELS, 'role_canonical')} AS role_label, role_family, "
+        f"{_label_case(FAMILY_LABELS, 'role_family')} AS family_label, count(*) AS n_postings "
+        f"FROM postings GROUP BY role_canonical, role_family"
+    )
+    o["read_salary"] = with_staging(
+        "SELECT * FROM salary_cells WHERE role_canonical = 'data_engineer' AND city = 'Taipei' "
+        "ORDER BY snapshot_date DESC, seniority, headcount_band, city LIMIT 500",
+        cells,
+    )
+    o["salary_filtered"] = with_staging(
+        "SELECT * FROM salary_cells WHERE role_canonical = 'senior_data_engineer' "
+        "AND seniority IN ('senior', 'principal', 'mid') AND headcount_band IN ('machinery', 'building', 'unknown')",
+        cells,
+    )
+    o["read_skills"] = with_staging(
+        "SELECT * FROM skill_demand ORDER BY n_postings DESC, role_family, skill LIMIT 25", SKILL_DEMAND
+    )
+    o["skills_top_n"] = with_staging(
+        "SELECT * FROM skill_demand WHERE role_family = 'data_engineering' ORDER BY n_postings DESC, skill LIMIT 20",
+        SKILL_DEMAND,
+    )
+    o["read_company_activity"] = with_staging(
+        "SELECT * FROM activity_named ORDER BY n_data_ai DESC, name_canonical LIMIT 50", ACTIVITY
+    )
+    o["company_top30"] = with_staging(
+        "SELECT * FROM activity_named ORDER BY n_data_ai DESC, name_canonical LIMIT 30", ACTIVITY
+    )
+    o["company_activity_labelled"] = with_staging("SELECT * FROM activity_named", ACTIVITY)
+    o["read_postings"] = with_staging(
+        "SELECT * FROM postings WHERE role_canonical = 'data_engineer' ORDER BY fetched_at DESC, posting_id LIMIT 500"
+    )
+    o["posting_search"] = with_staging(
+        "SELECT posting_id, fetched_at, role_raw, company_canonical, industry, city, salary_monthly_low, "
+        "salary_monthly_high, salary_disclosed, skills FROM enriched "
+        "WHERE regexp_matches(role_raw, '(?i)engineer') AND contains(skills, 'py') "
+        "ORDER BY fetched_at DESC, posting_id LIMIT 200"
+    )
+    nn = " UNION ALL ".join(
+        f"SELECT {q(t)} AS table_name, {q(c)} AS column_name, count_if({e} IS NULL) AS n_nulls FROM {cte}"
+        for t, c, cte, e in _not_null_rows()
+    )
+    o["check_not_null"] = with_staging(nn, RAW, cells, SKILL_DEMAND, ACTIVITY)
+    kq = " UNION ALL ".join(
+        f"SELECT {q(t)} AS table_name, {q(kn)} AS key_name, sum(n) AS n_rows, count(*) AS n_keys, "
+        f"count_if(n > 1) AS n_duplicate_keys FROM (SELECT count(*) AS n FROM {cte} GROUP BY {', '.join(cols)})"
+        for t, kn, cte, cols in _keys_rows()
+    )
+    o["check_keys"] = with_staging(
+        f"SELECT table_name, key_name, CAST(n_rows AS BIGINT) AS n_rows, n_keys, n_duplicate_keys FROM ({kq})",
+        RAW, cells, SKILL_DEMAND, ACTIVITY,
+    )
+    o["fk_orphans"] = with_staging(
+        """SELECT 'postings' AS child_table, 'companies' AS parent_table,
+  count_if(company_canonical IS NOT NULL AND company_canonical NOT IN (SELECT name_canonical FROM companies)) AS n_orphans FROM postings
+UNION ALL SELECT 'company_activity', 'companies',
+  count_if(name_canonical NOT IN (SELECT name_canonical FROM companies)) FROM activity""",
+        ACTIVITY,
+    )
+    o["stage_counts"] = with_staging(
+        """SELECT 'feed_rows' AS stage, count(*) AS n FROM fx
+UNION ALL SELECT 'valid_rows', count(*) FROM valid
+UNION ALL SELECT 'raw_postings', count(*) FROM raw
+UNION ALL SELECT 'postings', count(*) FROM postings
+UNION ALL SELECT 'postings_with_skills', count_if(skills <> '') FROM postings
+UNION ALL SELECT 'postings_without_skills', count_if(skills = '') FROM postings
+UNION ALL SELECT 'companies', count(*) FROM companies
+UNION ALL SELECT 'salary_by_role', count(*) FROM salary_cells
+UNION ALL SELECT 'skill_demand', count(*) FROM skill_demand
+UNION ALL SELECT 'company_activity', count(*) FROM activity""",
+        RAW, cells, SKILL_DEMAND, ACTIVITY,
+    )
     return o

@@ -11,27 +11,377 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, staging
+from ..functions import classify, skills
+from ..functions.salary import midpoint
+from ..functions.text import word_haystack
+from ..operators import checks, marts, reads, reports, staging
+from ..session import load
 from ..sources.feed import posting_feed
 
 SNAPSHOT = "2026-01-01"
 
 
-def _staged(spark: SparkSession, sf_dir: str, match: str = "substring"):
-    feed = posting_feed(spark, sf_dir)
-    raw, companies, postings = staging.stage(feed, match=match)
-    return feed, raw, companies, postings
+def _bars(c) -> F.Column:
+    return F.concat_ws("|", c)
 
 
-def _enriched(spark, sf_dir):
-    _, _, companies, postings = _staged(spark, sf_dir)
-    return staging.with_company(postings, companies)
+class Chain:
+    """The staged layers of one run, built lazily from the driver tables."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring"):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.feed = posting_feed(spark, sf_dir)
+        self.valid = staging.required_fields(self.feed)
+        self.raw = staging.raw_postings(self.valid)
+        self.companies = staging.companies(self.valid)
+        self.postings = staging.postings(self.valid, match=match)
 
-def q_salary_cells_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.salary_cells(_enriched(spark, sf_dir), SNAPSHOT, method="exact")
+    @property
+    def enriched(self) -> DataFrame:
+        return staging.with_company(self.postings, self.companies)
+
+    def salary(self) -> DataFrame:
+        return marts.salary_cells(self.enriched, SNAPSHOT)
+
+    def skill_demand(self) -> DataFrame:
+        return marts.skill_demand(self.postings, SNAPSHOT)
+
+    def activity(self) -> DataFrame:
+        return marts.company_activity(self.postings, SNAPSHOT)
+
+
+POSTING_OUT = [
+    "posting_id", "source", "fetched_at", "role_raw", "role_canonical", "role_family", "seniority",
+    "company_canonical", "city", "is_remote", "experience_years_min", "experience_years_max", "education_min",
+    "salary_monthly_low", "salary_monthly_high", "salary_currency", "salary_disclosed", "skills",
+    "description_excerpt",
+]
+
+
+def _posting_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("skills", _bars(F.col("skills_canonical"))).select(*POSTING_OUT)
+
+
+# ---------------------------------------------------------------- staging
+
+def q_required_fields(spark, sf_dir):
+    return Chain(spark, sf_dir).valid.select("seq", "posting_id", "source", "fetched_at")
+
+
+def q_postings_staged(spark, sf_dir):
+    return _posting_out(Chain(spark, sf_dir).postings)
+
+
+def q_companies_dim(spark, sf_dir):
+    return Chain(spark, sf_dir).companies.drop("company_id")
+
+
+def q_raw_dedup(spark, sf_dir):
+    raw = Chain(spark, sf_dir).raw
+    hints = F.from_json("payload", "skills_raw ARRAY<STRING>").getField("skills_raw")
+    return raw.select("source", "source_post_id", "fetched_at", "raw_id", "n_fetches", _bars(hints).alias("hints"))
+
+
+def q_latest_hints(spark, sf_dir):
+    """Hints of the newest stored fetch per posting, read back from the JSON payload."""
+    c = Chain(spark, sf_dir)
+    newest = c.raw.groupBy("source", "source_post_id").agg(
+        F.max_by("payload", "fetched_at").alias("payload")
+    )
+    hints = newest.select(
+        "source",
+        F.col("source_post_id").alias("posting_id"),
+        F.from_json("payload", "skills_raw ARRAY<STRING>").getField("skills_raw").alias("hints"),
+    )
+    p = c.postings.select("posting_id", "source")
+    return p.join(hints, ["posting_id", "source"], "left").select(
+        "posting_id", "source", _bars(F.col("hints")).alias("hints")
+    )
+
+
+def q_midpoint(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    return f.select("seq", midpoint(F.col("salary_monthly_low"), F.col("salary_monthly_high")).alias("midpoint"))
+
+
+def q_role_classify(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    r = classify.role(F.col("role_raw"))
+    return f.select("seq", "role_raw", r.getField("role_canonical").alias("role_canonical"),
+                    r.getField("role_family").alias("role_family"))
+
+
+def q_seniority_classify(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    return f.select("seq", "role_raw", "experience_years_min",
+                    classify.seniority(F.col("role_raw"), F.col("experience_years_min")).alias("seniority"))
+
+
+def q_company_canonical(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    return f.select("seq", F.col("company.name").alias("company_name"),
+                    classify.canonical_company(F.col("company.name")).alias("name_canonical"))
+
+
+def q_skills_from_hints(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    return f.select("seq", _bars(skills.skills_from_hints(F.col("skills_raw"))).alias("skills"))
+
+
+def q_skills_from_text(spark, sf_dir):
+    f = posting_feed(spark, sf_dir)
+    text = skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
+    return f.select("seq", _bars(skills.skills_from_text(text)).alias("skills"))
+
+
+def q_skills_extract(spark, sf_dir):
+    return Chain(spark, sf_dir).postings.select("posting_id", _bars(F.col("skills_canonical")).alias("skills"))
+
+
+def q_skills_extract_token(spark, sf_dir):
+    return Chain(spark, sf_dir, match="token").postings.select(
+        "posting_id", _bars(F.col("skills_canonical")).alias("skills")
+    )
+
+
+def q_skills_theta_join(spark, sf_dir):
+    """(doc_id, skill, surface) for every taxonomy surface found in a whole document."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = d.select("doc_id", F.explode(skills.matched_surfaces(word_haystack(F.col("text")))).alias("h"))
+    return hits.select("doc_id", "h.skill", "h.surface")
+
+
+def q_postings_with_company(spark, sf_dir):
+    e = Chain(spark, sf_dir).enriched
+    return e.select("posting_id", "company_canonical", "headcount_band", "industry", "role_canonical", "fetched_at")
+
+
+# ------------------------------------------------------------------ marts
+
+def q_salary_cells_exact(spark, sf_dir):
+    return Chain(spark, sf_dir).salary()
+
+
+def q_salary_cells_approx(spark, sf_dir):
+    return marts.salary_cells(Chain(spark, sf_dir).enriched, SNAPSHOT, method="approx")
+
+
+def q_cells_null_safe_join(spark, sf_dir):
+    """All-postings counts LEFT JOIN disclosed counts on four nullable keys (NULL matches NULL)."""
+    e = Chain(spark, sf_dir).enriched
+    keys = marts.CELL_KEYS
+    counts = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_postings"))
+    mid = F.when(F.col("salary_disclosed"), midpoint(F.col("salary_monthly_low"), F.col("salary_monthly_high")))
+    disc = (
+        e.withColumn("mid", mid).filter(F.col("mid").isNotNull())
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_disclosed"))
+        .select(*[F.col(k).alias(f"d_{k}") for k in keys], "n_disclosed")
+    )
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"d_{k}"))
+        cond = c if cond is None else cond & c
+    j = counts.join(disc, cond, "left")
+    return j.select(*keys, "n_postings", F.coalesce("n_disclosed", F.lit(0)).alias("n_disclosed"))
+
+
+def q_skill_demand(spark, sf_dir):
+    return Chain(spark, sf_dir).skill_demand()
+
+
+def q_company_activity(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    a = reads.company_activity_named(c.activity(), c.companies)
+    return a.select("snapshot_date", "name_canonical", "n_postings", "n_data_ai", "median_monthly")
+
+
+# ---------------------------------------------------------------- reports
+
+def q_weekly_volume(spark, sf_dir):
+    return reports.weekly_volume(Chain(spark, sf_dir).postings)
+
+
+def q_weekly_pivot(spark, sf_dir):
+    return reports.weekly_pivot(reports.weekly_volume(Chain(spark, sf_dir).postings))
+
+
+def q_disclosure_rate(spark, sf_dir):
+    return reports.disclosure_rate(Chain(spark, sf_dir).postings)
+
+
+def q_top_skills_family(spark, sf_dir):
+    return reports.top_skills_per_family(Chain(spark, sf_dir).postings)
+
+
+def q_salary_kpis(spark, sf_dir):
+    return reports.salary_kpis(Chain(spark, sf_dir).salary())
+
+
+def q_salary_box(spark, sf_dir):
+    return reports.salary_box(Chain(spark, sf_dir).salary())
+
+
+def q_filter_values(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    sal, sk = c.salary(), c.skill_demand()
+    return reports.filter_values({
+        "role_canonical": (sal, "role_canonical"),
+        "seniority": (sal, "seniority"),
+        "headcount_band": (sal, "headcount_band"),
+        "role_family": (sk, "role_family"),
+    })
+
+
+def q_labels_lookup(spark, sf_dir):
+    p = Chain(spark, sf_dir).postings
+    g = p.groupBy("role_canonical", "role_family").agg(F.count(F.lit(1)).alias("n_postings"))
+    return g.select(
+        "role_canonical", reports.role_label(F.col("role_canonical")).alias("role_label"),
+        "role_family", reports.family_label(F.col("role_family")).alias("family_label"), "n_postings",
+    )
+
+
+# ------------------------------------------------------------------ reads
+
+def q_read_salary(spark, sf_dir):
+    return reads.read_salary(Chain(spark, sf_dir).salary(), role_canonical="data_engineer", city="Taipei")
+
+
+def q_salary_filtered(spark, sf_dir):
+    return reads.salary_filtered(
+        Chain(spark, sf_dir).salary(), "senior_data_engineer",
+        seniorities=["senior", "principal", "mid"], bands=["machinery", "building", "unknown"],
+    )
+
+
+def q_read_skills(spark, sf_dir):
+    return reads.read_skills(Chain(spark, sf_dir).skill_demand(), top_n=25)
+
+
+def q_skills_top_n(spark, sf_dir):
+    return reads.skills_top_n(Chain(spark, sf_dir).skill_demand(), "data_engineering", top_n=20)
+
+
+def _named_activity_out(df: DataFrame) -> DataFrame:
+    return df.select("snapshot_date", "name_canonical", "headcount_band", "industry",
+                     "n_postings", "n_data_ai", "median_monthly")
+
+
+def q_read_company_activity(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return _named_activity_out(reads.read_company_activity(c.activity(), c.companies, limit=50))
+
+
+def q_company_top30(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return _named_activity_out(reads.company_top(c.activity(), c.companies))
+
+
+def q_company_activity_labelled(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return _named_activity_out(reads.company_activity_named(c.activity(), c.companies, "left"))
+
+
+def q_read_postings(spark, sf_dir):
+    return _posting_out(reads.read_postings(Chain(spark, sf_dir).postings, role_canonical="data_engineer", limit=500))
+
+
+def q_posting_search(spark, sf_dir):
+    hits = reads.search_postings(Chain(spark, sf_dir).enriched, title_term="engineer", skill_term="py")
+    return hits.select(
+        "posting_id", "fetched_at", "role_raw", "company_canonical", "industry", "city",
+        "salary_monthly_low", "salary_monthly_high", "salary_disclosed", _bars(F.col("skills_canonical")).alias("skills"),
+    )
+
+
+# ----------------------------------------------------------------- checks
+
+def _tables(c: Chain) -> dict[str, DataFrame]:
+    raw = c.raw.select("raw_id", "source", "source_post_id", "fetched_at", "payload")
+    return {
+        "raw_postings": raw,
+        "companies": c.companies,
+        "postings": c.postings,
+        "salary_by_role": c.salary(),
+        "skill_demand": c.skill_demand(),
+        "company_activity": c.activity(),
+    }
+
+
+def q_check_not_null(spark, sf_dir):
+    return checks.not_null_violations(_tables(Chain(spark, sf_dir)))
+
+
+def q_check_keys(spark, sf_dir):
+    return checks.key_violations(_tables(Chain(spark, sf_dir)))
+
+
+def q_fk_orphans(spark, sf_dir):
+    return checks.orphan_counts(_tables(Chain(spark, sf_dir)))
+
+
+def q_stage_counts(spark, sf_dir):
+    """Run metrics: feed rows, kept rows, raw rows, postings with/without skills, companies, mart rows."""
+    c = Chain(spark, sf_dir)
+    parts = {
+        "feed_rows": c.feed,
+        "valid_rows": c.valid,
+        "raw_postings": c.raw,
+        "postings": c.postings,
+        "postings_with_skills": c.postings.filter(F.size("skills_canonical") > 0),
+        "postings_without_skills": c.postings.filter(F.size("skills_canonical") == 0),
+        "companies": c.companies,
+        "salary_by_role": c.salary(),
+        "skill_demand": c.skill_demand(),
+        "company_activity": c.activity(),
+    }
+    out = None
+    for name, df in parts.items():
+        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 QUERIES = {
+    "required_fields": q_required_fields,
+    "postings_staged": q_postings_staged,
+    "companies_dim": q_companies_dim,
+    "raw_dedup": q_raw_dedup,
+    "latest_hints": q_latest_hints,
+    "midpoint": q_midpoint,
+    "role_classify": q_role_classify,
+    "seniority_classify": q_seniority_classify,
+    "company_canonical": q_company_canonical,
+    "skills_from_hints": q_skills_from_hints,
+    "skills_from_text": q_skills_from_text,
+    "skills_extract": q_skills_extract,
+    "skills_extract_token": q_skills_extract_token,
+    "skills_theta_join": q_skills_theta_join,
+    "postings_with_company": q_postings_with_company,
     "salary_cells_exact": q_salary_cells_exact,
+    "salary_cells_approx": q_salary_cells_approx,
+    "cells_null_safe_join": q_cells_null_safe_join,
+    "skill_demand": q_skill_demand,
+    "company_activity": q_company_activity,
+    "weekly_volume": q_weekly_volume,
+    "weekly_pivot": q_weekly_pivot,
+    "disclosure_rate": q_disclosure_rate,
+    "top_skills_family": q_top_skills_family,
+    "salary_kpis": q_salary_kpis,
+    "salary_box": q_salary_box,
+    "filter_values": q_filter_values,
+    "labels_lookup": q_labels_lookup,
+    "read_salary": q_read_salary,
+    "salary_filtered": q_salary_filtered,
+    "read_skills": q_read_skills,
+    "skills_top_n": q_skills_top_n,
+    "read_company_activity": q_read_company_activity,
+    "company_top30": q_company_top30,
+    "company_activity_labelled": q_company_activity_labelled,
+    "read_postings": q_read_postings,
+    "posting_search": q_posting_search,
+    "check_not_null": q_check_not_null,
+    "check_keys": q_check_keys,
+    "fk_orphans": q_fk_orphans,
+    "stage_counts": q_stage_counts,
 }
