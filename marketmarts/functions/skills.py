@@ -83,9 +83,18 @@ def matched_surfaces(haystack: Column, match: str = "substring") -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def skills_from_text(text: Column, match: str = "substring") -> Column:
-    """ARRAY<STRING> of canonical skills whose surface occurs in the text, sorted."""
-    hay = word_haystack(text)
+def with_haystack(df: DataFrame, text: Column, name: str = "_hay") -> DataFrame:
+    """Adds the normalised text once as its own column.
+
+    The surface tests all read this column; because the alias is used many
+    times and is not cheap, Catalyst keeps it in its own projection instead
+    of re-inlining the regex into each of the 82 tests.
+    """
+    return df.withColumn(name, word_haystack(text))
+
+
+def skills_in_haystack(hay: Column, match: str = "substring") -> Column:
+    """ARRAY<STRING> of canonical skills whose surface occurs in a normalised haystack, sorted."""
     hits = []
     for canonical in sorted(SKILL_TAXONOMY):
         conds = [hay.contains(F.lit(_surface_pattern(s, match))) for s in SKILL_TAXONOMY[canonical]]
@@ -96,11 +105,19 @@ def skills_from_text(text: Column, match: str = "substring") -> Column:
     return F.array_compact(F.array(*hits))
 
 
+def skills_from_text(text: Column, match: str = "substring") -> Column:
+    """ARRAY<STRING> of canonical skills whose surface occurs in the text, sorted.
+
+    For many rows prefer ``with_haystack`` + ``skills_in_haystack``.
+    """
+    return skills_in_haystack(word_haystack(text), match)
+
+
 def extraction_text(role_raw: Column, description: Column) -> Column:
     """Text fed to the text pass: title + ' ' + description, NULLs as ''."""
     return F.concat_ws(" ", F.coalesce(role_raw, F.lit("")), F.coalesce(description, F.lit("")))
 
 
-def extract(text: Column, hints: Column, match: str = "substring") -> Column:
-    """Sorted distinct union of the hint pass and the text pass."""
-    return F.array_sort(F.array_union(skills_from_hints(hints), skills_from_text(text, match)))
+def extract(hay: Column, hints: Column, match: str = "substring") -> Column:
+    """Sorted distinct union of the hint pass and the text pass (on a normalised haystack)."""
+    return F.array_sort(F.array_union(skills_from_hints(hints), skills_in_haystack(hay, match)))

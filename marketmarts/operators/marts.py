@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -93,16 +93,21 @@ def family_totals(postings_df: DataFrame) -> DataFrame:
 def skill_demand(postings_df: DataFrame, snapshot_date=None) -> DataFrame:
     """Postings mentioning each skill per family and their share (4 decimals, half-even).
 
-    The family totals have one row per role family (a fixed set of six), so
-    broadcasting them is bounded.
+    One pass: every posting is exploded into its skills plus one NULL
+    marker, so the same (partially aggregated) grouping yields both the
+    skill counts and the family totals; a window over the tiny
+    (family, skill) result attaches the totals.  No second scan of the
+    postings and no join.
     """
     snap = _snapshot(snapshot_date)
+    items = F.concat(F.col("skills_canonical"), F.array(F.lit(None).cast("string")))
     counts = (
-        postings_df.select("role_family", F.explode("skills_canonical").alias("skill"))
+        postings_df.select("role_family", F.explode(items).alias("skill"))
         .groupBy("role_family", "skill")
         .agg(F.count(F.lit(1)).alias("n_postings"))
     )
-    out = counts.join(F.broadcast(family_totals(postings_df)), "role_family", "inner")
+    total = F.max(F.when(F.col("skill").isNull(), F.col("n_postings"))).over(Window.partitionBy("role_family"))
+    out = counts.withColumn("n_total", total).filter(F.col("skill").isNotNull())
     return out.select(
         snap.alias("snapshot_date"),
         "role_family",

@@ -134,7 +134,9 @@ def latest_postings(valid: DataFrame) -> DataFrame:
 
 def postings(valid: DataFrame, match: str = "substring") -> DataFrame:
     """Staged postings: latest row per posting, classified, with skills and company key."""
-    p = latest_postings(valid)
+    p = skills.with_haystack(
+        latest_postings(valid), skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
+    )
     role = classify.role(F.col("role_raw"))
     return p.select(
         "posting_id",
@@ -155,9 +157,7 @@ def postings(valid: DataFrame, match: str = "substring") -> DataFrame:
         "salary_monthly_high",
         "salary_currency",
         "salary_disclosed",
-        skills.extract(
-            skills.extraction_text(F.col("role_raw"), F.col("description_excerpt")), F.col("hints"), match
-        ).alias("skills_canonical"),
+        skills.extract(F.col("_hay"), F.col("hints"), match).alias("skills_canonical"),
         "description_excerpt",
     )
 

@@ -476,4 +476,106 @@ UNION ALL SELECT 'skill_demand', count(*) FROM skill_demand
 UNION ALL SELECT 'company_activity', count(*) FROM activity""",
         RAW, cells, SKILL_DEMAND, ACTIVITY,
     )
+    o.update(_source_and_stream_oracles())
+    return o
+
+
+def _a2m(v: str) -> str:
+    return (
+        f"CASE WHEN {v} IS NULL OR {v} = 0 THEN NULL WHEN {v} > 25000 THEN {v} "
+        f"ELSE CAST(trunc(CAST({v} AS DOUBLE) * 10000 / 12) AS INT) END"
+    )
+
+
+BOARD_A = f"""
+board_a_in AS (
+  SELECT *, CASE WHEN seq % 13 <> 0 THEN company_name END AS cust_name,
+         CASE WHEN seq % 7 <> 0 THEN CAST(seq AS VARCHAR) END AS job_no, 'J' || CAST(seq AS VARCHAR) AS job_id,
+         CAST(salary_monthly_low AS VARCHAR) AS lo_s, CAST(salary_monthly_high AS VARCHAR) AS hi_s
+  FROM fx),
+board_a AS (
+  SELECT '104-' || coalesce(nullif(job_no, ''), nullif(job_id, ''), '') AS posting_id, '104' AS source, fetched_at,
+         role_raw, cust_name AS company_name, CAST(NULL AS VARCHAR) AS headcount_band, CAST(NULL AS VARCHAR) AS industry,
+         coalesce(nullif(city, ''), 'Addr ' || CAST(seq % 50 AS VARCHAR)) AS city, CAST(NULL AS BOOLEAN) AS is_remote,
+         CASE WHEN d THEN CAST(lo_s AS INT) END AS salary_monthly_low,
+         CASE WHEN d THEN CAST(hi_s AS INT) END AS salary_monthly_high, 'TWD' AS salary_currency, d AS salary_disclosed,
+         substring(repeat(coalesce(description_excerpt, ''), 30), 1, 600) AS description_excerpt, '' AS skills,
+         'https://www.104.com.tw/job/' || CAST(seq AS VARCHAR) AS url
+  FROM (SELECT *, coalesce(lo_s <> '' AND hi_s <> '' AND TRY_CAST(hi_s AS INT) > 0, false) AS d FROM board_a_in)
+  WHERE cust_name IS NOT NULL)
+"""
+
+BOARD_B = f"""
+board_b_in AS (
+  SELECT *, CASE WHEN seq % 17 <> 0 THEN company_name END AS cname,
+         CASE WHEN seq % 23 = 0 THEN 0 WHEN seq % 2 = 0 THEN salary_monthly_low
+              ELSE CAST(salary_monthly_low // 5000 AS INT) END AS smin,
+         CASE WHEN seq % 23 = 0 THEN 0 WHEN seq % 2 = 0 THEN salary_monthly_high
+              ELSE CAST(salary_monthly_high // 5000 AS INT) END AS smax
+  FROM fx),
+board_b AS (
+  SELECT 'yourator-' || CAST(seq AS VARCHAR) AS posting_id, 'yourator' AS source, fetched_at, role_raw,
+         cname AS company_name, headcount_band, 'Industry ' || CAST(seq % 5 AS VARCHAR) AS industry, city,
+         coalesce(city = 'Remote', false) AS is_remote,
+         CASE WHEN d THEN {_a2m("smin")} END AS salary_monthly_low,
+         CASE WHEN d THEN {_a2m("smax")} END AS salary_monthly_high, 'TWD' AS salary_currency, d AS salary_disclosed,
+         substring(coalesce(description_excerpt, ''), 1, 600) AS description_excerpt,
+         array_to_string(list_filter(string_split(skills_delim, '|'), lambda x: x <> ''), '|') AS skills,
+         'https://www.yourator.co/companies/firm-' || CAST(seq % 200 AS VARCHAR) || '/jobs/' || CAST(seq AS VARCHAR) AS url
+  FROM (SELECT *, coalesce(smin, 0) <> 0 AND coalesce(smax, 0) <> 0 AS d FROM board_b_in)
+  WHERE cname IS NOT NULL)
+"""
+
+UNION_COLS = "posting_id, source, fetched_at, role_raw, company_name, salary_monthly_low, salary_monthly_high, salary_disclosed"
+
+UNION = f"""
+u AS (SELECT {UNION_COLS} FROM fx UNION ALL SELECT {UNION_COLS} FROM board_a UNION ALL SELECT {UNION_COLS} FROM board_b)
+"""
+
+EVENTS = """
+ev AS (SELECT event_id, CAST(user_id AS VARCHAR) AS posting_id, event_type AS role_family, value, ts AS event_time
+       FROM events)
+"""
+
+
+def _source_and_stream_oracles() -> dict[str, str]:
+    o: dict[str, str] = {}
+    fx = f"WITH fx AS ({FEED}),"
+    o["board_a_map"] = f"{fx} {BOARD_A} SELECT * FROM board_a"
+    o["board_b_map"] = f"{fx} {BOARD_B} SELECT * FROM board_b"
+    o["annual_to_monthly"] = f"""SELECT seq, value, {_a2m("value")} AS monthly FROM (
+  SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN 0
+                                 ELSE CAST(floor(o_totalprice / 10) AS INT) END AS value FROM orders)"""
+    o["source_union"] = f"{fx} {BOARD_A}, {BOARD_B}, {UNION} SELECT * FROM u"
+    o["rows_per_source"] = f"""{fx} {BOARD_A}, {BOARD_B}, {UNION}
+SELECT s.source, coalesce(c.n, 0) AS n_rows
+FROM (VALUES ('104'), ('yourator'), ('sample'), ('unknown')) AS s(source)
+LEFT JOIN (SELECT source, count(*) AS n FROM u GROUP BY source) c USING (source)"""
+    o["raw_scan_valid"] = f"""WITH fx AS ({FEED})
+SELECT posting_id, source, fetched_at, role_raw, company_name, experience_years_min, salary_monthly_low,
+       salary_monthly_high, salary_disclosed, skills_delim AS skills, description_excerpt FROM fx"""
+    o["postings_scan"] = with_staging(
+        "SELECT posting_id, role_canonical, seniority, fetched_at, salary_monthly_low, skills FROM postings "
+        "WHERE role_family = 'data_engineering'"
+    )
+    slices = " UNION ALL ".join(
+        f"SELECT {q(t)} AS table_name, d AS snapshot_date, (SELECT count(*) FROM {cte}) AS n_rows "
+        f"FROM (VALUES (DATE '2025-12-31'), (DATE '{SNAPSHOT}')) AS v(d)"
+        for t, cte in (("salary_by_role", "salary_cells"), ("skill_demand", "skill_demand"),
+                       ("company_activity", "activity"))
+    )
+    o["mart_rewrite"] = with_staging(slices, _salary_cells_ctes(), SKILL_DEMAND, ACTIVITY)
+    o["stream_hourly"] = """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, role_family, n FROM (
+  SELECT date_trunc('hour', ts) AS window_start, event_type AS role_family, count(*) AS n FROM events GROUP BY 1, 2)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+    o["stream_hot_upsert"] = f"""WITH {EVENTS}
+SELECT posting_id, event_id, role_family, value, event_time FROM ev
+QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY event_time DESC, event_id DESC) = 1"""
+    o["stream_decode"] = with_staging(
+        "SELECT posting_id, source, role_canonical, role_family, seniority, city, is_remote, salary_monthly_low, "
+        "salary_monthly_high, salary_disclosed, fetched_at FROM postings"
+    )
+    o["recent_postings"] = f"""WITH {EVENTS}
+SELECT event_id, posting_id, role_family, event_time FROM ev
+WHERE event_time > (SELECT max(event_time) FROM ev) - INTERVAL 1 HOUR"""
     return o

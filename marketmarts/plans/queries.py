@@ -13,10 +13,16 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, skills
 from ..functions.salary import midpoint
-from ..functions.text import word_haystack
+import os
+
+from ..functions.salary import annual_to_monthly
 from ..operators import checks, marts, reads, reports, staging
-from ..session import load
-from ..sources.feed import posting_feed
+from ..schemas import STREAM_RECORD
+from ..session import load, scratch_path
+from ..sources import boards, jsonl, union
+from ..sources.feed import board_a_pages, board_b_pages, landing_lines, posting_feed
+from ..streaming import postings_stream as stream
+from . import pipeline, sinks
 
 SNAPSHOT = "2026-01-01"
 
@@ -130,8 +136,8 @@ def q_skills_from_hints(spark, sf_dir):
 
 def q_skills_from_text(spark, sf_dir):
     f = posting_feed(spark, sf_dir)
-    text = skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
-    return f.select("seq", _bars(skills.skills_from_text(text)).alias("skills"))
+    f = skills.with_haystack(f, skills.extraction_text(F.col("role_raw"), F.col("description_excerpt")))
+    return f.select("seq", _bars(skills.skills_in_haystack(F.col("_hay"))).alias("skills"))
 
 
 def q_skills_extract(spark, sf_dir):
@@ -146,8 +152,8 @@ def q_skills_extract_token(spark, sf_dir):
 
 def q_skills_theta_join(spark, sf_dir):
     """(doc_id, skill, surface) for every taxonomy surface found in a whole document."""
-    d = load(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = d.select("doc_id", F.explode(skills.matched_surfaces(word_haystack(F.col("text")))).alias("h"))
+    d = skills.with_haystack(load(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    hits = d.select("doc_id", F.explode(skills.matched_surfaces(F.col("_hay"))).alias("h"))
     return hits.select("doc_id", "h.skill", "h.surface")
 
 
@@ -342,6 +348,164 @@ def q_stage_counts(spark, sf_dir):
     return out
 
 
+# ---------------------------------------------------------------- sources
+
+BOARD_OUT = [
+    "posting_id", "source", "fetched_at", "role_raw", "company_name", "headcount_band", "industry", "city",
+    "is_remote", "salary_monthly_low", "salary_monthly_high", "salary_currency", "salary_disclosed",
+    "description_excerpt", "skills", "url",
+]
+
+
+def _board_out(df: DataFrame) -> DataFrame:
+    df = df if "skills_raw" in df.columns else df.withColumn("skills_raw", F.lit(None).cast("array<string>"))
+    df = df if "is_remote" in df.columns else df.withColumn("is_remote", F.lit(None).cast("boolean"))
+    return df.select(
+        "posting_id", "source", "fetched_at", "role_raw",
+        F.col("company.name").alias("company_name"), F.col("company.headcount_band").alias("headcount_band"),
+        F.col("company.industry").alias("industry"), "city", "is_remote", "salary_monthly_low",
+        "salary_monthly_high", "salary_currency", "salary_disclosed", "description_excerpt",
+        _bars(F.col("skills_raw")).alias("skills"), "url",
+    )
+
+
+def q_board_a_map(spark, sf_dir):
+    return _board_out(boards.map_board_a(board_a_pages(posting_feed(spark, sf_dir))))
+
+
+def q_board_b_map(spark, sf_dir):
+    return _board_out(boards.map_board_b(board_b_pages(posting_feed(spark, sf_dir))))
+
+
+def q_annual_to_monthly(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    v = (
+        F.when(k % 17 == 0, F.lit(None).cast("int"))
+        .when(k % 19 == 0, F.lit(0))
+        .otherwise(F.floor(F.col("o_totalprice") / 10).cast("int"))
+    )
+    return o.select(k.alias("seq"), v.alias("value")).select("seq", "value", annual_to_monthly(F.col("value")).alias("monthly"))
+
+
+def _union(spark, sf_dir) -> DataFrame:
+    feed = posting_feed(spark, sf_dir)
+    return union.union_sources(
+        [feed.drop("seq"), boards.map_board_a(board_a_pages(feed)), boards.map_board_b(board_b_pages(feed))]
+    )
+
+
+def q_source_union(spark, sf_dir):
+    u = _union(spark, sf_dir)
+    return u.select("posting_id", "source", "fetched_at", "role_raw", F.col("company.name").alias("company_name"),
+                    "salary_monthly_low", "salary_monthly_high", "salary_disclosed")
+
+
+def q_rows_per_source(spark, sf_dir):
+    return union.rows_per_source(spark, _union(spark, sf_dir), ["104", "yourator", "sample", "unknown"])
+
+
+def q_raw_scan_valid(spark, sf_dir):
+    """Feed written as line-JSON (with bad and blank lines) then scanned back (S1, S2, K3)."""
+    path = scratch_path(spark, "landing")
+    landing_lines(posting_feed(spark, sf_dir)).write.mode("overwrite").text(path)
+    rows = jsonl.parse_postings(jsonl.scan_lines(spark, path, glob="part-*"))
+    return rows.select("posting_id", "source", "fetched_at", "role_raw", F.col("company.name").alias("company_name"),
+                       "experience_years_min", "salary_monthly_low", "salary_monthly_high", "salary_disclosed",
+                       _bars(F.col("skills_raw")).alias("skills"), "description_excerpt")
+
+
+def q_postings_scan(spark, sf_dir):
+    """Staged postings written as a typed table, then scanned with a pushed-down filter."""
+    c = Chain(spark, sf_dir)
+    path = scratch_path(spark, "postings")
+    sinks.write_table(c.postings, path, "postings")
+    t = spark.read.parquet(path).filter(F.col("role_family") == "data_engineering")
+    return t.select("posting_id", "role_canonical", "seniority", "fetched_at", "salary_monthly_low",
+                    _bars(F.col("skills_canonical")).alias("skills"))
+
+
+def q_mart_rewrite(spark, sf_dir):
+    """Marts written for two snapshots, then the newer one rewritten: slices are replaced, not appended."""
+    c = Chain(spark, sf_dir)
+    root = scratch_path(spark, "marts")
+    paths = {t: os.path.join(root, t) for t in sinks.MARTS}
+    enriched = c.enriched
+    for snap in ("2025-12-31", SNAPSHOT, SNAPSHOT):
+        sinks.write_mart(spark, marts.salary_cells(enriched, snap), paths["salary_by_role"], "salary_by_role")
+        sinks.write_mart(spark, marts.skill_demand(c.postings, snap), paths["skill_demand"], "skill_demand")
+        sinks.write_mart(spark, marts.company_activity(c.postings, snap), paths["company_activity"],
+                         "company_activity")
+    return pipeline.mart_slices(spark, paths)
+
+
+# ---------------------------------------------------------------- streams
+
+def _event_records(df: DataFrame) -> DataFrame:
+    """Events read as posting records: user_id as posting id, event_type as family."""
+    return df.select(
+        F.col("event_id"),
+        F.col("user_id").cast("string").alias("posting_id"),
+        F.col("event_type").alias("role_family"),
+        F.col("value"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+    )
+
+
+def _event_stream(spark, sf_dir) -> DataFrame:
+    schema = load(spark, sf_dir, "events").schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return _event_records(src)
+
+
+def q_stream_hourly(spark, sf_dir):
+    """Hourly event counts per type with a 2 h watermark, drained in append mode."""
+    base = scratch_path(spark, "stream_hourly")
+    stream.run_to_parquet(stream.hourly_counts(_event_stream(spark, sf_dir)), base + "/sink", base + "/checkpoint")
+    return spark.read.parquet(base + "/sink")
+
+
+def q_stream_hot_upsert(spark, sf_dir):
+    """Latest event per user kept in a hot table through foreachBatch upserts."""
+    base = scratch_path(spark, "hot")
+    latest = stream.latest_per_key(
+        _event_stream(spark, sf_dir), "posting_id", ["event_time", "event_id"],
+        ["event_id", "role_family", "value", "event_time"],
+    )
+    q = (
+        latest.writeStream.outputMode("update")
+        .foreachBatch(stream.upsert_batches(spark, base + "/table", "posting_id", ["event_time", "event_id"]))
+        .option("checkpointLocation", base + "/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    t = stream.read_hot_table(spark, base + "/table")
+    return t.select("posting_id", "event_id", "role_family", "value",
+                    F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
+def q_stream_decode(spark, sf_dir):
+    """Staged postings as Kafka-shaped JSON values, decoded back into records."""
+    p = Chain(spark, sf_dir).postings
+    fields = [f.name for f in STREAM_RECORD.fields]
+    rec = p.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss"))
+    kafka = rec.select(
+        F.col("posting_id").cast("binary").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in fields])).cast("binary").alias("value"),
+    )
+    d = stream.decode(kafka)
+    return d.select(*[c for c in fields if c != "fetched_at"],
+                    F.col("event_time").cast("timestamp_ntz").alias("fetched_at"))
+
+
+def q_recent_postings(spark, sf_dir):
+    """Events in the last hour before the newest event."""
+    e = _event_records(load(spark, sf_dir, "events"))
+    r = stream.recent(e, "event_time", "1 hour")
+    return r.select("event_id", "posting_id", "role_family", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
 QUERIES = {
     "required_fields": q_required_fields,
     "postings_staged": q_postings_staged,
@@ -384,4 +548,16 @@ QUERIES = {
     "check_keys": q_check_keys,
     "fk_orphans": q_fk_orphans,
     "stage_counts": q_stage_counts,
+    "board_a_map": q_board_a_map,
+    "board_b_map": q_board_b_map,
+    "annual_to_monthly": q_annual_to_monthly,
+    "source_union": q_source_union,
+    "rows_per_source": q_rows_per_source,
+    "raw_scan_valid": q_raw_scan_valid,
+    "postings_scan": q_postings_scan,
+    "mart_rewrite": q_mart_rewrite,
+    "stream_hourly": q_stream_hourly,
+    "stream_hot_upsert": q_stream_hot_upsert,
+    "stream_decode": q_stream_decode,
+    "recent_postings": q_recent_postings,
 }

@@ -68,3 +68,22 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new, unique path under the shared root for one run's output."""
     return os.path.join(shared_root(spark), kind, uuid.uuid4().hex)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` on any Hadoop file system (shared storage)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))

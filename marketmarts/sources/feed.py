@@ -108,3 +108,75 @@ def posting_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "description_excerpt",
     )
     return conform_feed(shaped)
+
+
+# --------------------------------------------------------------------------
+# Board pages and landing lines derived from the feed (one page per posting).
+# --------------------------------------------------------------------------
+
+def board_a_pages(feed: DataFrame) -> DataFrame:
+    """(fetched_at, payload): board A page JSON, one job per feed row.
+
+    NULL fields are left out of the JSON (Spark's default), so a missing
+    company name (every 13th order) makes a job the mapper must drop.
+    """
+    k = F.col("seq")
+    job = F.struct(
+        F.col("role_raw").alias("jobName"),
+        F.when(k % 13 != 0, F.col("company.name")).alias("custName"),
+        F.when(k % 7 != 0, k.cast("string")).alias("jobNo"),
+        F.concat(F.lit("J"), k.cast("string")).alias("jobId"),
+        F.col("salary_monthly_low").cast("string").alias("salaryLow"),
+        F.col("salary_monthly_high").cast("string").alias("salaryHigh"),
+        F.col("city").alias("jobAddrNoDesc"),
+        F.concat(F.lit("Addr "), (k % 50).cast("string")).alias("jobAddress"),
+        F.repeat(F.coalesce(F.col("description_excerpt"), F.lit("")), 30).alias("description"),
+        F.struct(F.concat(F.lit("/job/"), k.cast("string")).alias("job")).alias("link"),
+    )
+    page = F.struct(F.struct(F.array(job).alias("list")).alias("data"))
+    return feed.select("fetched_at", F.to_json(page).alias("payload"))
+
+
+def board_b_pages(feed: DataFrame) -> DataFrame:
+    """(fetched_at, payload): board B page JSON, one job per feed row.
+
+    Salaries alternate between monthly figures and annual figures in 10k
+    units (every 23rd is 0, i.e. undisclosed); every 17th job lacks a
+    company name.
+    """
+    k = F.col("seq")
+
+    def pay(c):
+        return (
+            F.when(k % 23 == 0, F.lit(0))
+            .when(k % 2 == 0, F.col(c))
+            .otherwise(F.floor(F.col(c) / 5000).cast("int"))
+        )
+
+    job = F.struct(
+        k.alias("id"),
+        F.col("role_raw").alias("name"),
+        F.struct(
+            F.when(k % 17 != 0, F.col("company.name")).alias("name"),
+            F.col("company.headcount_band").alias("size"),
+            F.concat(F.lit("Industry "), (k % 5).cast("string")).alias("industry"),
+            F.concat(F.lit("firm-"), (k % 200).cast("string")).alias("slug"),
+        ).alias("company"),
+        pay("salary_monthly_low").alias("salary_min"),
+        pay("salary_monthly_high").alias("salary_max"),
+        F.col("city").alias("city"),
+        (F.col("city") == "Remote").alias("remote_friendly"),
+        F.transform(F.col("skills_raw"), lambda s: F.struct(s.alias("name"))).alias("tags"),
+        F.col("description_excerpt").alias("description"),
+    )
+    return feed.select("fetched_at", F.to_json(F.struct(F.array(job).alias("jobs"))).alias("payload"))
+
+
+def landing_lines(feed: DataFrame) -> DataFrame:
+    """Line-JSON text of every feed row, plus a bad line after every 37th and a
+    blank line after every 41st order (added lines; no row is left out)."""
+    k = F.col("seq")
+    cols = [c for c in feed.columns if c != "seq"]
+    record = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    lines = F.array(record, F.when(k % 37 == 0, F.lit("{bad")), F.when(k % 41 == 0, F.lit("   ")))
+    return feed.select(F.explode(F.array_compact(lines)).alias("value"))
