@@ -16,7 +16,7 @@ split by value instead:
 
 Interpolation is linear between the closest ranks, computed in the same
 floating-point steps as numpy's default ("linear") method:
-``index = n*q + (1 - q) - 1``; ``lo + (hi - lo) * g`` when ``g < 0.5`` and
+``index = (n - 1) * q``; ``lo + (hi - lo) * g`` when ``g < 0.5`` and
 ``hi - (hi - lo) * (1 - g)`` otherwise.
 """
 
@@ -67,7 +67,7 @@ def grouped_percentiles(
     if count_rows:
         aggs.insert(0, F.sum("_rows").alias("n_rows"))
     for q in quantiles:
-        idx = n * F.lit(float(q)) + F.lit(1.0 - float(q)) - F.lit(1.0)
+        idx = (n - F.lit(1.0)) * F.lit(float(q))
         lo = F.floor(idx)
         hi = F.ceil(idx)
         at = lambda r: F.when(v.isNotNull() & (start <= r) & (r < F.col("_cum")), v)

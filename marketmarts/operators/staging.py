@@ -137,14 +137,15 @@ def postings(valid: DataFrame, match: str = "substring") -> DataFrame:
     p = skills.with_haystack(
         latest_postings(valid), skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
     )
-    role = classify.role(F.col("role_raw"))
+    # the role struct is its own column so its rules run once for both fields
+    p = p.withColumn("_role", classify.role(F.col("role_raw")))
     return p.select(
         "posting_id",
         "source",
         "fetched_at",
         "role_raw",
-        role.getField("role_canonical").alias("role_canonical"),
-        role.getField("role_family").alias("role_family"),
+        F.col("_role.role_canonical").alias("role_canonical"),
+        F.col("_role.role_family").alias("role_family"),
         classify.seniority(F.col("role_raw"), F.col("experience_years_min")).alias("seniority"),
         company_key(F.col("name_canonical")).alias("company_id"),
         F.col("name_canonical").alias("company_canonical"),

@@ -163,7 +163,7 @@ def percentile_ctes(name: str, source: str, keys: list[str], value: str, quantil
     part = f"PARTITION BY {k}" if keys else ""
     sel = []
     for i, qq in enumerate(quantiles):
-        idx = f"(CAST(n AS DOUBLE) * {dbl(qq)} + {dbl(1.0 - qq)} - CAST(1.0 AS DOUBLE))"
+        idx = f"((CAST(n AS DOUBLE) - CAST(1.0 AS DOUBLE)) * {dbl(qq)})"
         sel.append(
             f"max(CASE WHEN r = floor({idx}) THEN v END) AS lo{i}, "
             f"max(CASE WHEN r = ceil({idx}) THEN v END) AS hi{i}, "

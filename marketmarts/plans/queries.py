@@ -18,7 +18,7 @@ import os
 from ..functions.salary import annual_to_monthly
 from ..operators import checks, marts, reads, reports, staging
 from ..schemas import STREAM_RECORD
-from ..session import load, scratch_path
+from ..session import load, scratch_path, spread
 from ..sources import boards, jsonl, union
 from ..sources.feed import board_a_pages, board_b_pages, landing_lines, posting_feed
 from ..streaming import postings_stream as stream
@@ -152,7 +152,7 @@ def q_skills_extract_token(spark, sf_dir):
 
 def q_skills_theta_join(spark, sf_dir):
     """(doc_id, skill, surface) for every taxonomy surface found in a whole document."""
-    d = skills.with_haystack(load(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    d = skills.with_haystack(spread(load(spark, sf_dir, "documents").select("doc_id", "text")), F.col("text"))
     hits = d.select("doc_id", F.explode(skills.matched_surfaces(F.col("_hay"))).alias("h"))
     return hits.select("doc_id", "h.skill", "h.surface")
 
@@ -501,7 +501,7 @@ def q_stream_decode(spark, sf_dir):
 
 def q_recent_postings(spark, sf_dir):
     """Events in the last hour before the newest event."""
-    e = _event_records(load(spark, sf_dir, "events"))
+    e = _event_records(spread(load(spark, sf_dir, "events")))
     r = stream.recent(e, "event_time", "1 hour")
     return r.select("event_id", "posting_id", "role_family", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 

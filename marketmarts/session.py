@@ -87,3 +87,19 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
 def path_exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.exists(p))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's cores.
+
+    A small table stored as one Parquet row group is read by one task, so
+    the per-row work after it (regex classification, text scans, partial
+    aggregation) would run on one core.  When a scan yields fewer splits
+    than ``defaultParallelism`` it is repartitioned round-robin; a large
+    input (many splits) is returned unchanged, so this never adds a
+    shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..schemas import POSTING_FEED
 
 
+def _fit(col, src_type, dst_type):
+    """Cast ``col`` to ``dst_type``; struct fields missing in the source become NULL."""
+    if isinstance(dst_type, T.StructType) and isinstance(src_type, T.StructType):
+        have = {f.name: f.dataType for f in src_type.fields}
+        parts = [
+            (_fit(col.getField(f.name), have[f.name], f.dataType) if f.name in have
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in dst_type.fields
+        ]
+        return F.when(col.isNull(), F.lit(None).cast(dst_type)).otherwise(F.struct(*parts))
+    return col.cast(dst_type)
+
+
 def conform_feed(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Select POSTING_FEED columns in order, typed; absent columns become NULL.
 
@@ -16,13 +31,14 @@ def conform_feed(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     filter.
     """
     cols = []
-    present = set(df.columns)
+    present = {f.name: f.dataType for f in df.schema.fields}
     for f in POSTING_FEED.fields:
         if f.name in present:
             c = F.col(f.name)
-            if f.name == "fetched_at" and dict(df.dtypes)[f.name] == "string":
-                c = F.expr("try_cast(fetched_at AS TIMESTAMP_NTZ)")
-            cols.append(c.cast(f.dataType).alias(f.name))
+            if f.name == "fetched_at" and isinstance(present[f.name], T.StringType):
+                cols.append(F.expr("try_cast(fetched_at AS TIMESTAMP_NTZ)").alias(f.name))
+                continue
+            cols.append(_fit(c, present[f.name], f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     extra = [F.col(k) for k in keep if k in present]

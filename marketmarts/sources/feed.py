@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import load
+from ..session import load, spread
 from .conform import conform_feed
 
 # FIXED VALUES of the derived feed (titles, skill hints, descriptions).
@@ -86,7 +86,7 @@ def feed_columns(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def posting_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings (POSTING_FEED shape + ``seq``) derived from orders/customer."""
-    flat = feed_columns(load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer"))
+    flat = feed_columns(spread(load(spark, sf_dir, "orders")), load(spark, sf_dir, "customer"))
     shaped = flat.select(
         "seq",
         "posting_id",
