@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
     DATA_AI_FAMILIES,
     MIN_DISCLOSED_PER_CELL,
     SALARY_QUANTILES,
+    SKILL_TAXONOMY,
     UNKNOWN_DIMENSION,
 )
 from ..functions.salary import disclosed_midpoint, midpoint
@@ -90,25 +91,35 @@ def family_totals(postings_df: DataFrame) -> DataFrame:
     return postings_df.groupBy("role_family").agg(F.count(F.lit(1)).alias("n_total"))
 
 
+def skill_counts(postings_df: DataFrame) -> DataFrame:
+    """(role_family, skill, n_postings, n_total) for every skill mentioned in a family.
+
+    One hash aggregation per family with one conditional count per
+    taxonomy skill (a fixed 48), plus the family total; the small result
+    is then unpivoted.  Postings are never multiplied by their skills
+    before the shuffle, and every aggregation buffer is a fixed-width
+    counter, so partial aggregation absorbs any hot family.
+    """
+    names = sorted(SKILL_TAXONOMY)
+    aggs = [F.count(F.lit(1)).alias("n_total")] + [
+        F.count_if(F.array_contains("skills_canonical", c)).alias(f"_s{i}") for i, c in enumerate(names)
+    ]
+    wide = postings_df.groupBy("role_family").agg(*aggs)
+    cells = F.array(*[F.struct(F.lit(c).alias("skill"), F.col(f"_s{i}").alias("n")) for i, c in enumerate(names)])
+    long = wide.select("role_family", "n_total", F.explode(cells).alias("c"))
+    return long.filter(F.col("c.n") > 0).select(
+        "role_family", F.col("c.skill").alias("skill"), F.col("c.n").alias("n_postings"), "n_total"
+    )
+
+
 def skill_demand(postings_df: DataFrame, snapshot_date=None) -> DataFrame:
     """Postings mentioning each skill per family and their share (4 decimals, half-even).
 
-    One pass: every posting is exploded into its skills plus one NULL
-    marker, so the same (partially aggregated) grouping yields both the
-    skill counts and the family totals; a window over the tiny
-    (family, skill) result attaches the totals.  No second scan of the
-    postings and no join.
+    The share's denominator counts every posting of the family, including
+    postings without skills.
     """
     snap = _snapshot(snapshot_date)
-    items = F.concat(F.col("skills_canonical"), F.array(F.lit(None).cast("string")))
-    counts = (
-        postings_df.select("role_family", F.explode(items).alias("skill"))
-        .groupBy("role_family", "skill")
-        .agg(F.count(F.lit(1)).alias("n_postings"))
-    )
-    total = F.max(F.when(F.col("skill").isNull(), F.col("n_postings"))).over(Window.partitionBy("role_family"))
-    out = counts.withColumn("n_total", total).filter(F.col("skill").isNotNull())
-    return out.select(
+    return skill_counts(postings_df).select(
         snap.alias("snapshot_date"),
         "role_family",
         "skill",

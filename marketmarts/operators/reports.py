@@ -40,11 +40,10 @@ def disclosure_rate(postings_df: DataFrame) -> DataFrame:
 
 
 def skill_counts(postings_df: DataFrame) -> DataFrame:
-    return (
-        postings_df.select("role_family", F.explode("skills_canonical").alias("skill"))
-        .groupBy("role_family", "skill")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(role_family, skill, n): postings per family mentioning each skill."""
+    from .marts import skill_counts as _counts
+
+    return _counts(postings_df).select("role_family", "skill", F.col("n_postings").alias("n"))
 
 
 def top_skills_per_family(postings_df: DataFrame, k: int = TOP_SKILLS_PER_FAMILY) -> DataFrame:

@@ -18,7 +18,7 @@ import os
 from ..functions.salary import annual_to_monthly
 from ..operators import checks, marts, reads, reports, staging
 from ..schemas import STREAM_RECORD
-from ..session import load, scratch_path, spread
+from ..session import load, scratch_path, shared_root, spread
 from ..sources import boards, jsonl, union
 from ..sources.feed import board_a_pages, board_b_pages, landing_lines, posting_feed
 from ..streaming import postings_stream as stream
@@ -34,13 +34,20 @@ def _bars(c) -> F.Column:
 class Chain:
     """The staged layers of one run, built lazily from the driver tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring"):
+    def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring", stored: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.feed = posting_feed(spark, sf_dir)
         self.valid = staging.required_fields(self.feed)
         self.raw = staging.raw_postings(self.valid)
         self.companies = staging.companies(self.valid)
         self.postings = staging.postings(self.valid, match=match)
+        if stored:
+            # Reads and reports serve from the stored staging tables: a reliable
+            # checkpoint under spark.checkpoint.dir plays that role here, so
+            # queries that use the postings several times compute them once.
+            shared_root(spark)
+            self.postings = self.postings.checkpoint()
+            self.companies = self.companies.checkpoint()
 
     @property
     def enriched(self) -> DataFrame:
@@ -204,31 +211,31 @@ def q_company_activity(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 
 def q_weekly_volume(spark, sf_dir):
-    return reports.weekly_volume(Chain(spark, sf_dir).postings)
+    return reports.weekly_volume(Chain(spark, sf_dir, stored=True).postings)
 
 
 def q_weekly_pivot(spark, sf_dir):
-    return reports.weekly_pivot(reports.weekly_volume(Chain(spark, sf_dir).postings))
+    return reports.weekly_pivot(reports.weekly_volume(Chain(spark, sf_dir, stored=True).postings))
 
 
 def q_disclosure_rate(spark, sf_dir):
-    return reports.disclosure_rate(Chain(spark, sf_dir).postings)
+    return reports.disclosure_rate(Chain(spark, sf_dir, stored=True).postings)
 
 
 def q_top_skills_family(spark, sf_dir):
-    return reports.top_skills_per_family(Chain(spark, sf_dir).postings)
+    return reports.top_skills_per_family(Chain(spark, sf_dir, stored=True).postings)
 
 
 def q_salary_kpis(spark, sf_dir):
-    return reports.salary_kpis(Chain(spark, sf_dir).salary())
+    return reports.salary_kpis(Chain(spark, sf_dir, stored=True).salary())
 
 
 def q_salary_box(spark, sf_dir):
-    return reports.salary_box(Chain(spark, sf_dir).salary())
+    return reports.salary_box(Chain(spark, sf_dir, stored=True).salary())
 
 
 def q_filter_values(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     sal, sk = c.salary(), c.skill_demand()
     return reports.filter_values({
         "role_canonical": (sal, "role_canonical"),
@@ -239,7 +246,7 @@ def q_filter_values(spark, sf_dir):
 
 
 def q_labels_lookup(spark, sf_dir):
-    p = Chain(spark, sf_dir).postings
+    p = Chain(spark, sf_dir, stored=True).postings
     g = p.groupBy("role_canonical", "role_family").agg(F.count(F.lit(1)).alias("n_postings"))
     return g.select(
         "role_canonical", reports.role_label(F.col("role_canonical")).alias("role_label"),
@@ -250,22 +257,22 @@ def q_labels_lookup(spark, sf_dir):
 # ------------------------------------------------------------------ reads
 
 def q_read_salary(spark, sf_dir):
-    return reads.read_salary(Chain(spark, sf_dir).salary(), role_canonical="data_engineer", city="Taipei")
+    return reads.read_salary(Chain(spark, sf_dir, stored=True).salary(), role_canonical="data_engineer", city="Taipei")
 
 
 def q_salary_filtered(spark, sf_dir):
     return reads.salary_filtered(
-        Chain(spark, sf_dir).salary(), "senior_data_engineer",
+        Chain(spark, sf_dir, stored=True).salary(), "senior_data_engineer",
         seniorities=["senior", "principal", "mid"], bands=["machinery", "building", "unknown"],
     )
 
 
 def q_read_skills(spark, sf_dir):
-    return reads.read_skills(Chain(spark, sf_dir).skill_demand(), top_n=25)
+    return reads.read_skills(Chain(spark, sf_dir, stored=True).skill_demand(), top_n=25)
 
 
 def q_skills_top_n(spark, sf_dir):
-    return reads.skills_top_n(Chain(spark, sf_dir).skill_demand(), "data_engineering", top_n=20)
+    return reads.skills_top_n(Chain(spark, sf_dir, stored=True).skill_demand(), "data_engineering", top_n=20)
 
 
 def _named_activity_out(df: DataFrame) -> DataFrame:
@@ -274,26 +281,26 @@ def _named_activity_out(df: DataFrame) -> DataFrame:
 
 
 def q_read_company_activity(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     return _named_activity_out(reads.read_company_activity(c.activity(), c.companies, limit=50))
 
 
 def q_company_top30(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     return _named_activity_out(reads.company_top(c.activity(), c.companies))
 
 
 def q_company_activity_labelled(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     return _named_activity_out(reads.company_activity_named(c.activity(), c.companies, "left"))
 
 
 def q_read_postings(spark, sf_dir):
-    return _posting_out(reads.read_postings(Chain(spark, sf_dir).postings, role_canonical="data_engineer", limit=500))
+    return _posting_out(reads.read_postings(Chain(spark, sf_dir, stored=True).postings, role_canonical="data_engineer", limit=500))
 
 
 def q_posting_search(spark, sf_dir):
-    hits = reads.search_postings(Chain(spark, sf_dir).enriched, title_term="engineer", skill_term="py")
+    hits = reads.search_postings(Chain(spark, sf_dir, stored=True).enriched, title_term="engineer", skill_term="py")
     return hits.select(
         "posting_id", "fetched_at", "role_raw", "company_canonical", "industry", "city",
         "salary_monthly_low", "salary_monthly_high", "salary_disclosed", _bars(F.col("skills_canonical")).alias("skills"),
@@ -315,20 +322,20 @@ def _tables(c: Chain) -> dict[str, DataFrame]:
 
 
 def q_check_not_null(spark, sf_dir):
-    return checks.not_null_violations(_tables(Chain(spark, sf_dir)))
+    return checks.not_null_violations(_tables(Chain(spark, sf_dir, stored=True)))
 
 
 def q_check_keys(spark, sf_dir):
-    return checks.key_violations(_tables(Chain(spark, sf_dir)))
+    return checks.key_violations(_tables(Chain(spark, sf_dir, stored=True)))
 
 
 def q_fk_orphans(spark, sf_dir):
-    return checks.orphan_counts(_tables(Chain(spark, sf_dir)))
+    return checks.orphan_counts(_tables(Chain(spark, sf_dir, stored=True)))
 
 
 def q_stage_counts(spark, sf_dir):
     """Run metrics: feed rows, kept rows, raw rows, postings with/without skills, companies, mart rows."""
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     parts = {
         "feed_rows": c.feed,
         "valid_rows": c.valid,
@@ -427,7 +434,7 @@ def q_postings_scan(spark, sf_dir):
 
 def q_mart_rewrite(spark, sf_dir):
     """Marts written for two snapshots, then the newer one rewritten: slices are replaced, not appended."""
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     root = scratch_path(spark, "marts")
     paths = {t: os.path.join(root, t) for t in sinks.MARTS}
     enriched = c.enriched
