@@ -39,13 +39,15 @@ def grouped_percentiles(
     quantiles: Sequence[float],
     count_rows: bool = True,
     extra_sums: Sequence[str] = (),
+    extremes: bool = False,
 ) -> DataFrame:
     """keys + n_rows + n_values + ``q_<q>`` (DOUBLE, NULL when no values) per group.
 
     ``n_rows`` counts every row of the group, ``n_values`` the non-NULL
     values; NULL values are ignored by the quantiles.  ``extra_sums`` are
     numeric columns summed per group in the same pass (no second
-    aggregation and join needed for side counts).
+    aggregation and join needed for side counts); ``extremes`` adds
+    ``min_value``/``max_value``.
     """
     keys = list(keys)
     v = F.col(value)
@@ -64,6 +66,8 @@ def grouped_percentiles(
     n = F.col("_n").cast("double")
 
     aggs = [F.max("_n").alias("n_values")] + [F.sum(c).alias(c) for c in extra_sums]
+    if extremes:
+        aggs += [F.min(v).alias("min_value"), F.max(v).alias("max_value")]
     if count_rows:
         aggs.insert(0, F.sum("_rows").alias("n_rows"))
     for q in quantiles:
@@ -79,6 +83,8 @@ def grouped_percentiles(
     res = hist.groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys] + ([F.col("n_rows")] if count_rows else []) + [F.col("n_values")]
     out += [F.col(c) for c in extra_sums]
+    if extremes:
+        out += [F.col("min_value"), F.col("max_value")]
     for q in quantiles:
         lo_v = F.col(f"_lo_{_name(q)}").cast("double")
         hi_v = F.col(f"_hi_{_name(q)}").cast("double")

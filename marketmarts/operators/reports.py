@@ -57,16 +57,39 @@ def top_skills_per_family(postings_df: DataFrame, k: int = TOP_SKILLS_PER_FAMILY
 
 
 def salary_kpis(cells: DataFrame, by: Sequence[str] = ("role_canonical",)) -> DataFrame:
-    """KPI row per group of salary cells: totals, disclosure rate, median p50/p75 (truncated)."""
+    """KPI row per group of salary cells: totals, disclosure rate, median p50/p75 (truncated).
+
+    One pass: each cell is unpivoted into a p50 row and a p75 row (the
+    cell counts ride on the p50 row only), and one grouped percentile over
+    (group, metric) yields both medians and the totals.
+    """
     by = list(by)
-    totals = cells.groupBy(*by).agg(
-        F.sum("n_postings").alias("total_postings"), F.sum("n_disclosed").alias("total_disclosed")
+    first = F.col("metric") == "p50"
+    stacked = cells.select(
+        *by,
+        F.explode(
+            F.array(
+                F.struct(F.lit("p50").alias("metric"), F.col("p50_monthly").alias("v")),
+                F.struct(F.lit("p75").alias("metric"), F.col("p75_monthly").alias("v")),
+            )
+        ).alias("m"),
+        "n_postings",
+        "n_disclosed",
+    ).select(
+        *by,
+        "m.metric",
+        "m.v",
+        F.when(F.col("m.metric") == "p50", F.col("n_postings")).otherwise(0).alias("n_postings"),
+        F.when(F.col("m.metric") == "p50", F.col("n_disclosed")).otherwise(0).alias("n_disclosed"),
     )
-    p50 = grouped_percentiles(cells.select(*by, "p50_monthly"), by, "p50_monthly", [0.5], count_rows=False)
-    p75 = grouped_percentiles(cells.select(*by, "p75_monthly"), by, "p75_monthly", [0.5], count_rows=False)
-    out = (
-        totals.join(p50.select(*by, F.col(quantile_col(0.5)).alias("m50")), by, "left")
-        .join(p75.select(*by, F.col(quantile_col(0.5)).alias("m75")), by, "left")
+    pct = grouped_percentiles(stacked, by + ["metric"], "v", [0.5], count_rows=False,
+                              extra_sums=["n_postings", "n_disclosed"])
+    med = F.col(quantile_col(0.5))
+    out = pct.groupBy(*by).agg(
+        F.sum("n_postings").alias("total_postings"),
+        F.sum("n_disclosed").alias("total_disclosed"),
+        F.max(F.when(first, med)).alias("m50"),
+        F.max(F.when(~first, med)).alias("m75"),
     )
     return out.select(
         *by,
@@ -81,19 +104,18 @@ def salary_kpis(cells: DataFrame, by: Sequence[str] = ("role_canonical",)) -> Da
 
 
 def salary_box(cells: DataFrame, by: Sequence[str] = ("role_canonical", "headcount_band", "seniority")) -> DataFrame:
-    """Five-number summary of cell medians (cells with a published p50 only)."""
+    """Five-number summary of cell medians (cells with a published p50 only), one pass."""
     by = list(by)
     base = cells.filter(F.col("p50_monthly").isNotNull()).select(*by, "p50_monthly")
-    pct = grouped_percentiles(base, by, "p50_monthly", [0.25, 0.5, 0.75], count_rows=False)
-    ext = base.groupBy(*by).agg(F.min("p50_monthly").alias("min_p50"), F.max("p50_monthly").alias("max_p50"))
-    return pct.join(ext, by, "inner").select(
+    pct = grouped_percentiles(base, by, "p50_monthly", [0.25, 0.5, 0.75], count_rows=False, extremes=True)
+    return pct.select(
         *by,
         F.col("n_values").alias("n_cells"),
-        F.col("min_p50"),
+        F.col("min_value").alias("min_p50"),
         F.col(quantile_col(0.25)).alias("q1_p50"),
         F.col(quantile_col(0.5)).alias("median_p50"),
         F.col(quantile_col(0.75)).alias("q3_p50"),
-        F.col("max_p50"),
+        F.col("max_value").alias("max_p50"),
     )
 
 

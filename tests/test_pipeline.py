@@ -84,3 +84,16 @@ def test_last_row_wins_and_hints_come_from_newest_fetch(spark):
     assert p.skills_canonical == ["kafka"]
     raw = staging.raw_postings(df).orderBy("fetched_at").collect()
     assert [(r.raw_id, r.n_fetches) for r in raw] == [(2, 1), (1, 2)]
+
+
+def test_empty_input_flows_through_as_empty_typed_frames(spark):
+    from marketmarts.operators import marts
+    from marketmarts.schemas import POSTING_FEED
+
+    feed = spark.createDataFrame([], POSTING_FEED).withColumn("seq", F.lit(0).cast("long"))
+    raw, companies, postings = staging.stage(feed)
+    enriched = staging.with_company(postings, companies)
+    for df in (raw, companies, postings, marts.salary_cells(enriched, "2026-01-01"),
+               marts.skill_demand(postings, "2026-01-01"), marts.company_activity(postings, "2026-01-01")):
+        assert df.count() == 0
+    assert dict(marts.salary_cells(enriched, "2026-01-01").dtypes)["p50_monthly"] == "int"
