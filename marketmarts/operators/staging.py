@@ -27,19 +27,19 @@ def required_fields(feed: DataFrame) -> DataFrame:
 
 def with_defaults(df: DataFrame) -> DataFrame:
     """Default values applied when a raw posting omits a field."""
-    return (
-        df.withColumn("source", F.coalesce(F.col("source"), F.lit(DEFAULT_SOURCE)))
-        .withColumn("role_raw", F.coalesce(F.col("role_raw"), F.lit("")))
-        .withColumn("salary_currency", F.coalesce(F.col("salary_currency"), F.lit(DEFAULT_CURRENCY)))
-        .withColumn("is_remote", F.coalesce(F.col("is_remote"), F.lit(False)))
-        .withColumn("salary_disclosed", F.coalesce(F.col("salary_disclosed"), F.lit(False)))
-    )
+    return df.withColumns({
+        "source": F.coalesce(F.col("source"), F.lit(DEFAULT_SOURCE)),
+        "role_raw": F.coalesce(F.col("role_raw"), F.lit("")),
+        "salary_currency": F.coalesce(F.col("salary_currency"), F.lit(DEFAULT_CURRENCY)),
+        "is_remote": F.coalesce(F.col("is_remote"), F.lit(False)),
+        "salary_disclosed": F.coalesce(F.col("salary_disclosed"), F.lit(False)),
+    })
 
 
 def company_name_raw(df: DataFrame) -> DataFrame:
     """Adds name_raw ('unknown' when absent) and name_canonical."""
     name_raw = F.coalesce(blank_to_null(F.col("company.name")), F.lit(COMPANY_UNKNOWN))
-    return df.withColumn("name_raw", name_raw).withColumn("name_canonical", classify.canonical_company(F.col("name_raw")))
+    return df.withColumns({"name_raw": name_raw, "name_canonical": classify.canonical_company(name_raw)})
 
 
 def company_key(name_canonical) -> F.Column:

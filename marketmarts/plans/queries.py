@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, skills
 from ..functions.salary import midpoint
 import os
+from functools import cached_property
 
 from ..functions.salary import annual_to_monthly
 from ..operators import checks, marts, reads, reports, staging
@@ -35,19 +36,30 @@ class Chain:
     """The staged layers of one run, built lazily from the driver tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring", stored: bool = False):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.match, self.stored = spark, sf_dir, match, stored
         self.feed = posting_feed(spark, sf_dir)
         self.valid = staging.required_fields(self.feed)
-        self.raw = staging.raw_postings(self.valid)
-        self.companies = staging.companies(self.valid)
-        self.postings = staging.postings(self.valid, match=match)
-        if stored:
-            # Reads and reports serve from the stored staging tables: a reliable
-            # checkpoint under spark.checkpoint.dir plays that role here, so
-            # queries that use the postings several times compute them once.
-            shared_root(spark)
-            self.postings = self.postings.checkpoint()
-            self.companies = self.companies.checkpoint()
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        # Reads and reports serve from the stored staging tables: a reliable
+        # checkpoint under spark.checkpoint.dir plays that role here, so
+        # queries that use the postings several times compute them once.
+        if not self.stored:
+            return df
+        shared_root(self.spark)
+        return df.checkpoint()
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return staging.raw_postings(self.valid)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._keep(staging.companies(self.valid))
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return self._keep(staging.postings(self.valid, match=self.match))
 
     @property
     def enriched(self) -> DataFrame:
