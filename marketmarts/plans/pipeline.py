@@ -25,7 +25,11 @@ def run(spark: SparkSession, feed: DataFrame, root: str | None = None, snapshot_
     """Rebuild every layer from ``feed``; returns paths and row counts per table."""
     root = root or scratch_path(spark, "warehouse")
     paths = {t: os.path.join(root, t) for t in ("raw_postings", "companies", "postings", *sinks.MARTS)}
-    valid = staging.required_fields(feed)
+    # The parsed, filtered feed is written once and read by the three staging
+    # layers, so raw input (JSON text or a join) is parsed a single time.
+    feed_path = os.path.join(root, "_feed")
+    sinks.write_table(staging.required_fields(feed), feed_path)
+    valid = spark.read.parquet(feed_path)
     sinks.write_table(staging.raw_postings(valid), paths["raw_postings"], "raw_postings")
     sinks.write_table(staging.companies(valid, order), paths["companies"], "companies")
     sinks.write_table(staging.postings(valid, match), paths["postings"], "postings")
@@ -38,7 +42,7 @@ def run(spark: SparkSession, feed: DataFrame, root: str | None = None, snapshot_
     sinks.write_mart(spark, marts.company_activity(postings, snapshot_date), paths["company_activity"],
                      "company_activity")
     counts = {t: spark.read.parquet(p).count() for t, p in paths.items()}
-    return {"root": root, "paths": paths, "counts": counts}
+    return {"root": root, "paths": paths, "feed": feed_path, "counts": counts}
 
 
 def mart_slices(spark: SparkSession, paths: dict) -> DataFrame:

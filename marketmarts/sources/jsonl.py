@@ -65,9 +65,16 @@ def bad_line_count(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count_if(ok.isNull() | ~F.expr("schema_of_variant(try_parse_json(line))").startswith("OBJECT")).alias("bad_lines"))
 
 
-def read_postings_jsonl(spark: SparkSession, paths) -> DataFrame:
-    """S1 + S2: every posting line under ``paths`` in ingest order."""
-    return parse_postings(scan_lines(spark, paths))
+def read_postings_jsonl(spark: SparkSession, paths, glob: str = "*.jsonl") -> DataFrame:
+    """S1 + S2: every posting line under ``paths`` in ingest order.
+
+    Raises ``FileNotFoundError`` when no landing file matches (the file
+    listing is the planner's own metadata; no data is read for the check).
+    """
+    lines = scan_lines(spark, paths, glob)
+    if not lines.inputFiles():
+        raise FileNotFoundError(f"no {glob} files under {paths}")
+    return parse_postings(lines)
 
 
 def write_jsonl(df: DataFrame, path: str, partition_by: str | None = "source") -> int:

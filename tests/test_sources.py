@@ -101,3 +101,12 @@ def test_read_postings_jsonl_discovers_files_recursively(spark):
     rows = jsonl.read_postings_jsonl(spark, root).orderBy("seq").collect()
     assert [r.posting_id for r in rows] == ["104-1", "yourator-2"]
     assert rows[0].company.name == "Foo" and rows[0].company.headcount_band is None
+
+
+def test_no_landing_files_is_an_error(spark):
+    import pytest
+
+    root = scratch_path(spark, "jsonl-empty")
+    os.makedirs(root, exist_ok=True)
+    with pytest.raises(FileNotFoundError):
+        jsonl.read_postings_jsonl(spark, root)
