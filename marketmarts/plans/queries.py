@@ -480,7 +480,8 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 def q_stream_hourly(spark, sf_dir):
     """Hourly event counts per type with a 2 h watermark, drained in append mode."""
     base = scratch_path(spark, "stream_hourly")
-    stream.run_to_parquet(stream.hourly_counts(_event_stream(spark, sf_dir)), base + "/sink", base + "/checkpoint")
+    stream.run_to_parquet(stream.hourly_counts(_event_stream(spark, sf_dir)), base + "/sink", base + "/checkpoint",
+                          state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(base + "/sink")
 
 
@@ -491,14 +492,13 @@ def q_stream_hot_upsert(spark, sf_dir):
         _event_stream(spark, sf_dir), "posting_id", ["event_time", "event_id"],
         ["event_id", "role_family", "value", "event_time"],
     )
-    q = (
+    writer = (
         latest.writeStream.outputMode("update")
         .foreachBatch(stream.upsert_batches(spark, base + "/table", "posting_id", ["event_time", "event_id"]))
         .option("checkpointLocation", base + "/checkpoint")
         .trigger(availableNow=True)
-        .start()
     )
-    q.awaitTermination()
+    stream.start_with_state_partitions(spark, writer, spark.sparkContext.defaultParallelism).awaitTermination()
     t = stream.read_hot_table(spark, base + "/table")
     return t.select("posting_id", "event_id", "role_family", "value",
                     F.col("event_time").cast("timestamp_ntz").alias("event_time"))

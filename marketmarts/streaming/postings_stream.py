@@ -46,17 +46,34 @@ def hourly_counts(records: DataFrame, ts_col: str = "event_time", family_col: st
     )
 
 
-def run_to_parquet(stream_df: DataFrame, sink: str, checkpoint: str, output_mode: str = "append") -> None:
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a streaming query whose state store has ``state_partitions`` partitions.
+
+    The number is fixed in the checkpoint when the query first starts (it
+    is the session's shuffle-partition count at that moment), so it is set
+    only around ``start()``; a restart reuses the stored value.
+    """
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, prev)
+
+
+def run_to_parquet(stream_df: DataFrame, sink: str, checkpoint: str, output_mode: str = "append",
+                   state_partitions: int | None = None) -> None:
     """Drain everything available now into a Parquet sink (recoverable via the checkpoint)."""
-    q = (
+    writer = (
         stream_df.writeStream.outputMode(output_mode)
         .format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    q.awaitTermination()
+    start_with_state_partitions(stream_df.sparkSession, writer, state_partitions).awaitTermination()
 
 
 def latest_per_key(records: DataFrame, key: str, order_cols: list[str], value_cols: list[str]) -> DataFrame:
