@@ -41,8 +41,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", cpus, app="marketmarts-bench",
-                          extra={"spark.driver.memory": "16g"})
+    # Small post-shuffle partitions still carry regex-heavy work at this scale,
+    # so AQE may coalesce down to 64 KiB partitions instead of 1 MiB (no effect
+    # once partitions are large).
+    spark = build_session(f"local[{cpus}]", cpus, app="marketmarts-bench", extra={
+        "spark.driver.memory": "16g",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    })
     times = {}
     for name in names:
         q = QUERIES[name]

@@ -31,11 +31,15 @@ def _bounded(name: str, value: int, lo: int, hi: int) -> int:
 
 
 def _snapshot_filter(df: DataFrame, snapshot_date) -> DataFrame:
-    """One snapshot: the given one, else the latest present."""
+    """One snapshot: the given one, else the latest present.
+
+    The latest date is a scalar subquery, so on a table partitioned by
+    ``snapshot_date`` only that partition is scanned.
+    """
     if snapshot_date is not None:
         return df.filter(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-    latest = df.agg(F.max("snapshot_date").alias("_latest"))
-    return df.join(latest, F.col("snapshot_date") == F.col("_latest"), "left_semi")
+    latest = df.agg(F.max("snapshot_date")).scalar()
+    return df.filter(F.col("snapshot_date") == latest)
 
 
 def read_salary(salary: DataFrame, role_canonical=None, seniority=None, headcount_band=None, city=None,

@@ -121,7 +121,10 @@ def read_hot_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def recent(df: DataFrame, ts_col: str, within: str = "1 hour") -> DataFrame:
-    """Rows newer than (latest time - ``within``); the latest time is one broadcast row."""
-    latest = df.agg(F.max(ts_col).alias("_latest"))
-    cond = F.col(ts_col) > (F.col("_latest") - F.expr(f"INTERVAL {within}"))
-    return df.join(F.broadcast(latest), cond, "inner").drop("_latest")
+    """Rows newer than (latest time - ``within``).
+
+    The latest time is a scalar subquery (a partial max per task, one row),
+    so the filter needs no join.
+    """
+    latest = df.agg(F.max(ts_col)).scalar()
+    return df.filter(F.col(ts_col) > latest - F.expr(f"INTERVAL {within}"))
