@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import classify, skills
 from ..functions.fixed_values import COMPANY_UNKNOWN, DEFAULT_CURRENCY, DEFAULT_SOURCE
@@ -51,7 +52,8 @@ def raw_postings(valid: DataFrame) -> DataFrame:
     """Raw table: one row per (source, source_post_id, fetched_at); first arrival wins.
 
     ``payload`` is the JSON text of the whole raw posting; ``raw_id`` is
-    the ingest position of the kept row and ``n_fetches`` how many arrived.
+    the ingest position of the kept row (a hash of it when the position is
+    a (file, offset) struct) and ``n_fetches`` how many arrived.
     """
     payload_cols = [c for c in valid.columns if c != "seq"]
     payload = F.to_json(F.struct(*[F.col(c) for c in payload_cols]))
@@ -62,8 +64,10 @@ def raw_postings(valid: DataFrame) -> DataFrame:
         "seq",
         payload.alias("payload"),
     ).withColumn("source", F.coalesce("source", F.lit(DEFAULT_SOURCE)))
+    first = F.min("seq")
+    raw_id = first if isinstance(valid.schema["seq"].dataType, T.NumericType) else F.xxhash64(first)
     return rows.groupBy("source", "source_post_id", "fetched_at").agg(
-        F.min("seq").alias("raw_id"),
+        raw_id.alias("raw_id"),
         F.min_by("payload", "seq").alias("payload"),
         F.count(F.lit(1)).alias("n_fetches"),
     )
@@ -119,8 +123,11 @@ def latest_postings(valid: DataFrame) -> DataFrame:
     """
     rows = company_name_raw(with_defaults(valid))
     last_row = F.max_by(F.struct(*[F.col(c) for c in _POSTING_FIELDS]), "seq")
-    # newest fetched_at; among copies of one fetch the first arrival (raw dedup) wins
-    newest_hints = F.max_by("skills_raw", F.struct(F.col("fetched_at"), -F.col("seq")))
+    # newest fetched_at; among copies of one fetch the first arrival (raw dedup) wins.
+    # Written as a minimum so ``seq`` may be any orderable type (a number or a
+    # (file, position) struct).
+    age = -F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', fetched_at)")
+    newest_hints = F.min_by("skills_raw", F.struct(age, F.col("seq")))
     per_source = rows.groupBy("posting_id", "source").agg(
         F.max("seq").alias("last_seq"),
         last_row.alias("row"),

@@ -2,49 +2,40 @@
 
 Files are discovered by Spark (recursive lookup, ``*.jsonl`` filter) and
 split like any text source; nothing is read on the driver.  Ingest order
-(``seq``) is (file path, position in file), so the staging "last row
-wins" rules are deterministic and do not depend on how splits are packed.
+(``seq``) is the struct (file path, position in file), so the staging
+"last row wins" rules are deterministic and do not depend on how splits
+are packed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_POSTING
 from .conform import conform_feed
 
-_ROW_BITS = 2**40  # positions per file rank (byte offset + line index within a split)
-
-
 def scan_lines(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.jsonl") -> DataFrame:
-    """(file_path, seq, line) for every non-blank, trimmed line.
+    """(file_path, seq, line) for every non-blank, trimmed line, in one pass over the text.
 
-    ``seq`` = file rank * 2^40 + split offset + row index in the task.  A
-    task reads at most one split size of bytes and every line has at least
-    one byte, so rows of different splits of a file get disjoint, ordered
-    ranges without any shuffle of the lines.  Only the distinct file paths
-    (metadata-sized) are ranked.
+    ``seq`` = STRUCT<file_path, pos> and orders like (file path, position):
+    ``pos`` is the split's byte offset plus the row index within the task.
+    A task reads at most one split size of bytes and every line has at
+    least one byte, so the rows of different splits of a file get disjoint,
+    ordered ranges.  Nothing is shuffled and the text is read once.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     raw = reader.text(list(paths) if not isinstance(paths, str) else paths)
+    path = F.col("_metadata.file_path")
+    pos = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     lines = raw.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        (F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))).alias(
-            "_pos"
-        ),
+        path.alias("file_path"),
+        F.struct(path.alias("file_path"), pos.alias("pos")).alias("seq"),
         F.trim(F.col("value")).alias("line"),
     )
-    files = lines.select("file_path").distinct()
-    ranked = files.withColumn("file_rank", F.dense_rank().over(Window.orderBy("file_path")))
-    out = lines.join(ranked, "file_path").select(
-        "file_path",
-        (F.col("file_rank").cast("long") * F.lit(_ROW_BITS) + F.col("_pos")).alias("seq"),
-        "line",
-    )
-    return out.filter(F.col("line") != "")
+    return lines.filter(F.col("line") != "")
 
 
 def parse_postings(lines: DataFrame, schema=RAW_POSTING) -> DataFrame:

@@ -97,3 +97,29 @@ def test_empty_input_flows_through_as_empty_typed_frames(spark):
                marts.skill_demand(postings, "2026-01-01"), marts.company_activity(postings, "2026-01-01")):
         assert df.count() == 0
     assert dict(marts.salary_cells(enriched, "2026-01-01").dtypes)["p50_monthly"] == "int"
+
+
+def test_staging_from_landing_files_orders_by_file_then_line(spark):
+    import json
+    import os
+
+    from marketmarts.sources import jsonl
+
+    root = scratch_path(spark, "landing-stage")
+    os.makedirs(root, exist_ok=True)
+    rec = lambda pid, t, title, hints: json.dumps({"posting_id": pid, "source": "s", "fetched_at": t,
+                                                    "role_raw": title, "skills_raw": hints,
+                                                    "company": {"name": "Foo Inc."}})
+    with open(os.path.join(root, "a.jsonl"), "w") as fh:
+        fh.write(rec("P-1", "2026-01-09T00:00:00", "Data Engineer", ["kafka"]) + "\n")
+        fh.write(rec("P-1", "2026-01-02T00:00:00", "Data Analyst", ["tableau"]) + "\n")
+    with open(os.path.join(root, "b.jsonl"), "w") as fh:
+        fh.write(rec("P-1", "2026-01-09T00:00:00", "Data Scientist", ["looker"]) + "\n")
+    feed = jsonl.read_postings_jsonl(spark, root)
+    raw, companies, postings = staging.stage(feed)
+    (p,) = postings.collect()
+    assert p.role_canonical == "data_scientist"  # last line of the last file wins
+    assert p.skills_canonical == ["kafka"]  # newest fetch, first arrival
+    assert sorted(r.n_fetches for r in raw.collect()) == [1, 2]
+    assert companies.first().name_canonical == "Foo"
+    sinks.write_table(raw, scratch_path(spark, "raw-typed"), "raw_postings")  # raw_id fits BIGINT
