@@ -19,7 +19,7 @@ from functools import cached_property
 from ..functions.salary import annual_to_monthly
 from ..operators import checks, marts, reads, reports, staging
 from ..schemas import STREAM_RECORD
-from ..session import load, scratch_path, shared_root, spread
+from ..session import load, scratch_path, spread
 from ..sources import boards, jsonl, union
 from ..sources.feed import board_a_pages, board_b_pages, landing_lines, posting_feed
 from ..streaming import postings_stream as stream
@@ -41,13 +41,15 @@ class Chain:
         self.valid = staging.required_fields(self.feed)
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        # Reads and reports serve from the stored staging tables: a reliable
-        # checkpoint under spark.checkpoint.dir plays that role here, so
-        # queries that use the postings several times compute them once.
+        # Reads and reports serve from the stored staging tables: the frame is
+        # written once as a table under spark.checkpoint.dir and read back, so
+        # queries that use the postings several times compute them once and the
+        # lineage is cut (an eager checkpoint() would compute it twice).
         if not self.stored:
             return df
-        shared_root(self.spark)
-        return df.checkpoint()
+        path = scratch_path(self.spark, "staged")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def raw(self) -> DataFrame:
