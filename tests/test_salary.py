@@ -85,3 +85,16 @@ def test_week_ending_sunday(spark):
     assert [r[0] for r in df.select(week_ending_sunday(F.col("ts"))).collect()] == [
         dt.date(2026, 1, 4), dt.date(2026, 1, 11), dt.date(2026, 1, 11),
     ]
+
+
+def test_company_median_optional_small_cell_guard(spark):
+    df = spark.createDataFrame(
+        [("c1", "data_engineering", 100, 100), ("c1", "other", 101, 101),
+         ("c2", "analytics", 10, 20), ("c2", "analytics", 30, 40), ("c2", "other", 50, 60)],
+        "company_id string, role_family string, salary_monthly_low int, salary_monthly_high int",
+    ).withColumn("company_id", F.xxhash64("company_id"))
+    out = {r.n_postings: r for r in marts.company_activity(df, "2026-01-01", min_disclosed=3).collect()}
+    assert out[2].median_monthly is None  # two midpoints: guarded
+    assert (out[3].median_monthly, out[3].n_data_ai) == (35, 2)
+    plain = {r.n_postings: r.median_monthly for r in marts.company_activity(df, "2026-01-01").collect()}
+    assert plain == {2: 100, 3: 35}
