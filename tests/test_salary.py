@@ -98,3 +98,19 @@ def test_company_median_optional_small_cell_guard(spark):
     assert (out[3].median_monthly, out[3].n_data_ai) == (35, 2)
     plain = {r.n_postings: r.median_monthly for r in marts.company_activity(df, "2026-01-01").collect()}
     assert plain == {2: 100, 3: 35}
+
+
+def test_approx_method_counts_flag_and_keeps_null_dimensions(spark):
+    rows = [("de", "mid", None, None, True, 2 * m, 0) for m in (10, 20, 30, 45, 70)]
+    rows.append(("de", "mid", None, None, True, 100, None))  # flagged, one bound missing
+    df = spark.createDataFrame(
+        rows,
+        "role_canonical string, seniority string, headcount_band string, city string, "
+        "salary_disclosed boolean, salary_monthly_low int, salary_monthly_high int",
+    )
+    (row,) = marts.salary_cells(df, "2026-01-01", method="approx").collect()
+    assert row.headcount_band is None and row.city is None
+    assert (row.n_postings, row.n_disclosed) == (6, 6)
+    assert row.p50_monthly == 30.0  # an actual midpoint, not truncated or interpolated
+    (exact,) = marts.salary_cells(df, "2026-01-01").collect()
+    assert (exact.n_disclosed, exact.headcount_band) == (5, "unknown")
