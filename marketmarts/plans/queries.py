@@ -38,7 +38,9 @@ class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring", stored: bool = False):
         self.spark, self.sf_dir, self.match, self.stored = spark, sf_dir, match, stored
         self.feed = posting_feed(spark, sf_dir)
-        self.valid = staging.required_fields(self.feed)
+        # stored: the filtered feed is written once, so orders is scanned and
+        # joined once for all staging branches (as in plans.pipeline.run)
+        self.valid = self._keep(staging.required_fields(self.feed))
 
     def _keep(self, df: DataFrame) -> DataFrame:
         # Reads and reports serve from the stored staging tables: the frame is
