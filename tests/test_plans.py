@@ -6,8 +6,8 @@ none may run Python per row: everything stays in JVM operators.
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from marketmarts.plans import queries
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
@@ -17,9 +17,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_no_cartesian_nested_loop_or_python(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(queries.QUERIES[name](spark, SF_SMALL))
     for op in FORBIDDEN:
         assert op not in plan, f"{name} uses {op}"
 

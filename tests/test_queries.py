@@ -5,11 +5,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from marketmarts.plans import queries
 from marketmarts.session import TABLES
 from tools.compare import rows_key
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = queries.QUERIES
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
