@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketmarts.llm import simhash
+from marketmarts.llm import mixing, quality, simhash
 from marketmarts.llm.common import load
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, load(spark, sf_dir, "labels")))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(load(spark, sf_dir, "documents"))
 
 
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_simhash": op3_simhash,
+    "op8_mix": op8_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {}
