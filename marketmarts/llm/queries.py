@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketmarts.llm import mixing, quality, simhash
+from marketmarts.llm import mixing, pii, quality, simhash
 from marketmarts.llm.common import load
 
 
@@ -21,10 +21,15 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_simhash": op3_simhash,
     "op8_mix": op8_mix,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
