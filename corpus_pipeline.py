@@ -6,21 +6,54 @@ as Parquet and reread as the next stage's ``docs``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketmarts.llm import simhash
+from marketmarts.llm import bpe, mixing, pii, quality, simhash
 from marketmarts.llm.common import load, stored
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that score below the bound go."""
+    return quality.keep_good(docs, quality.train(docs, load(spark, sf_dir, "labels")))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: one document of each component stays."""
     return simhash.keep_one(docs)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it leave the texts; n_chars follows."""
+    return with_length(docs, pii.sanitise(docs))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights: taken words only, once per pass; n_chars follows."""
+    return with_length(docs, mixing.mixed_texts(docs))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every text, encoded and decoded again."""
+    return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
+                      public_tokenizers.PATTERN, digests=True)
+
+
+def with_length(before: DataFrame, after: DataFrame) -> DataFrame:
+    kind = before.schema["n_chars"].dataType
+    return after.withColumn("n_chars", F.length("text").cast(kind)).select(*before.columns)
+
+
 STAGES = [
-    ("dedup", dedup),
+    ("quality", good),
+    ("dedup", distinct),
+    ("pii", private),
+    ("mix", mixed),
+    ("tokens", tokens),
 ]
 
+#: The classifier's boosting and XXH64 majorities have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
