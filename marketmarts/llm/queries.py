@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketmarts.llm import bpe, mixing, pii, quality, simhash
+from marketmarts.llm import bpe, mixing, pii, quality, simhash, token_counts
 from marketmarts.llm.common import load
 
 
@@ -27,6 +28,12 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = token_counts.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    counted = token_counts.with_prefix_counts(load(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(load(spark, sf_dir, "documents"))
 
@@ -36,6 +43,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_bpe": op5_bpe,
     "op8_mix": op8_mix,
+    "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
 }
 
