@@ -72,10 +72,12 @@ class PrefixCounter:
             joined = a + b
             if joined not in self.tokens and self._merge([joined[i:i + 1] for i in range(len(joined))]) == [joined]:
                 self.tokens.add(joined)
+        self.split = {a + b: (a, b, i) for (a, b), i in self.rank.items()}
+        self.one_way = len(self.split) == len(self.rank)  # every token comes from one merge only
         self.longest = max(map(len, self.tokens))
         self.find = regex.compile(pattern).findall
         self.special = sorted(special, key=len, reverse=True)
-        self.split = regex.compile("|".join(map(regex.escape, self.special))) if special else None
+        self.cut = regex.compile("|".join(map(regex.escape, self.special))) if special else None
         self.memory_words = memory_words
         self.words: dict[str, tuple[int, bytes]] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -100,10 +102,37 @@ class PrefixCounter:
         if known is None:
             if len(self.pairs) >= 4 * self.memory_words:
                 self.pairs.clear()
-            joined = left + right
-            known = self.pairs[key] = self._merge([joined[i:i + 1] for i in range(len(joined))]) == [left, right]
+            if self.one_way:
+                known = not self._crossed(left, right)
+            else:
+                joined = left + right
+                known = self._merge([joined[i:i + 1] for i in range(len(joined))]) == [left, right]
+            self.pairs[key] = known
         return known
 
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int, int]]:
+        """What stands at one edge of a token while it is merged: (part, rank it is formed at, rank it is consumed at)."""
+        out, consumed = [], len(self.rank)
+        while True:
+            parts = self.split.get(token)
+            formed = parts[2] if parts else -1
+            out.append((token, formed, consumed))
+            if not parts:
+                return out
+            token, consumed = parts[side], formed
+
+    def _crossed(self, left: bytes, right: bytes) -> bool:
+        """Whether a merge over the border comes due while both of its parts stand there (of equal ones the left goes first)."""
+        rank = self.rank
+        rights = self._edge(right, 0)
+        for a, formed_a, until_a in self._edge(left, 1):
+            for b, formed_b, until_b in rights:
+                if formed_a < until_b and formed_b < until_a:
+                    r = rank.get((a, b))
+                    if r is not None and formed_a < r < until_a and formed_b < r <= until_b:
+                        return True
+        return False
+
     def extend(self, data: bytes, last: list[bytes], count: list[int]) -> None:
         """Fill ``last`` and ``count`` (both for prefixes 0..) up to the whole of ``data``."""
         tokens, fits, pairs, longest = self.tokens, self._fits, self.pairs, self.longest
@@ -195,7 +224,7 @@ class PrefixCounter:
         """Token count of every prefix: element i is that of the first i characters."""
         parts: list[np.ndarray] = []
         begin = 0
-        for m in self.split.finditer(text) if self.split else ():
+        for m in self.cut.finditer(text) if self.cut else ():
             segment = text[begin:m.start()]
             parts.append(self.steps(segment))
             parts.append(self._special_steps(segment, m.group()))
@@ -217,7 +246,7 @@ class PrefixCounter:
     def count(self, text: str) -> int:
         """Tokens of the whole text, from the same tables."""
         total, begin = 0, 0
-        for m in self.split.finditer(text) if self.split else ():
+        for m in self.cut.finditer(text) if self.cut else ():
             total += self._plain(text[begin:m.start()]) + 1
             begin = m.end()
         return total + self._plain(text[begin:])
