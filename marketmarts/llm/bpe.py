@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from marketmarts.llm.common import field_type, stored
 
-CHUNK_CHARS = 1 << 24
+CHUNK_CHARS = 1 << 25
 MEMORY_WORDS = 1_000_000
 
 
@@ -99,23 +99,10 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(out)
 
 
-def _pack(items: list[bytes]) -> bytes:
-    sizes = np.fromiter(map(len, items), np.uint32, len(items))
-    return zstandard.compress(np.uint32(len(items)).tobytes() + sizes.tobytes() + b"".join(items), 1)
-
-
-def _unpack(blob: bytes) -> list[bytes]:
-    raw = zstandard.decompress(blob)
-    n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    stops = 4 + 4 * n + np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)
-    starts = np.concatenate(([4 + 4 * n], stops[:-1])) if n else stops
-    return [raw[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
-
-
 def _packed_numbers(x: np.ndarray) -> bytes:
     """Numbers as byte planes: the planes of small numbers compress to almost nothing."""
     planes = x.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 6)
 
 
 def _unpacked_numbers(blob: bytes) -> np.ndarray:
@@ -123,6 +110,19 @@ def _unpacked_numbers(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
+def _pack(items: list[bytes]) -> bytes:
+    """Byte strings as one blob: packed lengths, then everything in a row."""
+    sizes = _packed_numbers(np.fromiter(map(len, items), np.uint32, len(items)))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(items), 3)
+
+
+def _unpack(blob: bytes) -> list[bytes]:
+    n = int.from_bytes(blob[:4], "little")
+    raw = zstandard.decompress(blob[4 + n:])
+    stops = np.cumsum(_unpacked_numbers(blob[4:4 + n]), dtype=np.int64).tolist()
+    return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+
 _CHUNK = "chunk bigint, docs binary, lengths binary, positions binary, buckets binary, lists array<struct<bucket:int,words:binary>>"
 
 
@@ -187,9 +187,14 @@ def _cut(docs: DataFrame, pattern: str, buckets: int, chunk_chars: int) -> DataF
     return docs.mapInArrow(run, _CHUNK)
 
 
+def _id_width(ranks: dict[bytes, int]) -> str:
+    return "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
+
+
 def _encode_lists(ranks, memory_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
+        width = _id_width(table)
         known: dict[bytes, bytes] = {}
         for b in batches:
             answers = []
@@ -200,7 +205,7 @@ def _encode_lists(ranks, memory_words: int):
                     if ids is None:
                         if len(known) >= memory_words:
                             known.clear()
-                        ids = known[w] = np.array(merge(w, table), "<u4").tobytes()
+                        ids = known[w] = np.array(merge(w, table), width).tobytes()
                     out.append(ids)
                 answers.append(_pack(out))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(answers, pa.binary())],
@@ -228,11 +233,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         table = shared.value
+        width = _id_width(table)
         parts = {b: _unpack(x) for b, x in zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist())}
         row = left.to_pylist()[0]
         of = _unpacked_numbers(row["buckets"])
         each = {b: iter(p) for b, p in parts.items()}
-        word_ids = [tuple(np.frombuffer(next(each[b]), "<u4").tolist()) for b in of.tolist()]
+        word_ids = [tuple(np.frombuffer(next(each[b]), width).tolist()) for b in of.tolist()]
         positions = _unpacked_numbers(row["positions"])
         ids = pa.ipc.open_stream(row["docs"]).read_all().column("id")
         spell = [b""] * (max(table.values()) + 1)
