@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmarts.llm import bpe, mixing, pii, quality, simhash, token_counts
+from marketmarts.llm import bpe, chat, licenses, mixing, pii, quality, simhash, token_counts
 from marketmarts.llm.common import load
 
 
@@ -15,6 +15,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, load(spark, sf_dir, "labels")))
 
 
+#: A conversation that holds the template's own control strings.
+ODD_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(chat.pieces(turns.unionByName(odd)))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(load(spark, sf_dir, "documents"))
 
@@ -24,6 +34,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(load(spark, sf_dir, "documents"))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -40,11 +54,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
     "op5_bpe": op5_bpe,
+    "op6_licenses": op6_licenses,
     "op8_mix": op8_mix,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_chat": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/'))
+    + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</', '<\/'), chr(10), '\n')) + 13 AS size FROM c),
+r AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS until FROM e)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN until END), 0)::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id""",
+    "op6_licenses": licenses.oracle(),
+}
