@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmarts.llm import bpe, chat, licenses, mixing, pii, quality, simhash, token_counts
+from marketmarts.llm import bpe, chat, licenses, mixing, pii, quality, simhash, token_counts, topk
 from marketmarts.llm.common import load
 
 
@@ -29,6 +29,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(load(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
+    "op4_topk": op4_topk,
     "op5_bpe": op5_bpe,
     "op6_licenses": op6_licenses,
     "op8_mix": op8_mix,
@@ -76,5 +81,12 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
   coalesce(sum(CASE WHEN role = 'assistant' THEN until END), 0)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id""",
+    "op4_topk": """
+WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM e q JOIN e c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op6_licenses": licenses.oracle(),
 }
