@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmarts.llm import bpe, chat, licenses, mixing, pii, quality, simhash, token_counts, topk
+from marketmarts.llm import ann, bpe, chat, licenses, mixing, pii, quality, simhash, token_counts, topk
 from marketmarts.llm.common import load
 
 
@@ -42,6 +42,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(load(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_bpe": op5_bpe,
     "op6_licenses": op6_licenses,
+    "op7_ann": op7_ann,
     "op8_mix": op8_mix,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
