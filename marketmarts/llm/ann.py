@@ -42,7 +42,7 @@ MAX_LISTS = 2048
 PART_ROWS = 4096
 BORDER = 0.1
 COPIES = 3
-REACH = 0.35
+REACH = 0.13
 LEAST = 40
 SEED = 11
 

@@ -279,13 +279,13 @@ def decode(encoded: DataFrame, tokens: DataFrame, id_col: str = "doc_id", ids_co
     they stand.  Ids outside the table fail the job.
     """
     rows = encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
-    per = rows.groupBy("id", "ids").agg(F.count("*").alias("times"))
-    spread = per.select("id", "ids", "times", F.posexplode_outer("ids").alias("at", "token_id"))
-    named = spread.join(F.broadcast(tokens), "token_id", "left").withColumn(
-        "token", F.when(F.col("token_id").isNull(), F.lit(b"")).when(F.col("token").isNotNull(), F.col("token"))
-        .otherwise(F.raise_error(F.concat(F.lit("no token "), F.col("token_id").cast("string"))).cast("binary")))
-    joined = F.aggregate(F.array_sort(F.collect_list(F.struct("at", F.hex("token").alias("h")))), F.lit(""),
-                         lambda a, x: F.concat(a, x["h"]))
-    out = named.groupBy("id", "ids", "times").agg(F.unhex(joined).alias("decoded"))
+    rows = rows.withColumn("digest", F.sha2(F.array_join("ids", ","), 256))
+    spread = (rows.groupBy("id", "digest").agg(F.first("ids").alias("ids"), F.count("*").alias("times"))
+              .select("id", "digest", "times", F.posexplode_outer("ids").alias("at", "token_id")))
+    missing = F.raise_error(F.concat(F.lit("no token "), F.col("token_id").cast("string"))).cast("string")
+    named = spread.join(F.broadcast(tokens), "token_id", "left").withColumn("spelt", F.when(
+        F.col("token_id").isNull(), "").when(F.col("token").isNotNull(), F.hex("token")).otherwise(missing))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "spelt"))), lambda x: x["spelt"]), "")
+    out = named.groupBy("id", "digest", "times").agg(F.unhex(joined).alias("decoded"))
     return out.select(F.col("id").alias(id_col), "decoded",
                       F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("_n")).drop("_n")
