@@ -4,7 +4,7 @@ Vectors become integers, floor(64 x).  Different candidate vectors are dealt
 into blocks of about ``block_rows``; a block keeps, per dimension, its
 vectors in descending order of the component.  A query reads the lists of the
 dimensions it uses, from the top where its component is positive and from the
-bottom where it is negative, deeper in doubling steps.  For every vector met
+bottom where it is negative, deeper in steps of a share of the block.  For every vector met
 it holds the sum of what was read, a lower bound (unread lists at their worst
 value) and an upper bound (unread lists at the value just read).  Reading
 stops when neither an unseen vector nor all but a few of the seen ones can
@@ -34,50 +34,61 @@ from marketmarts.llm.common import stored
 from marketmarts.llm.vectors import Batches, distinct_vectors, finite, packed, ranked
 
 SCALE = 64
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 QUERY_ROWS = 512
 FIRST_DEPTH = 64
-FEW = 128
+FEW = 256
 
 
 class SortedLists:
-    """One block: its vectors and, per dimension, their order by component, largest first."""
+    """One block: per dimension the components in descending order, and each row's place in that order.
+
+    At depth t exactly the rows placed among the first t of a list (the last
+    t, for a negative weight) have been read from it.
+    """
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        self.order = np.argsort(-x, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.take_along_axis(x.T, self.order, axis=1).astype(np.float64)
-
-    def top(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) that hold the k best rows of the block and all that tie with them."""
-        n = len(self.x)
-        dims = np.flatnonzero(q)
-        if n <= max(k, FEW) or not len(dims):
-            rows = np.arange(n)
-            return rows, self.x @ q
-        up = q[dims] > 0
-        weight = np.abs(q[dims]).astype(np.float64)[:, None]
-        order, values = self.order[dims], self.values[dims]
-        order = np.where(up[:, None], order, order[:, ::-1])
-        gain = np.where(up[:, None], values, -values[:, ::-1]) * weight  # descending along each list
-        worst = gain[:, -1]
-        total = np.zeros(n)
-        unread = np.ones((n, len(dims)))
-        columns = np.arange(len(dims))[:, None]
-        depth, step = 0, FIRST_DEPTH
-        while True:
-            upto = min(n, depth + step)
-            ids = order[:, depth:upto]
-            total += np.bincount(ids.ravel(), gain[:, depth:upto].ravel(), n)
-            unread[ids, columns] = 0
-            depth, step = upto, step * 2
-            edge = gain[:, depth - 1]
-            bounds = unread @ np.column_stack((worst, edge))
-            lower, upper = total + bounds[:, 0], total + bounds[:, 1]
-            least = np.partition(lower, n - k)[n - k]
-            rows = np.flatnonzero(upper >= least)
-            if depth == n or (edge.sum() < least and len(rows) <= FEW):
-                return rows, self.x[rows] @ q
+        n, width = x.shape
+        order = np.argsort(-x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(x, order, axis=0).astype(np.float64)
+        self.place = np.empty((n, width), np.int32)
+        np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
+        self.place_up = n - 1 - self.place
+        self.largest = float(np.abs(x).max(initial=0))
+
+    def top(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the (rows, scores) that hold the k best rows of the block and all that tie with them.
+
+        What has been read at a depth depends on a weight's sign only, so the
+        bounds of all queries still reading are two matrix products each.
+        """
+        n, width = self.x.shape
+        whole = [(np.arange(n), None)] * len(queries)
+        span = self.largest * float(np.abs(queries).max(initial=0)) * width
+        if n > max(k, FEW) and span < 1 << 53:
+            # sums of whole numbers below 2^24 are exact in single precision, below 2^53 in double
+            kind = np.float32 if span < 1 << 24 else np.float64
+            x = self.x.astype(kind)
+            falling, rising = np.maximum(queries, 0).astype(kind).T, np.minimum(queries, 0).astype(kind).T
+            top, bottom = self.sorted[0].astype(kind), self.sorted[-1].astype(kind)
+            reading = np.arange(len(queries))
+            depth, step = 0, max(FIRST_DEPTH, n // 8)
+            while len(reading):
+                depth, step = min(n, depth + step), max(step, n // 4)
+                down, up = self.place < depth, self.place_up < depth
+                edge_down, edge_up = self.sorted[depth - 1].astype(kind), self.sorted[n - depth].astype(kind)
+                f, r = falling[:, reading], rising[:, reading]
+                lower = np.where(down, x, bottom) @ f + np.where(up, x, top) @ r
+                least = np.partition(lower, n - k, axis=0)[n - k]
+                settled = (edge_down @ f + edge_up @ r < least) | (depth == n)  # else an unseen row could still qualify
+                upper = np.where(down, x, edge_down) @ f[:, settled] + np.where(up, x, edge_up) @ r[:, settled]
+                alive = upper >= least[settled]
+                few = (alive.sum(axis=0) <= FEW) | (depth == n)
+                for j, q in zip(np.flatnonzero(few), reading[settled][few]):
+                    whole[q] = (np.flatnonzero(alive[:, j]), None)
+                reading = np.setdiff1d(reading, reading[settled][few], assume_unique=True)
+        return [(rows, self.x[rows] @ q) for (rows, _), q in zip(whole, queries)]
 
 
 def _deal(rows: DataFrame, name: str, per_block: int) -> tuple[DataFrame, int]:
@@ -99,7 +110,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     parts = packed(questions, ["dim", "part"], "<i8").select(
         F.col("dim").alias("q_dim"), "part", F.col("n").alias("q_n"), F.col("vecs").alias("q_vecs"),
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("q_block"))
-    pairs = parts.join(blocks, (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("block"))).select(
+    # both sides dealt to one task per block: the work of a block is far larger than its bytes
+    parts = parts.repartition(n_blocks, "q_dim", "q_block")
+    pairs = parts.join(blocks.repartition(n_blocks, "dim", "block"), (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("block"))).select(
         "dim", "block", "vecs", "ids", "q_vecs")
 
     def run(batches: Batches) -> Batches:
@@ -111,8 +124,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
                     x = np.frombuffer(b.column(2)[i].as_py(), "<i8").reshape(-1, dim)
                     at, lists, ids = (dim, block), SortedLists(x), b.column(3)[i].as_py()
                 out = []
-                for q in np.frombuffer(b.column(4)[i].as_py(), "<i8").reshape(-1, dim):
-                    hit, scores = lists.top(q, k + 1)
+                asked_here = np.frombuffer(b.column(4)[i].as_py(), "<i8").reshape(-1, dim)
+                for q, (hit, scores) in zip(asked_here, lists.top(asked_here, k + 1)):
                     best = np.argsort(-scores, kind="stable")
                     edge = scores[best[min(k, len(best) - 1)]] if len(best) else 0
                     found = sorted((-int(s), v) for r, s in zip(hit[scores >= edge], scores[scores >= edge]) for v in ids[r])

@@ -38,8 +38,8 @@ def test_sorted_lists_stop_early_and_stay_exact():
     rnd = np.random.default_rng(1)
     x = np.concatenate((rnd.integers(-9, 10, (3000, 8)), rnd.integers(60, 90, (60, 8))))
     lists = topk.SortedLists(x)
-    for q in rnd.integers(1, 9, (20, 8)):
-        rows, scores = lists.top(q, 21)
+    queries = rnd.integers(1, 9, (20, 8))
+    for q, (rows, scores) in zip(queries, lists.top(queries, 21)):
         assert len(rows) <= topk.FEW
         assert sorted(scores)[-21:] == sorted(x @ q)[-21:]
 
