@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
     DATA_AI_FAMILIES,
     MIN_DISCLOSED_PER_CELL,
     SALARY_QUANTILES,
-    SKILL_TAXONOMY,
     UNKNOWN_DIMENSION,
 )
 from ..functions.salary import disclosed_midpoint, midpoint
@@ -92,28 +91,22 @@ def family_totals(postings_df: DataFrame) -> DataFrame:
 
 
 def skill_counts(postings_df: DataFrame) -> DataFrame:
-    """(role_family, skill, n_postings, n_total) for every skill mentioned in a family.
+    """(role_family, skill, n_postings, n_total) for every skill mentioned in a family, listed or not.
 
-    One hash aggregation per family with one conditional count per
-    taxonomy skill (a fixed 48), plus the family total; the small result
-    is then unpivoted.  Postings are never multiplied by their skills
-    before the shuffle, and every aggregation buffer is a fixed-width
-    counter, so partial aggregation absorbs any hot family.
+    A null skill stands for the posting itself, so one aggregation counts the
+    family's postings and its skills; it is partial before the shuffle, and
+    the totals are spread over its small result.
     """
-    names = sorted(SKILL_TAXONOMY)
-    aggs = [F.count(F.lit(1)).alias("n_total")] + [
-        F.count_if(F.array_contains("skills_canonical", c)).alias(f"_s{i}") for i, c in enumerate(names)
-    ]
-    wide = postings_df.groupBy("role_family").agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(c).alias("skill"), F.col(f"_s{i}").alias("n")) for i, c in enumerate(names)])
-    long = wide.select("role_family", "n_total", F.explode(cells).alias("c"))
-    return long.filter(F.col("c.n") > 0).select(
-        "role_family", F.col("c.skill").alias("skill"), F.col("c.n").alias("n_postings"), "n_total"
-    )
+    each = postings_df.select("role_family", F.explode(F.concat(
+        F.array(F.lit(None).cast("string")), F.array_distinct(F.array_compact(F.coalesce("skills_canonical", F.array().cast("array<string>"))))
+    )).alias("skill"))
+    counts = each.groupBy("role_family", "skill").agg(F.count(F.lit(1)).alias("n_postings"))
+    total = F.max(F.when(F.col("skill").isNull(), F.col("n_postings"))).over(Window.partitionBy("role_family"))
+    return counts.withColumn("n_total", total).filter(F.col("skill").isNotNull())
 
 
 def skill_demand(postings_df: DataFrame, snapshot_date=None) -> DataFrame:
-    """Postings mentioning each skill per family and their share (4 decimals, half-even).
+    """Postings mentioning each skill per family and their share (4 decimals, rounded as numpy does).
 
     The share's denominator counts every posting of the family, including
     postings without skills.
@@ -124,7 +117,7 @@ def skill_demand(postings_df: DataFrame, snapshot_date=None) -> DataFrame:
         "role_family",
         "skill",
         F.col("n_postings").cast("int").alias("n_postings"),
-        F.bround(F.col("n_postings") / F.col("n_total"), 4).alias("share_of_postings"),
+        (F.rint(F.col("n_postings") / F.col("n_total") * 10000) / 10000).alias("share_of_postings"),
     )
 
 

@@ -43,15 +43,18 @@ def _snapshot_filter(df: DataFrame, snapshot_date) -> DataFrame:
 
 
 def read_salary(salary: DataFrame, role_canonical=None, seniority=None, headcount_band=None, city=None,
-                snapshot_date=None, limit: int = READ_SALARY_LIMIT) -> DataFrame:
-    """Salary cells matching the optional equality filters (Q1)."""
+                snapshot_date=None, limit: int | None = None) -> DataFrame:
+    """Salary cells matching the optional equality filters (Q1); all of them unless a ``limit`` is given."""
+    if limit is not None:
+        _bounded("limit", limit, 1, READ_SALARY_LIMIT)
     df = _snapshot_filter(salary, snapshot_date)
     for col, val in (("role_canonical", role_canonical), ("seniority", seniority),
                      ("headcount_band", headcount_band), ("city", city)):
         if val:
             df = df.filter(F.col(col) == val)
     keys = ["snapshot_date", "role_canonical", "seniority", "headcount_band", "city"]
-    return df.orderBy(F.desc("snapshot_date"), *keys[1:]).limit(limit)
+    df = df.orderBy(F.desc("snapshot_date"), *keys[1:])
+    return df if limit is None else df.limit(limit)
 
 
 def read_skills(skills: DataFrame, role_family=None, top_n: int = READ_SKILLS_TOP_N[0], snapshot_date=None) -> DataFrame:

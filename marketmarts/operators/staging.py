@@ -132,17 +132,35 @@ def latest_postings(valid: DataFrame) -> DataFrame:
         F.max("seq").alias("last_seq"),
         last_row.alias("row"),
         newest_hints.alias("hints"),
+        F.max("fetched_at").alias("hints_at"),
     )
     per_posting = per_source.groupBy("posting_id").agg(
-        F.max_by(F.struct("row", "hints"), "last_seq").alias("p")
+        F.max_by(F.struct("row", "hints", "hints_at"), "last_seq").alias("p")
     )
-    return per_posting.select("posting_id", "p.row.*", F.col("p.hints").alias("hints"))
+    return per_posting.select("posting_id", "p.row.*", F.col("p.hints").alias("hints"), F.col("p.hints_at").alias("hints_at"))
 
 
-def postings(valid: DataFrame, match: str = "substring") -> DataFrame:
-    """Staged postings: latest row per posting, classified, with skills and company key."""
+def hints_of_older_fetches(latest: DataFrame, stored_raw: DataFrame) -> DataFrame:
+    """Take the hints of a stored fetch where it is at least as new as the batch's newest one."""
+    stored = stored_raw.groupBy("source", "source_post_id").agg(
+        F.max_by("payload", "fetched_at").alias("_payload"), F.max("fetched_at").alias("_at"))
+    joined = latest.join(stored.withColumnRenamed("source_post_id", "posting_id"), ["source", "posting_id"], "left")
+    older = F.from_json("_payload", "skills_raw ARRAY<STRING>").getField("skills_raw")
+    return joined.withColumn("hints", F.when(F.col("_at") >= F.col("hints_at"), older).otherwise(F.col("hints"))).drop(
+        "_payload", "_at")
+
+
+def postings(valid: DataFrame, match: str = "substring", stored_raw: DataFrame | None = None) -> DataFrame:
+    """Staged postings: latest row per posting, classified, with skills and company key.
+
+    With ``stored_raw`` (the raw table of earlier batches) hints come from the
+    newest fetch of all batches.
+    """
+    latest = latest_postings(valid)
+    if stored_raw is not None:
+        latest = hints_of_older_fetches(latest, stored_raw)
     p = skills.with_haystack(
-        latest_postings(valid), skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
+        latest, skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
     )
     # the role struct is its own column so its rules run once for both fields
     p = p.withColumn("_role", classify.role(F.col("role_raw")))

@@ -228,7 +228,7 @@ fam_skill AS (
   FROM (SELECT DISTINCT * FROM skill_hits) h JOIN staged s USING (posting_id) GROUP BY s.role_family, h.skill),
 skill_demand AS (
   SELECT DATE '{SNAPSHOT}' AS snapshot_date, f.role_family, f.skill, CAST(f.n AS INT) AS n_postings,
-         round_even(CAST(f.n AS DOUBLE) / CAST(t.n_total AS DOUBLE), 4) AS share_of_postings
+         round_even(CAST(f.n AS DOUBLE) / CAST(t.n_total AS DOUBLE) * 10000, 0) / 10000 AS share_of_postings
   FROM fam_skill f JOIN fam_tot t USING (role_family))
 """
 
@@ -306,6 +306,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT name_canonical, name_raw, headcount_band, headcount_est, industry, first_seen_at, last_seen_at FROM companies"
     )
     o["raw_dedup"] = with_staging("SELECT * FROM raw", RAW)
+    # two batches merged equal one run over both
+    o["raw_merge"], o["companies_merge"], o["postings_merge"] = o["raw_dedup"], o["companies_dim"], o["postings_staged"]
     o["latest_hints"] = with_staging(
         "SELECT l.posting_id, l.source, h.hints_delim AS hints FROM last_row l LEFT JOIN hints h USING (source, posting_id)"
     )

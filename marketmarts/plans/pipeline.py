@@ -15,24 +15,42 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, staging
-from ..session import scratch_path
+from ..operators import marts, merge, staging
+from ..session import path_exists, scratch_path
 from . import sinks
 
 
 def run(spark: SparkSession, feed: DataFrame, root: str | None = None, snapshot_date=None,
-        match: str = "substring", order: str = "ingest") -> dict:
-    """Rebuild every layer from ``feed``; returns paths and row counts per table."""
+        match: str = "substring", order: str = "ingest", previous: dict | None = None) -> dict:
+    """Build every layer from ``feed``; returns paths and row counts per table.
+
+    ``previous`` is what an earlier run returned: its raw, company and posting
+    tables are merged with the batch into new tables under ``root``, so what
+    is being read is never overwritten, and its marts get this snapshot's
+    slice.  Without it a root that already holds tables is refused.
+    """
     root = root or scratch_path(spark, "warehouse")
     paths = {t: os.path.join(root, t) for t in ("raw_postings", "companies", "postings", *sinks.MARTS)}
+    if path_exists(spark, paths["raw_postings"]):
+        raise ValueError(f"{root} already holds tables: give a new root, and the earlier run as previous")
+    stored = {}
+    if previous is not None:
+        stored = {t: spark.read.parquet(previous["paths"][t]) for t in ("raw_postings", "companies", "postings")}
+        paths |= {t: previous["paths"][t] for t in sinks.MARTS}
     # The parsed, filtered feed is written once and read by the three staging
     # layers, so raw input (JSON text or a join) is parsed a single time.
     feed_path = os.path.join(root, "_feed")
     sinks.write_table(staging.required_fields(feed), feed_path)
     valid = spark.read.parquet(feed_path)
-    sinks.write_table(staging.raw_postings(valid), paths["raw_postings"], "raw_postings")
-    sinks.write_table(staging.companies(valid, order), paths["companies"], "companies")
-    sinks.write_table(staging.postings(valid, match), paths["postings"], "postings")
+    raw, dim = staging.raw_postings(valid), staging.companies(valid, order)
+    rows = staging.postings(valid, match, stored.get("raw_postings"))
+    if stored:
+        raw = merge.merge_raw(stored["raw_postings"], sinks.typed(raw, "raw_postings"))
+        dim = merge.merge_companies(stored["companies"], sinks.typed(dim, "companies"), order)
+        rows = merge.merge_postings(stored["postings"], sinks.typed(rows, "postings"))
+    sinks.write_table(raw, paths["raw_postings"], "raw_postings")
+    sinks.write_table(dim, paths["companies"], "companies")
+    sinks.write_table(rows, paths["postings"], "postings")
 
     postings = spark.read.parquet(paths["postings"])
     companies = spark.read.parquet(paths["companies"])

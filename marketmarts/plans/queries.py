@@ -17,7 +17,7 @@ import os
 from functools import cached_property
 
 from ..functions.salary import annual_to_monthly
-from ..operators import checks, marts, reads, reports, staging
+from ..operators import checks, marts, merge, reads, reports, staging
 from ..schemas import STREAM_RECORD
 from ..session import load, scratch_path, spread
 from ..sources import boards, jsonl, union
@@ -105,12 +105,39 @@ def q_companies_dim(spark, sf_dir):
     return Chain(spark, sf_dir).companies.drop("company_id")
 
 
-def q_raw_dedup(spark, sf_dir):
-    raw = Chain(spark, sf_dir).raw
+def _raw_out(raw):
     hints = F.from_json("payload", "skills_raw ARRAY<STRING>").getField("skills_raw")
     return raw.select("source", "source_post_id", "fetched_at", "raw_id", "n_fetches", _bars(hints).alias("hints"))
 
 
+def q_raw_dedup(spark, sf_dir):
+    return _raw_out(Chain(spark, sf_dir).raw)
+
+
+def _two_days(spark, sf_dir):
+    """The valid feed as two batches, cut in the middle of the ingest order."""
+    valid = Chain(spark, sf_dir).valid
+    middle = load(spark, sf_dir, "orders").agg(F.max("o_orderkey") / 2).scalar()
+    return valid.filter(F.col("seq") <= middle), valid.filter(F.col("seq") > middle)
+
+
+def q_raw_merge(spark, sf_dir):
+    """The second batch merged into the stored raw table of the first."""
+    first, second = _two_days(spark, sf_dir)
+    return _raw_out(merge.merge_raw(staging.raw_postings(first), staging.raw_postings(second)))
+
+
+def q_companies_merge(spark, sf_dir):
+    first, second = _two_days(spark, sf_dir)
+    return merge.merge_companies(staging.companies(first), staging.companies(second)).drop("company_id")
+
+
+def q_postings_merge(spark, sf_dir):
+    first, second = _two_days(spark, sf_dir)
+    batch = staging.postings(second, stored_raw=staging.raw_postings(first))
+    return _posting_out(merge.merge_postings(staging.postings(first), batch))
+
+
 def q_latest_hints(spark, sf_dir):
     """Hints of the newest stored fetch per posting, read back from the JSON payload."""
     c = Chain(spark, sf_dir)
@@ -534,6 +561,9 @@ QUERIES = {
     "postings_staged": q_postings_staged,
     "companies_dim": q_companies_dim,
     "raw_dedup": q_raw_dedup,
+    "raw_merge": q_raw_merge,
+    "companies_merge": q_companies_merge,
+    "postings_merge": q_postings_merge,
     "latest_hints": q_latest_hints,
     "midpoint": q_midpoint,
     "role_classify": q_role_classify,

@@ -58,7 +58,7 @@ def _pick(key, values):
 def feed_columns(orders: DataFrame, customer: DataFrame) -> DataFrame:
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = customer.select("c_custkey", "c_mktsegment", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
     k = F.col("o_orderkey")
     disclosed = F.col("o_orderstatus") != "P"
     low = F.floor(F.lit(40000) + F.col("o_totalprice") / 5).cast("int")

@@ -22,11 +22,11 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 def rows_per_source(spark: SparkSession, postings: DataFrame, configured: Sequence[str]) -> DataFrame:
     """(source, n_rows) for every configured source; a source with no rows counts 0.
 
-    The configured list is a handful of names given by the caller, so it
-    is broadcast; the data side is aggregated before the join.
+    The data side is aggregated before the join; how the two small sides
+    meet is left to the planner, which knows their sizes.
     """
     cfg = spark.createDataFrame([(s,) for s in configured], T.StructType([T.StructField("source", T.StringType())]))
     counts = postings.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
-    return F.broadcast(cfg).join(counts, "source", "left").select(
+    return cfg.join(counts, "source", "left").select(
         "source", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
     )

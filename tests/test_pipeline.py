@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -19,7 +20,9 @@ def test_run_builds_layers_and_rerun_is_idempotent(spark):
     c = first["counts"]
     assert c["salary_by_role"] > 0 and c["skill_demand"] > 0 and c["company_activity"] > 0
     snap1 = {t: _rows(spark.read.parquet(p)) for t, p in first["paths"].items()}
-    second = pipeline.run(spark, feed, root, snapshot_date="2026-01-01")
+    with pytest.raises(ValueError):
+        pipeline.run(spark, feed, root, snapshot_date="2026-01-01")  # stored tables are never overwritten
+    second = pipeline.run(spark, feed, scratch_path(spark, "wh-test"), snapshot_date="2026-01-01", previous=first)
     snap2 = {t: _rows(spark.read.parquet(p)) for t, p in second["paths"].items()}
     assert snap1 == snap2
     # privacy guard: no published percentile under five disclosures, none missing at five or more
@@ -32,6 +35,24 @@ def test_run_builds_layers_and_rerun_is_idempotent(spark):
     assert all(r.n_orphans == 0 for r in checks.orphan_counts(tables).collect())
 
 
+def test_two_days_equal_one_run_and_unlisted_skills_count(spark):
+    feed = posting_feed(spark, SF_SMALL).withColumn("skills_raw", F.when(F.col("seq") % 2 == 0, F.col("skills_raw")))
+    whole = pipeline.run(spark, feed, scratch_path(spark, "one"), snapshot_date="2026-01-02")
+    day1 = pipeline.run(spark, feed.filter("seq <= 750"), scratch_path(spark, "day1"), snapshot_date="2026-01-01")
+    day2 = pipeline.run(spark, feed.filter("seq > 750"), scratch_path(spark, "day2"), snapshot_date="2026-01-02", previous=day1)
+    assert day1["counts"]["raw_postings"] < whole["counts"]["raw_postings"]
+    for t in ("raw_postings", "companies", "postings"):
+        assert _rows(spark.read.parquet(day2["paths"][t])) == _rows(spark.read.parquet(whole["paths"][t])), t
+    sal = spark.read.parquet(day2["paths"]["salary_by_role"])
+    assert sal.select("snapshot_date").distinct().count() == 2
+
+    from marketmarts.operators import marts
+
+    df = spark.createDataFrame([("de", ["python", "ros"]), ("de", None), ("de", [])], "role_family string, skills_canonical array<string>")
+    got = {r.skill: (r.n_postings, r.n_total) for r in marts.skill_counts(df).collect()}
+    assert got == {"python": (1, 3), "ros": (1, 3)}
+
+
 def test_mart_slices_are_replaced_and_kept(spark):
     path = scratch_path(spark, "mart-test")
     df = spark.createDataFrame(

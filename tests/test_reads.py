@@ -45,4 +45,5 @@ def test_read_salary_filters_before_limit(spark):
     ).withColumn("snapshot_date", F.to_date("snapshot_date"))
     # the one senior cell sorts after 600 others, yet the seniority filter still finds it
     assert [r.city for r in reads.read_salary(df, role_canonical="de", seniority="senior").collect()] == ["zzz"]
-    assert reads.read_salary(df).count() == 500
+    assert reads.read_salary(df).count() == df.count()  # no silent cut
+    assert reads.read_salary(df, limit=500).count() == 500
