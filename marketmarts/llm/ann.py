@@ -12,6 +12,11 @@ graph and reads the lists whose centroid is at most ``1 + reach`` times as
 far as its nearest one, and further lists in order of distance until they
 hold ``least`` times the wanted neighbours.  Distances are then exact.
 
+Lists are read in two rounds: first the nearest ones, as many as the square
+root of their number; the k-th distance found there is the query's bound.
+From the other lists only rows within it leave their task, since no other can
+enter the result.
+
 Lists of a hot region are dealt into parts of about ``part_rows`` rows, equal
 vectors are indexed once with the ids that can matter, and a task compares
 one part with the queries that read its list.  The centroids (at most
@@ -168,7 +173,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
     def probes(batches: Batches) -> Batches:
         g, size = shared.value, sizes.value
         for b in batches:
-            where, lists_ = [], []
+            where, lists_, early = [], [], []
             for i, v in enumerate(b.column(0)):
                 x = np.array(v.as_py())
                 ids, _ = g.reached(x, reach)
@@ -178,12 +183,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
                     ids, _ = g.search(x, wide)
                 where += [i] * len(ids)
                 lists_ += ids.tolist()
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(where, pa.int32())), pa.array(lists_, pa.int32())],
-                                             names=["vec", "list"])
+                early += (np.arange(len(ids)) < np.sqrt(len(ids))).tolist()
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(where, pa.int32())), pa.array(lists_, pa.int32()),
+                                              pa.array(early, pa.bool_())], names=["vec", "list", "early"])
 
     asked = rows.filter(F.col("asks") & (F.size("vec") == width)).select("id", "vec").distinct()
-    asking = (asked.select("vec").distinct().mapInArrow(probes, "vec array<double>, list int")
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    asking = stored(asked.select("vec").distinct().mapInArrow(probes, "vec array<double>, list int, early boolean"),
+                    "ann-asking")
     dealt = postings.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(parts)).cast("int"))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -191,9 +197,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
         if len(left) and len(right):
             x = np.array(right.column("vec").to_pylist())
             ids = right.column("ids").to_pylist()
-            for q in left.column("vec").to_pylist():
+            for q, bound in zip(left.column("vec").to_pylist(), left.column("bound").to_pylist()):
                 d = np.sqrt(((x - np.array(q)) ** 2).sum(axis=1))
-                edge = np.partition(d, min(k, len(d) - 1))[min(k, len(d) - 1)]
+                edge = min(np.partition(d, min(k, len(d) - 1))[min(k, len(d) - 1)], bound)
                 hits = sorted((d[r], v) for r in np.flatnonzero(d <= edge).tolist() for v in ids[r])[:k + 1]
                 out_q += [q] * len(hits)
                 out_v += [v for _, v in hits]
@@ -201,9 +207,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
         return pa.table({"q": pa.array(out_q, pa.list_(pa.float64())), "vec_id": pa.array(out_v, pa.int64()),
                          "score": pa.array(out_s, pa.float64())})
 
-    met = asking.groupBy("list", "part").cogroup(dealt.groupBy("list", "part")).applyInArrow(
-        compare, "q array<double>, vec_id bigint, score double").distinct()
-    found = ranked(met, ["q"], F.asc("score"), k + 1).drop("rank")
+    def hits(some: DataFrame) -> DataFrame:
+        each = some.select("vec", "list", "bound", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        return each.groupBy("list", "part").cogroup(dealt.groupBy("list", "part")).applyInArrow(
+            compare, "q array<double>, vec_id bigint, score double").distinct()
+
+    no_bound = F.lit(float("inf"))
+    early = stored(ranked(hits(asking.filter("early").withColumn("bound", no_bound)), ["q"], F.asc("score"), k + 1), "ann-early")
+    bounds = early.filter(F.col("rank") == k + 1).select(F.col("q").alias("vec"), F.col("score").alias("bound"))
+    late = hits(asking.filter("not early").join(bounds, "vec", "left").withColumn("bound", F.coalesce("bound", no_bound)))
+    found = ranked(early.drop("rank").union(late).distinct(), ["q"], F.asc("score"), k + 1).drop("rank")
     mine = asked.select(F.col("id").alias("query_id"), F.col("vec").alias("q"))
     others = mine.join(found, "q").filter("vec_id <> query_id")
     return ranked(others, ["query_id", "q"], F.asc("score"), k).select("query_id", "rank", "vec_id", "score")
