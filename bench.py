@@ -45,6 +45,7 @@ def main() -> None:
     # so AQE may coalesce down to 64 KiB partitions instead of 1 MiB (no effect
     # once partitions are large).
     spark = build_session(f"local[{cpus}]", cpus, app="marketmarts-bench", extra={
+        "marketmarts.scanPartitions": str(cpus),  # the tables are one row group each
         "spark.driver.memory": "16g",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     })

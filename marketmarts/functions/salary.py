@@ -26,8 +26,8 @@ def annual_to_monthly(value: Column) -> Column:
     """NULL/0 -> NULL; > 25,000 is already monthly; else 10k-TWD annual -> monthly (truncated)."""
     return (
         F.when(value.isNull() | (value == 0), F.lit(None).cast("int"))
-        .when(value > ANNUAL_MONTHLY_THRESHOLD, value.cast("int"))
-        .otherwise((value.cast("double") * ANNUAL_UNIT / MONTHS_PER_YEAR).cast("int"))
+        .when(value > ANNUAL_MONTHLY_THRESHOLD, value.try_cast("int"))
+        .otherwise((value.cast("double") * ANNUAL_UNIT / MONTHS_PER_YEAR).try_cast("int"))
     )
 
 

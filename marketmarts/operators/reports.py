@@ -24,11 +24,13 @@ def weekly_volume(postings_df: DataFrame, ts_col: str = "fetched_at", family_col
 
 
 def weekly_pivot(weekly: DataFrame, families: Sequence[str] = FAMILIES) -> DataFrame:
-    """Families as columns, missing weeks/families as 0.
+    """Families as columns, missing weeks/families as 0, and ``unlisted`` for all families not given.
 
     The pivot values are given, so Spark needs no extra job to find them.
     """
-    return weekly.groupBy("week_ending").pivot("role_family", list(families)).agg(F.sum("n")).na.fill(0)
+    listed = F.coalesce(F.col("role_family").isin(list(families)), F.lit(False))
+    named = weekly.withColumn("role_family", F.when(listed, F.col("role_family")).otherwise("unlisted"))
+    return named.groupBy("week_ending").pivot("role_family", [*families, "unlisted"]).agg(F.sum("n")).na.fill(0)
 
 
 def disclosure_rate(postings_df: DataFrame) -> DataFrame:

@@ -364,8 +364,9 @@ dis AS (SELECT {", ".join(keys)}, count(*) AS n_disclosed FROM enriched
     fam_cols = ", ".join(
         f"CAST(sum(CASE WHEN role_family = {q(f)} THEN n ELSE 0 END) AS BIGINT) AS {f}" for f in FAMILY_LABELS
     )
+    fam_sum = " + ".join(f"sum(CASE WHEN role_family = {q(f)} THEN n ELSE 0 END)" for f in FAMILY_LABELS)
     o["weekly_pivot"] = with_staging(
-        f"SELECT week_ending, {fam_cols} FROM wk GROUP BY week_ending",
+        f"SELECT week_ending, {fam_cols}, CAST(sum(n) - ({fam_sum}) AS BIGINT) AS unlisted FROM wk GROUP BY week_ending",
         f"wk AS (SELECT {_week('fetched_at')} AS week_ending, role_family, count(*) AS n FROM postings "
         f"WHERE fetched_at IS NOT NULL GROUP BY ALL)",
     )

@@ -43,60 +43,6 @@ POSTING_FEED = T.StructType(
     [f if f.name != "fetched_at" else _f("fetched_at", TS) for f in RAW_POSTING.fields]
 )
 
-BOARD_A = T.StructType(
-    [
-        _f(
-            "data",
-            T.StructType(
-                [
-                    _f(
-                        "list",
-                        T.ArrayType(
-                            T.StructType(
-                                [
-                                    _f("jobName", S),
-                                    _f("custName", S),
-                                    _f("jobNo", S),
-                                    _f("jobId", S),
-                                    _f("salaryLow", S),
-                                    _f("salaryHigh", S),
-                                    _f("jobAddrNoDesc", S),
-                                    _f("jobAddress", S),
-                                    _f("description", S),
-                                    _f("link", T.StructType([_f("job", S)])),
-                                ]
-                            )
-                        ),
-                    )
-                ]
-            ),
-        )
-    ]
-)
-
-BOARD_B = T.StructType(
-    [
-        _f(
-            "jobs",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        _f("id", L),
-                        _f("name", S),
-                        _f("company", T.StructType([_f("name", S), _f("size", S), _f("industry", S), _f("slug", S)])),
-                        _f("salary_min", I),
-                        _f("salary_max", I),
-                        _f("city", S),
-                        _f("remote_friendly", B),
-                        _f("tags", T.ArrayType(T.StructType([_f("name", S)]))),
-                        _f("description", S),
-                    ]
-                )
-            ),
-        )
-    ]
-)
-
 # Normalised posting event on the stream.
 STREAM_RECORD = T.StructType(
     [

@@ -21,11 +21,13 @@ from ..functions.fixed_values import (
 )
 from ..functions.salary import annual_to_monthly
 from ..functions.text import blank_to_null
-from ..schemas import BOARD_B
 
-# Board A jobs are read as string maps so a key that is present with a NULL
-# value can be told apart from a missing key (the mapper needs both keys).
-_BOARD_A_PAGE = "STRUCT<data: STRUCT<list: ARRAY<MAP<STRING, STRING>>>>"
+# Jobs are read as maps so a key that is present with a NULL value can be told
+# apart from a missing key (the mappers need the keys, not the values).
+# Board A's values stay variants: an undisclosed salary is the number 0, while
+# the text "0" counts as given.  Nested objects arrive as their JSON text.
+_BOARD_A_PAGE = "STRUCT<data: STRUCT<list: ARRAY<MAP<STRING, VARIANT>>>>"
+_BOARD_B_PAGE = "STRUCT<jobs: ARRAY<MAP<STRING, STRING>>>"
 
 
 def _excerpt(c: Column) -> Column:
@@ -38,15 +40,20 @@ def map_board_a(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
         F.col(fetched_at).alias("fetched_at"),
         F.explode(F.from_json(F.col(payload), _BOARD_A_PAGE).getField("data").getField("list")).alias("j"),
     )
+    number_zero = F.expr(
+        "schema_of_variant(v['salaryLow']) <> 'STRING' AND try_variant_get(v['salaryLow'], '$', 'double') = 0")
+    jobs = jobs.withColumnRenamed("j", "v").select(
+        "fetched_at", F.transform_values("v", lambda k, x: F.try_variant_get(x, "$", "string")).alias("j"),
+        F.coalesce(number_zero, F.lit(False)).alias("low_is_zero"))
     j = F.col("j")
     low, high = j["salaryLow"], j["salaryHigh"]
     high_int = F.expr("try_cast(j['salaryHigh'] AS INT)")
-    disclosed = (
+    disclosed = ~F.col("low_is_zero") & (
         F.coalesce(blank_to_null(low).isNotNull(), F.lit(False))
         & F.coalesce(blank_to_null(high).isNotNull(), F.lit(False))
         & F.coalesce(high_int > 0, F.lit(False))
     )
-    kept = jobs.filter(F.map_contains_key(j, "jobName") & F.map_contains_key(j, "custName") & j["jobName"].isNotNull())
+    kept = jobs.filter(F.map_contains_key(j, "jobName") & F.map_contains_key(j, "custName"))
     return kept.select(
         F.concat(F.lit(BOARD_A_ID_PREFIX), F.coalesce(blank_to_null(j["jobNo"]), blank_to_null(j["jobId"]), F.lit(""))).alias(
             "posting_id"
@@ -74,32 +81,34 @@ def map_board_a(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
 
 
 def map_board_b(pages: DataFrame, payload: str = "payload", fetched_at: str = "fetched_at") -> DataFrame:
-    """Board B pages -> raw postings. Jobs without a name or company name are dropped."""
+    """Board B pages -> raw postings. Jobs without a name or company name key are dropped; ids may be any text."""
     jobs = pages.select(
         F.col(fetched_at).alias("fetched_at"),
-        F.explode(F.from_json(F.col(payload), BOARD_B).getField("jobs")).alias("j"),
+        F.explode(F.from_json(F.col(payload), _BOARD_B_PAGE).getField("jobs")).alias("j"),
     )
-    j = F.col("j")
-    lo, hi = j["salary_min"], j["salary_max"]
-    disclosed = F.coalesce(lo, F.lit(0)) != 0
-    disclosed = disclosed & (F.coalesce(hi, F.lit(0)) != 0)
-    kept = jobs.filter(j["name"].isNotNull() & j["company"].isNotNull() & j["company"]["name"].isNotNull())
-    tags = F.filter(F.transform(j["tags"], lambda t: t["name"]), lambda n: n.isNotNull() & (n != ""))
-    id_text = F.coalesce(j["id"].cast("string"), F.lit("None"))
-    slug_text = F.coalesce(j["company"]["slug"], F.lit("None"))
+    j, company = F.col("j"), F.col("company")
+    jobs = jobs.withColumn("company", F.from_json(j["company"], "MAP<STRING, STRING>"))
+    lo, hi = j["salary_min"].try_cast("double"), j["salary_max"].try_cast("double")
+    disclosed = F.coalesce(lo, F.lit(0.0)) != 0
+    disclosed = disclosed & (F.coalesce(hi, F.lit(0.0)) != 0)
+    kept = jobs.filter(F.map_contains_key(j, "name") & company.isNotNull() & F.map_contains_key(company, "name"))
+    tag_names = F.transform(F.from_json(j["tags"], "ARRAY<STRUCT<name: STRING>>"), lambda t: t["name"])
+    tags = F.filter(tag_names, lambda n: n.isNotNull() & (n != ""))
+    id_text = F.coalesce(j["id"], F.lit("None"))
+    slug_text = F.coalesce(company["slug"], F.lit("None"))
     return kept.select(
         F.concat(F.lit(BOARD_B_ID_PREFIX), id_text).alias("posting_id"),
         F.lit(BOARD_B_SOURCE).alias("source"),
         "fetched_at",
         j["name"].alias("role_raw"),
         F.struct(
-            j["company"]["name"].alias("name"),
-            j["company"]["size"].alias("headcount_band"),
+            company["name"].alias("name"),
+            company["size"].alias("headcount_band"),
             F.lit(None).cast("int").alias("headcount_est"),
-            j["company"]["industry"].alias("industry"),
+            company["industry"].alias("industry"),
         ).alias("company"),
         j["city"].alias("city"),
-        F.coalesce(j["remote_friendly"], F.lit(False)).alias("is_remote"),
+        F.coalesce(j["remote_friendly"].try_cast("boolean"), F.lit(False)).alias("is_remote"),
         F.when(disclosed, annual_to_monthly(lo)).alias("salary_monthly_low"),
         F.when(disclosed, annual_to_monthly(hi)).alias("salary_monthly_high"),
         F.lit(DEFAULT_CURRENCY).alias("salary_currency"),

@@ -20,15 +20,23 @@ def _fit(col, src_type, dst_type):
             for f in dst_type.fields
         ]
         return F.when(col.isNull(), F.lit(None).cast(dst_type)).otherwise(F.struct(*parts))
-    return col.cast(dst_type)
+    return col.try_cast(dst_type) if isinstance(src_type, T.DoubleType) else col.cast(dst_type)
+
+
+def _utc(name: str):
+    """Naive UTC time of ISO text, with or without a zone."""
+    zoned = F.expr(f"convert_timezone(current_timezone(), 'UTC', CAST(try_cast({name} AS TIMESTAMP) AS TIMESTAMP_NTZ))")
+    has_zone = F.col(name).rlike(r"\d\s*(Z|[+-]\d{1,2}(:?\d{2})?)\s*$") & F.col(name).contains(":")
+    return F.when(has_zone, zoned).otherwise(F.expr(f"try_cast({name} AS TIMESTAMP_NTZ)"))
 
 
 def conform_feed(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Select POSTING_FEED columns in order, typed; absent columns become NULL.
 
-    ``fetched_at`` given as text is parsed (ISO-8601, naive UTC); text that
-    does not parse becomes NULL and is then dropped by the required-field
-    filter.
+    ``fetched_at`` given as text is parsed (ISO-8601): naive text is UTC, text
+    with a zone is converted to UTC; text that does not parse becomes NULL
+    and is then dropped by the required-field filter.  Numbers that do not
+    fit their type become NULL.
     """
     cols = []
     present = {f.name: f.dataType for f in df.schema.fields}
@@ -36,7 +44,7 @@ def conform_feed(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
         if f.name in present:
             c = F.col(f.name)
             if f.name == "fetched_at" and isinstance(present[f.name], T.StringType):
-                cols.append(F.expr("try_cast(fetched_at AS TIMESTAMP_NTZ)").alias(f.name))
+                cols.append(_utc("fetched_at").alias(f.name))
                 continue
             cols.append(_fit(c, present[f.name], f.dataType).alias(f.name))
         else:

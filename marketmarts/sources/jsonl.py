@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RAW_POSTING
 from .conform import conform_feed
@@ -33,7 +34,7 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.j
     lines = raw.select(
         path.alias("file_path"),
         F.struct(path.alias("file_path"), pos.alias("pos")).alias("seq"),
-        F.trim(F.col("value")).alias("line"),
+        F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"),
     )
     return lines.filter(F.col("line") != "")
 
@@ -46,10 +47,19 @@ def parse_postings(lines: DataFrame, schema=RAW_POSTING) -> DataFrame:
     """
     ok = F.expr("try_parse_json(line)")
     valid = lines.filter(ok.isNotNull() & (F.expr("schema_of_variant(try_parse_json(line))").startswith("OBJECT")))
-    parsed = valid.select("seq", "file_path", F.from_json("line", schema).alias("p")).select("seq", "file_path", "p.*")
+    parsed = valid.select("seq", "file_path", F.from_json("line", _wide(schema)).alias("p")).select("seq", "file_path", "p.*")
     return conform_feed(parsed, keep=("seq", "file_path"))
 
 
+def _wide(schema: T.DataType) -> T.DataType:
+    """The schema with whole numbers read as DOUBLE, so that 2.0 is kept; they are cast when conformed."""
+    if isinstance(schema, T.StructType):
+        return T.StructType([T.StructField(f.name, _wide(f.dataType), f.nullable) for f in schema.fields])
+    if isinstance(schema, T.ArrayType):
+        return T.ArrayType(_wide(schema.elementType), schema.containsNull)
+    return T.DoubleType() if isinstance(schema, T.IntegerType) else schema
+
+
 def bad_line_count(lines: DataFrame) -> DataFrame:
     """Number of non-blank lines that are not JSON objects (a run metric)."""
     ok = F.expr("try_parse_json(line)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,11 +12,26 @@ from .conform import conform_feed
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """Concatenate posting-shaped frames by name; fields a source lacks become NULL."""
+    """Concatenate posting-shaped frames by name; fields a source lacks become NULL.
+
+    ``seq`` becomes STRUCT<source_no, file_path, pos>: the place of the frame
+    in ``frames``, then the frame's own ingest order (a number, a scan's file
+    and position, or the row order of a frame without one), so staging takes
+    the result as it is.
+    """
     out = None
-    for df in frames:
+    for i, df in enumerate(frames):
+        df = df.withColumn("seq", _position(df, i))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return conform_feed(out, keep=tuple(c for c in ("seq",) if c in out.columns))
+    return conform_feed(out)
+
+
+def _position(df: DataFrame, source_no: int) -> Column:
+    path, pos = F.lit(""), F.monotonically_increasing_id()
+    if "seq" in df.columns:
+        own = F.col("seq")
+        path, pos = (own["file_path"], own["pos"]) if isinstance(df.schema["seq"].dataType, T.StructType) else (path, own)
+    return F.struct(F.lit(source_no).alias("source_no"), path.alias("file_path"), pos.cast("bigint").alias("pos"))
 
 
 def rows_per_source(spark: SparkSession, postings: DataFrame, configured: Sequence[str]) -> DataFrame:

@@ -4,7 +4,9 @@ import os
 from pyspark.sql import functions as F
 
 from marketmarts.session import scratch_path
+from marketmarts.operators import reports, staging
 from marketmarts.sources import boards, jsonl, union
+from marketmarts.sources.conform import conform_feed
 
 
 def test_jsonl_skips_blank_and_bad_lines_and_keeps_file_order(spark):
@@ -110,3 +112,61 @@ def test_no_landing_files_is_an_error(spark):
     os.makedirs(root, exist_ok=True)
     with pytest.raises(FileNotFoundError):
         jsonl.read_postings_jsonl(spark, root)
+
+
+def test_board_a_number_zero_and_null_values(spark):
+    page = {"data": {"list": [
+        {"jobName": "A", "custName": "Foo", "jobNo": 1, "salaryLow": 0, "salaryHigh": 60000},
+        {"jobName": "B", "custName": "Foo", "jobNo": "2", "salaryLow": "0", "salaryHigh": "60000"},
+        {"jobName": None, "custName": "Foo", "jobNo": "3"},
+    ]}}
+    out = boards.map_board_a(_pages(spark, [json.dumps(page)])).orderBy("posting_id").collect()
+    assert [(r.posting_id, r.salary_disclosed, r.salary_monthly_low) for r in out] == [
+        ("104-1", False, None), ("104-2", True, 0), ("104-3", False, None)]
+
+
+def test_board_b_text_ids_null_company_and_decimals(spark):
+    page = {"jobs": [
+        {"id": "a1", "name": "A", "company": {"name": None}, "salary_min": 60.5, "salary_max": 80000.0},
+        {"id": "a2", "name": "B", "company": {"name": "Foo"}},
+        {"id": "a3", "name": "C", "company": None},
+        {"id": "a4", "name": "D", "company": {"size": "1"}},
+    ]}
+    out = boards.map_board_b(_pages(spark, [json.dumps(page)])).orderBy("posting_id").collect()
+    assert [(r.posting_id, r.company.name, r.salary_monthly_low, r.salary_monthly_high) for r in out] == [
+        ("yourator-a1", None, 50416, 80000), ("yourator-a2", "Foo", None, None)]
+
+
+def test_zoned_times_become_utc(spark):
+    rows = [("1", "2026-01-01T00:00:00+08:00"), ("2", "2026-01-01T00:00:00Z"), ("3", "2026-01-01T00:00:00"), ("4", "soon"),
+            ("5", "2026-01-01")]
+    out = conform_feed(spark.createDataFrame(rows, "posting_id string, fetched_at string")).orderBy("posting_id")
+    assert [r.fetched_at and r.fetched_at.isoformat() for r in out.collect()] == [
+        "2025-12-31T16:00:00", "2026-01-01T00:00:00", "2026-01-01T00:00:00", None, "2026-01-01T00:00:00"]
+
+
+def test_lines_keep_decimal_numbers_and_skip_blank_ones(spark):
+    root = scratch_path(spark, "jsonl-numbers")
+    os.makedirs(root, exist_ok=True)
+    with open(os.path.join(root, "p.jsonl"), "w") as fh:
+        fh.write('{"posting_id": "1", "salary_monthly_low": 50000.0, "salary_monthly_high": 60000}\n\t\n')
+    lines = jsonl.scan_lines(spark, root)
+    assert jsonl.bad_line_count(lines).first().bad_lines == 0
+    r = jsonl.parse_postings(lines).first()
+    assert (r.salary_monthly_low, r.salary_monthly_high) == (50000, 60000)
+
+
+def test_union_goes_on_to_staging(spark):
+    page = {"jobs": [{"id": 1, "name": "Data Engineer", "company": {"name": "Foo"}}]}
+    later = spark.createDataFrame([(1, "yourator-1", "2026-01-02T00:00:00", "ML Engineer")],
+                                  "seq long, posting_id string, fetched_at string, role_raw string")
+    u = union.union_sources([boards.map_board_b(_pages(spark, [json.dumps(page)])), later])
+    out = staging.postings(staging.required_fields(u)).collect()
+    assert [(r.posting_id, r.role_raw) for r in out] == [("yourator-1", "ML Engineer")]
+
+
+def test_pivot_keeps_unlisted_families(spark):
+    weekly = spark.createDataFrame([("w", "analytics", 2), ("w", "robotics", 5), ("w", None, 1)],
+                                   "week_ending string, role_family string, n long")
+    r = reports.weekly_pivot(weekly).first()
+    assert (r.analytics, r.unlisted) == (2, 6)
