@@ -8,10 +8,10 @@ c(e, t) over all N documents the information that t gives about e is
 
     PMI(e; t) = log(c(e, t) N / (c(e) c(t))),    IC(e) = log(N / c(e)),
 
-and disclosure = PMI / IC.  It is 1 if t occurs with e alone.  A term seen
-with an entity in at least ``support`` documents is removed around that
-entity's mentions from disclosure ``remove_at`` on, and generalised from
-``generalise_at`` on.
+and disclosure = PMI / IC.  It is 1 if t occurs with e alone.  Every term seen
+with an entity is rated, also if both stand in one document only.  It is
+removed around that entity's mentions from disclosure ``remove_at`` on, and
+generalised from ``generalise_at`` on.
 
 All of it is DataFrame code: one scan of the texts for mentions, one for term
 counts; mentions carry their short contexts, so no text is shuffled.  Counts
@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from marketmarts.llm.common import stored, text_or_empty
 
 CONTEXT = 64
-SUPPORT = 2
 REMOVE_AT = 0.98
 GENERALISE_AT = 0.9
 BLOCK = 64
@@ -167,12 +166,11 @@ def _candidate_terms(found: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     support: int = SUPPORT, remove_at: float = REMOVE_AT,
-                     generalise_at: float = GENERALISE_AT) -> DataFrame:
+                     remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT) -> DataFrame:
     """(kind, value, term, disclosure, action) of every term above a threshold, from counts over all documents."""
     n = found.select(F.countDistinct(F.struct("id", "text_hash")).cast("double").alias("n_docs"))
     together = (near.select("id", "text_hash", "kind", "value", "term").distinct()
-                .groupBy("kind", "value", "term").agg(F.count("*").alias("c_et")).filter(F.col("c_et") >= support))
+                .groupBy("kind", "value", "term").agg(F.count("*").alias("c_et")))
     entities = (found.select("id", "text_hash", F.explode("base").alias("m")).select("id", "text_hash", "m.kind", "m.value")
                 .distinct().groupBy("kind", "value").agg(F.count("*").alias("c_e")))
     terms = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(

@@ -144,6 +144,14 @@ def test_terms_that_disclose_an_entity_are_found(spark):
     assert out[0] == "please ask  about it <EMAIL> soon common words 0" and out[10] == rows[3][1]
 
 
+def test_a_term_in_one_document_is_rated(spark):
+    rows = [(0, "please ask Zorbak about it zorbak@mail.com soon common words")]
+    rows += [(10 + i, "please ask about it soon common words everywhere") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in pii.report(df).collect() if r.n_term} == {0: "term:11:17,email:27:42"}
+    assert {r.doc_id: r.text for r in pii.sanitise(df).collect()}[0] == "please ask  about it <EMAIL> soon common words"
+
+
 # licences, mixing, quality, chat
 def test_licences_odd_rows(odd_docs, no_docs):
     rows = {r.doc_id: r for r in licenses.report(odd_docs).collect()}
