@@ -1,22 +1,25 @@
 """Personal data: pattern spans, and terms that give a protected entity away.
 
 Base spans come from four patterns (email, ip, card, phone), leftmost and not
-overlapping within a kind.  Their values are the protected entities.  Around
-every mention, within ``context`` characters on either side, the words are
-candidate terms.  For entity e and term t with document counts c(e), c(t),
-c(e, t) over all N documents the information that t gives about e is
+overlapping within a kind.  Their values are the protected entities.  Every
+word of a document that mentions an entity is a candidate term.  For entity e
+and term t with document counts c(e), c(t), c(e, t), all over whole documents
+and all N documents, the information that t gives about e is
 
     PMI(e; t) = log(c(e, t) N / (c(e) c(t))),    IC(e) = log(N / c(e)),
 
 and disclosure = PMI / IC.  It is 1 if t occurs with e alone.  Every term seen
-with an entity is rated, also if both stand in one document only.  It is
-removed around that entity's mentions from disclosure ``remove_at`` on, and
-generalised from ``generalise_at`` on.
-
-All of it is DataFrame code: one scan of the texts for mentions, one for term
-counts; mentions carry their short contexts, so no text is shuffled.  Counts
-are aggregated on the map side, so a hot entity or word arrives as one row
-per task, and joins on hot keys are left to adaptive skew splitting.
+with an entity is rated, also if both stand in one document only.  From
+disclosure ``remove_at`` on it is removed at all its places in the documents
+that mention the entity, and generalised from ``generalise_at`` on.
+
+All of it is DataFrame code: one scan of the texts for mentions and the words
+of documents that have some, one for term counts.  No text is shuffled, only
+the words of entity-bearing documents with their places.  Disclosure of at
+least g implies c(t) <= N^(1 - g) c(e)^g; with the largest c(e) this leaves
+out common words before words meet entities, and loses none.  Counts are
+aggregated on the map side, so a hot entity or word arrives as one row per
+task, and joins on hot keys are left to adaptive skew splitting.
 
 The patterns are written with possessive quantifiers and a left boundary.
 Neither changes a match (what follows a run can never be part of it, and a
@@ -36,7 +39,6 @@ from pyspark.sql import functions as F
 
 from marketmarts.llm.common import stored, text_or_empty
 
-CONTEXT = 64
 REMOVE_AT = 0.98
 GENERALISE_AT = 0.9
 BLOCK = 64
@@ -77,7 +79,7 @@ def _running(lengths: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value, before, after>> in code points; before and after are the gaps around it."""
+    """array<struct<start, end, value>> in code points."""
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("gaps"))
 
     def spans(x: Column) -> Column:
@@ -87,7 +89,7 @@ def matches(text: Column, pattern: str) -> Column:
             return F.transform(x["m"], lambda v, i: F.struct(
                 (F.get(starts, i) + F.length(F.get(x["gaps"], i))).alias("start"),
                 (F.get(starts, i) + F.length(F.get(x["gaps"], i)) + F.length(v)).alias("end"),
-                v.alias("value"), F.get(x["gaps"], i).alias("before"), F.get(x["gaps"], i + 1).alias("after")))
+                v.alias("value")))
 
         return F.transform(F.array(_running(steps)), placed)[0]
 
@@ -119,15 +121,8 @@ def _valid(kind: str, v: Column) -> Column:
     return (n >= 9) & (n <= 15)
 
 
-def _context(gap: Column, context: int, left: bool) -> Column:
-    """The part of a gap next to a mention, whole words only."""
-    near = F.right(gap, F.lit(context)) if left else F.left(gap, F.lit(context))
-    cut = F.regexp_replace(near, r"^[^\x20\x09-\x0D]+", "") if left else F.regexp_replace(near, r"[^\x20\x09-\x0D]+$", "")
-    return F.when(F.length(gap) > context, cut).otherwise(near)
-
-
-def base_spans(text: Column, context: int = CONTEXT) -> Column:
-    """All base spans of a text: array<struct<start, rank, end, kind, value, before, after>> by start, then kind."""
+def base_spans(text: Column) -> Column:
+    """All base spans of a text: array<struct<start, rank, end, kind, value>> by start, then kind."""
     def of(rank: int, kind: str) -> Column:
         may = text.contains(NEEDS[kind]) if NEEDS[kind] else F.lit(True)
         if kind != "email":
@@ -135,49 +130,50 @@ def base_spans(text: Column, context: int = CONTEXT) -> Column:
         kept = F.filter(matches(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"]))
         return F.when(may, F.transform(kept, lambda s: F.struct(
             s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"),
-            (s["value"] if kind in ("email", "ip") else _digits(s["value"])).alias("value"),
-            _context(s["before"], context, True).alias("before"), _context(s["after"], context, False).alias("after"))))
+            (s["value"] if kind in ("email", "ip") else _digits(s["value"])).alias("value"))))
 
     found = [of(rank, kind) for rank, kind in enumerate(PATTERNS)]
-    empty = "array<struct<start:int,rank:int,end:int,kind:string,value:string,before:string,after:string>>"
+    empty = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     return F.array_sort(F.concat(*[F.coalesce(x, F.array().cast(empty)) for x in found]))
 
 
-def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT) -> DataFrame:
-    """(id, text_hash, base) per row."""
-    text = text_or_empty(text_col)
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
-        "id", F.xxhash64("text").alias("text_hash"), base_spans(F.col("text"), context).alias("base"))
+def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_hash, base, words) per row; words: all words with their places, of rows with base spans only."""
+    # words are found before they are lower-cased, which may change a text's length
+    words = F.transform(matches(F.col("text"), TERM), lambda w: F.struct(
+        F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).select(
+        "id", "text", F.xxhash64("text").alias("text_hash"), base_spans(F.col("text")).alias("base")).select(
+        "id", "text_hash", "base", F.when(F.size("base") > 0, words).alias("words"))
+
 
+def _entities(found: DataFrame) -> DataFrame:
+    """(id, text_hash, kind, value), once per document and entity."""
+    return (found.select("id", "text_hash", F.explode("base").alias("m"))
+            .select("id", "text_hash", "m.kind", "m.value").distinct())
 
-def _candidate_terms(found: DataFrame) -> DataFrame:
-    """One row per word near a mention: id, text_hash, entity, term and its place."""
-    def words(side: Column, shift: Column) -> Column:
-        return F.transform(matches(F.lower(side), TERM), lambda w: F.struct(
-            w["value"].alias("term"), (w["start"] + shift).alias("start"), (w["end"] + shift).alias("end")))
 
-    each = (found.filter(F.size("base") > 0).select("id", "text_hash", F.explode("base").alias("m"))
-            # lower-casing may change a text's length in a few scripts; such contexts are left alone
-            .withColumn("ahead", F.when(F.length(F.lower("m.before")) == F.length("m.before"), F.col("m.before")).otherwise(""))
-            .withColumn("behind", F.when(F.length(F.lower("m.after")) == F.length("m.after"), F.col("m.after")).otherwise(""))
-            .withColumn("t", F.explode(F.concat(words(F.col("ahead"), F.col("m.start") - F.length("ahead")),
-                                                words(F.col("behind"), F.col("m.end"))))))
-    return each.select("id", "text_hash", "m.kind", "m.value", "t.term", "t.start", "t.end")
+def _together(docs: DataFrame, found: DataFrame, entities: DataFrame, n_docs: DataFrame, text_col: str,
+              generalise_at: float) -> DataFrame:
+    """Terms that may disclose with the entities of their documents: id, text_hash, kind, value, term, places, c_t."""
+    of_text = F.regexp_extract_all(text_or_empty(text_col), F.lit(TERM), F.lit(0))
+    terms = (docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(of_text), F.lower))).alias("term"))
+             .groupBy("term").agg(F.count("*").alias("c_t")))
+    most = entities.groupBy("kind", "value").count().agg(F.max("count").alias("n")).scalar()
+    bound = F.pow(n_docs.scalar(), F.lit(1 - generalise_at)) * F.pow(most, F.lit(generalise_at)) * (1 + 1e-9)
+    words = (found.filter(F.size("base") > 0).select("id", "text_hash", F.explode("words").alias("w"))
+             .groupBy("id", "text_hash", "w.term").agg(F.collect_set(F.struct("w.start", "w.end")).alias("places")))
+    rare = words.join(terms.filter(F.col("c_t") <= bound), "term").withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
+    return (rare.join(entities, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+            .select("id", "text_hash", "kind", "value", "term", "places", "c_t"))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT) -> DataFrame:
+def disclosing_terms(near: DataFrame, entities: DataFrame, n_docs: DataFrame, remove_at: float = REMOVE_AT,
+                     generalise_at: float = GENERALISE_AT) -> DataFrame:
     """(kind, value, term, disclosure, action) of every term above a threshold, from counts over all documents."""
-    n = found.select(F.countDistinct(F.struct("id", "text_hash")).cast("double").alias("n_docs"))
-    together = (near.select("id", "text_hash", "kind", "value", "term").distinct()
-                .groupBy("kind", "value", "term").agg(F.count("*").alias("c_et")))
-    entities = (found.select("id", "text_hash", F.explode("base").alias("m")).select("id", "text_hash", "m.kind", "m.value")
-                .distinct().groupBy("kind", "value").agg(F.count("*").alias("c_e")))
-    terms = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text_or_empty(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("c_t")))
-    rated = together.join(terms, "term").join(entities, ["kind", "value"])
-    rated = rated.withColumn("n_docs", n.scalar())
+    together = near.groupBy("kind", "value", "term").agg(F.count("*").alias("c_et"), F.max("c_t").alias("c_t"))
+    counts = entities.groupBy("kind", "value").agg(F.count("*").alias("c_e"))
+    rated = together.join(counts, ["kind", "value"]).withColumn("n_docs", n_docs.scalar())
     info = F.log(F.col("n_docs") / F.col("c_e"))
     rated = (rated.filter("n_docs > c_e").withColumn(
         "disclosure", F.log(F.col("c_et") * F.col("n_docs") / (F.col("c_e") * F.greatest("c_t", "c_et"))) / info)
@@ -186,13 +182,16 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, id_col:
                         F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise").alias("action"))
 
 
-def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, **how) -> DataFrame:
+def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_at: float = REMOVE_AT,
+              generalise_at: float = GENERALISE_AT) -> DataFrame:
     """(id, text_hash, base, terms) per row; terms: array<struct<start, rank, end, kind, action>>, clear of base spans."""
-    found = stored(mentions(docs, id_col, text_col, context), "pii-mentions")
-    near = stored(_candidate_terms(found), "pii-terms")
-    risky = disclosing_terms(docs, found, near, id_col, text_col, **how)
-    hits = (near.join(risky, ["kind", "value", "term"]).groupBy("id", "text_hash", "start", "end")
-            .agg(F.max("action").alias("action"))  # remove wins over generalise
+    found = stored(mentions(docs, id_col, text_col), "pii-mentions")
+    n_docs = found.select(F.countDistinct(F.struct("id", "text_hash")).cast("double").alias("n_docs"))
+    entities = _entities(found)
+    near = stored(_together(docs, found, entities, n_docs, text_col, generalise_at), "pii-terms")
+    risky = disclosing_terms(near, entities, n_docs, remove_at, generalise_at)
+    hits = (near.join(risky, ["kind", "value", "term"]).select("id", "text_hash", F.explode("places").alias("p"), "action")
+            .groupBy("id", "text_hash", "p.start", "p.end").agg(F.max("action").alias("action"))  # remove wins over generalise
             .groupBy("id", "text_hash").agg(F.array_sort(F.collect_list(F.struct(
                 "start", F.lit(len(PATTERNS)).alias("rank"), "end", F.lit("term").alias("kind"), "action"))).alias("terms")))
     hits = hits.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "terms")

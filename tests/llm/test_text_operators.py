@@ -152,6 +152,21 @@ def test_a_term_in_one_document_is_rated(spark):
     assert {r.doc_id: r.text for r in pii.sanitise(df).collect()}[0] == "please ask  about it <EMAIL> soon common words"
 
 
+def test_terms_count_and_go_in_whole_documents(spark):
+    far = " common words" * 20
+    # Zorbak: always with the entity, near it in 5 of 10 documents, and twice in each
+    rows = [(i, f"Zorbak asks{'' if i < 5 else far} zorbak@mail.com{far} zorbak {i}") for i in range(10)]
+    # a card between digits that are none, a text without white space, a word that grows in lower case
+    rows += [(20, "4111 1111 1111 1111 no 22 Quarrel"), (21, "x@y.zz,(Fiddle)(İzmirli)"), (22, "u@v.ww İİ Grumbler")]
+    rows += [(100 + i, "asks common words") for i in range(987)]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows[:13]:
+        want = [w for w in ("Zorbak", "zorbak", "Quarrel", "Fiddle", "İzmirli", "Grumbler") if w in t.replace("zorbak@", "")]
+        spots = [(m.start(), m.end()) for w in want for m in re.finditer(rf"{w}(?!@)", t)]
+        assert sorted(spots) == [tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith("term")], t
+    assert not got[100].n_term
+
+
 # licences, mixing, quality, chat
 def test_licences_odd_rows(odd_docs, no_docs):
     rows = {r.doc_id: r for r in licenses.report(odd_docs).collect()}
