@@ -3,17 +3,19 @@
 Base labels come from fixed phrases whose words stand consecutively.  The
 method is an exact set-similarity join of text blocks with licence templates:
 a block contains a template if it holds at least a share ``threshold`` of the
-template's different words.  For a template of w words the blocks are the
-windows of 2 w words that start at every multiple of w, so every stretch of w
-words lies whole in one of them.
+template's different words.  For a template of w words the blocks are all
+windows of 2 w words.  Moved on to its first template word a window loses none
+of them, so windows that start at a template word hold every best share, and
+only these are tried.
 
 The words of the templates are put in the order of their frequency over all
 documents, rarest first.  A template of s different words that needs o of
 them must share one of its first s - o + 1 words with the block (prefix
 filter); if the first shared one stands at place p, at most s - p can be
 shared (positional filter, which these prefixes satisfy by construction); and
-a block needs o different words itself (length filter).  Only blocks around
-prefix words are compared, and every block that meets the threshold is found.
+a block needs o template words itself, repeats counted (length filter).  Only
+blocks that hold prefix words and pass it are compared, and every text with a
+block that meets the threshold is found, wherever the block stands.
 
 Templates are a parameter of bounded size, so they stand in the plan as
 literals; the one aggregate that reaches the driver is their words' counts.
@@ -98,19 +100,22 @@ def _places(words: Column, phrase: str) -> Column:
 
 
 def _blocks(words: Column, spots: Column, label: str, template: str, prefix: list[str], threshold: float) -> Column:
-    """Blocks around prefix words that meet the threshold: array<struct<start, label, containment>>."""
+    """Blocks with prefix words that meet the threshold: array<struct<start, label, containment>>."""
     kinds = sorted(set(template.split()))
     wide, need = len(template.split()), needed(template, threshold)
+    own = lambda i: F.get(words, i).isin(kinds)
     near = F.filter(spots, lambda i: F.get(words, i).isin(prefix))
-    starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.array(
-        F.floor(i / wide).cast("int"), F.floor(i / wide).cast("int") - 1))))
+    starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.filter(
+        F.sequence(F.greatest(F.lit(0), i - 2 * wide + 1), i), own))))
 
-    def compare(b: Column) -> Column:
-        block = F.slice(words, b * wide + 1, 2 * wide)
-        shared = F.size(F.array_intersect(block, F.array(*map(F.lit, kinds))))
-        return F.struct((b * wide).alias("start"), F.lit(label).alias("label"), (shared / len(kinds)).alias("containment"))
+    def enough(i: Column) -> Column:
+        return F.size(F.filter(F.slice(words, i + 1, 2 * wide), lambda w: w.isin(kinds))) >= need
 
-    return F.filter(F.transform(F.filter(starts, lambda b: b >= 0), compare),
+    def compare(i: Column) -> Column:
+        shared = F.size(F.array_intersect(F.slice(words, i + 1, 2 * wide), F.array(*map(F.lit, kinds))))
+        return F.struct(i.alias("start"), F.lit(label).alias("label"), (shared / len(kinds)).alias("containment"))
+
+    return F.filter(F.transform(F.filter(starts, enough), compare),
                     lambda m: m["containment"] >= (need - 0.5) / len(kinds))
 
 

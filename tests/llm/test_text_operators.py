@@ -182,6 +182,23 @@ def test_template_without_a_phrase_is_found(spark):
     assert rows[2].labels == "" and rows[3].labels == "cc-by-sa"
 
 
+def test_a_notice_is_found_at_every_offset(spark):
+    rnd = random.Random(6)
+    parts = "licensed under the terms of cc by nc sa 4 0 released mit x y".split()
+    rows = [(i, "intro " * i + "Licensed under the terms of CC BY NC 4.0" + " tail" * 9) for i in range(14)]
+    rows += [(100 + i, " ".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))) for i in range(200)]
+    got = {r.doc_id: r for r in licenses.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all((got[i].labels, got[i].score) == ("cc-by-nc", 1.0) for i in range(14))
+    for i, t in rows:
+        w, best, labels = re.findall("[a-z0-9]+", t.lower()), 0.0, set()
+        for label, template in licenses.TEMPLATES:
+            kinds, wide = set(template.split()), len(template.split())
+            share = max((len(kinds & set(w[b:b + 2 * wide])) / len(kinds) for b in range(len(w))), default=0)
+            if share >= licenses.THRESHOLD:
+                best, labels = max(best, share), labels | {label}
+        assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), best)
+
+
 def test_mix_meets_targets(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = mixing.mix(docs, block_words=64, shard_words=3000).collect()
