@@ -9,7 +9,9 @@ seeded order and their words form one stream that is cut into equal blocks of
 about ``block_words`` words.  Blocks are seats: the mix has one seat per
 ``block_words`` words of all targets, sources win seats by the highest
 quotients target / (2 s + 1), and the shards of a source win its seats by
-blocks / (2 s + 1).  A shard with q seats and b blocks takes every block
+blocks / (2 s + 1).  Sources with a target under ``few`` such blocks are
+apportioned among themselves, by words instead of blocks, and have blocks of
+their own of a ``few``-th of their target; the words won are rounded to them.  A shard with q seats and b blocks takes every block
 q div b times and q mod b more blocks in seeded order, so no block, and no
 document, is taken more than twice its size.
 
@@ -36,6 +38,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
 BLOCK_WORDS = 256
+FEW = 16
 SHARD_WORDS = 1_000_000
 SEED = 17
 
@@ -103,12 +106,15 @@ def apportion(parties: DataFrame, seats: str, votes: str, within: list[str], ord
 
 def taken_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED,
-                 budget: float = BUDGET, most: float = MOST, weights=WEIGHTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 budget: float = BUDGET, most: float = MOST, weights=WEIGHTS,
+                 few: int = FEW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, blocks, sources): rows with their place in a shard's stream, blocks with the times each is taken."""
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                               word_count(F.col(text_col)).alias("size")), "mix-sizes")
     sources = targets(rows, budget, most, weights).withColumn(
         "n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint"))
+    sources = sources.withColumn("small", F.col("target") < few * block_words).withColumn(
+        "block_words", F.when(F.col("small"), F.greatest(F.lit(1), F.floor(F.col("target") / few))).otherwise(block_words))
     sources = stored(sources, "mix-sources")
 
     placed = (rows.join(sources.select("source", "position", "n_shards"), rows.source.eqNullSafe(sources.source))
@@ -118,20 +124,23 @@ def taken_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = (placed.withColumn("end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("begin", F.col("end") - F.col("size")).drop("_h", "n_shards"))
 
-    shards = (rows.join(sources.select("source", "position", "n_shards"), rows.source.eqNullSafe(sources.source))
+    shards = (rows.join(sources.select("source", "position", "n_shards", "block_words"), rows.source.eqNullSafe(sources.source))
               .withColumn("shard", F.pmod(F.xxhash64(F.xxhash64(F.lit(seed), "id", "size")), F.col("n_shards")))
-              .groupBy("position", "shard").agg(F.sum("size").alias("words")).filter("words > 0")
-              .withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("words") / block_words)).cast("bigint")))
+              .groupBy("position", "shard", "block_words").agg(F.sum("size").alias("words")).filter("words > 0")
+              .withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("words") / F.col("block_words"))).cast("bigint"))
+              .drop("block_words"))
     shards = stored(shards, "mix-shards")
 
     per_source = shards.groupBy("position").agg(F.sum("blocks").alias("source_blocks"))
     seats = (sources.join(per_source, "position")
-             .withColumn("_all", F.lit(0))
-             .withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("_all")) / block_words).cast("bigint")))
-    won = apportion(seats.select("_all", "position", "target", "source_blocks", "seats"), "seats", "target", ["_all"],
-                    ["position"], "won")
+             .withColumn("_grain", F.when(F.col("small"), 1).otherwise(block_words))
+             .withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("_grain")) / F.col("_grain")).cast("bigint")))
+    won = apportion(seats.select("_grain", "position", "target", "source_size", "source_blocks", "seats"), "seats", "target",
+                    ["_grain"], ["position"], "won")
+    in_blocks = F.when(F.col("_grain") == block_words, F.col("won")).otherwise(
+        F.round(F.col("won") * F.col("source_blocks") / F.col("source_size"))).cast("bigint")
     most_blocks = F.floor(F.col("source_blocks") * F.lit(float(most))).cast("bigint")
-    won = won.select("position", F.least("won", most_blocks).alias("won"))
+    won = won.select("position", F.least(in_blocks, most_blocks).alias("won"))
     quotas = apportion(shards.join(won, "position").select("position", "shard", "words", "blocks", "won"), "won", "blocks",
                        ["position"], ["shard"], "quota")
 

@@ -199,6 +199,19 @@ def test_a_notice_is_found_at_every_offset(spark):
         assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), best)
 
 
+def test_mix_keeps_small_sources(spark):
+    sizes = {"big0": 90_000, "big1": 60_000, "one": 1} | {f"s{n}": n for n in (20, 50, 60, 120, 150, 200, 3000)}
+    docs = [(i, s, " ".join(["w"] * min(1000, n - at))) for s, n in sizes.items() for i, at in enumerate(range(0, n, 1000))]
+    df = spark.createDataFrame([(k, *d[1:]) for k, d in enumerate(docs)], "doc_id long, source string, text string")
+    source = {k: d[1] for k, d in enumerate(docs)}
+    taken, target = dict.fromkeys(sizes, 0), {}
+    for r in mixing.mix(df).collect():
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] for s in sizes), (taken, target)
+    assert {r.source for r in mixing.mixed_texts(df).select("source").distinct().collect()} == set(sizes)
+
+
 def test_mix_meets_targets(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = mixing.mix(docs, block_words=64, shard_words=3000).collect()
