@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmarts.llm import ann, bpe, chat, licenses, mixing, pii, quality, simhash, token_counts, topk
+from marketmarts.llm import (ann, bpe, centroids, chat, filter_audit, licenses, mixing, pii, quality, simhash, token_counts, topk,
+                             word_bpe)
 from marketmarts.llm.common import load
 
 
@@ -60,6 +61,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(load(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = word_bpe.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    return word_bpe.decode(word_bpe.encode(load(spark, sf_dir, "documents"), spec), spec, digests=True)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_chat": op2_chat,
@@ -71,6 +85,9 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_word_bpe": op12_word_bpe,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL = {
@@ -94,4 +111,6 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op6_licenses": licenses.oracle(),
+    "op11_filter_audit": filter_audit.oracle(),
+    "op13_centroids": centroids.oracle(),
 }
