@@ -9,7 +9,9 @@ fragment is encoded once per task and memory.
 
 The tokenizer file's own normaliser and splitter (``tokenizers`` classes, no
 model) give the words.  They run on pieces of text between ASCII white space,
-which no word spans, each different piece once.
+which no word spans, each different piece once.  For pieces of printable ASCII
+the file's splitting pattern is applied to the lower-cased piece, which is what
+its normaliser and splitter come to there.
 
 Texts are mapped where they lie; nothing is shuffled.  Every task gets the
 vocabulary and its merges, whose size is that of the tokenizer file.
@@ -28,10 +30,12 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -59,12 +63,29 @@ def read_spec(path: str) -> dict:
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     return {"vocab": model["vocab"], "merges": {m: r for r, m in enumerate(merges)}, "suffix": model["end_of_word_suffix"],
             "added": {t["content"]: t["id"] for t in whole["added_tokens"]},
-            "frame": json.dumps({**whole, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None,
+            "plain_pattern": _plain_pattern(whole), "frame": json.dumps({**whole, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None,
                                  "model": {**model, "vocab": {}, "merges": []}})}
 
 
+def _plain_pattern(whole: dict) -> str | None:
+    """The splitting pattern, if the normaliser does no more than NFC, white space to one space, and lower case."""
+    norm, pre = whole["normalizer"] or {}, whole["pre_tokenizer"] or {}
+    steps = [{k: v for k, v in n.items()} for n in norm.get("normalizers", [])]
+    usual = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    parts = pre.get("pretokenizers", [])
+    if steps != usual or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = parts
+    if split["behavior"] != "Removed" or not split["invert"] or level["use_regex"] or level["add_prefix_space"]:
+        return None
+    return split["pattern"].get("Regex")
+
+
 class WordBpe:
-    """Encoder of words by certain cuts and merges; the same object serves all rows of a task."""
+    """Encoder of words by certain cuts and merges; the same object serves all rows of a task.
+
+    Ids are handed on as the bytes of 32-bit integers.
+    """
 
     def __init__(self, spec: dict):
         self.vocab, self.merges, self.suffix = spec["vocab"], spec["merges"], spec["suffix"]
@@ -72,30 +93,58 @@ class WordBpe:
         self.normalize, self.split = frame.normalizer.normalize_str, frame.pre_tokenizer.pre_tokenize_str
         self.added = spec["added"]
         self.added_in = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self.inside = set()
+        self.plain = regex.compile(spec["plain_pattern"]).findall if spec["plain_pattern"] else None
+        #: neighbours inside some token, and neighbours of which the second is the last byte of a word
+        self.inside: set[str] = set()
+        self.inside_end: set[str] = set()
         for token in self.vocab:
-            self.inside.update(zip(token, token[1:]))
+            self.inside.update(a + b for a, b in zip(token, token[1:]))
             if token.endswith(self.suffix):
                 body = token[:-len(self.suffix)]
-                self.inside.update(zip(body[:-1], [*body[1:-1], body[-1:] + self.suffix]))
-        self.fragments: dict[tuple[str, ...], tuple[int, ...]] = {}
+                self.inside.update(a + b for a, b in zip(body, body[1:-1]))
+                self.inside_end.add(body[-2:])
+        self.forget()
+
+    def forget(self) -> None:
+        #: ids of fragments within a word, of fragments that end one, and of words
+        self.fragments: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.words: dict[str, bytes] = {}
 
-    def cut(self, word: str) -> list[tuple[str, ...]]:
-        """The word's symbols (bytes, the last one marked as the end) in fragments between certain cuts."""
-        symbols = (*word[:-1], word[-1] + self.suffix)
-        cuts = [i for i, pair in enumerate(zip(symbols, symbols[1:]), 1) if pair not in self.inside]
-        return [symbols[a:b] for a, b in zip([0, *cuts], [*cuts, len(symbols)])]
+    def cut(self, word: str) -> list[str]:
+        """The word's bytes in fragments between certain cuts."""
+        cuts = [i for i, (a, b) in enumerate(zip(word, word[1:-1]), 1) if a + b not in self.inside]
+        if len(word) > 1 and word[-2:] not in self.inside_end:
+            cuts.append(len(word) - 1)
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
-    def merge(self, symbols: tuple[str, ...]) -> tuple[int, ...]:
+    def merge(self, fragment: str, ends: bool) -> list[int]:
         """Ids of a fragment: the pair of lowest rank is merged, leftmost first, until none is left.
 
-        Pairs wait in a heap and neighbours in linked lists, so n symbols
-        take n log n steps.
+        In long fragments pairs wait in a heap and neighbours in linked lists,
+        so n symbols take n log n steps.
         """
+        parts = list(fragment)
+        if ends:
+            parts[-1] += self.suffix
+        if len(parts) > 64:
+            return self._merge_long(parts)
+        get, none = self.merges.get, len(self.merges)
+        ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
+        return [self.vocab[p] for p in parts]
+
+    def _merge_long(self, symbols: list[str]) -> list[int]:
         part: list[str | None] = list(symbols)
         n, ranks = len(part), self.merges
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(part, part[1:])) if (r := ranks.get((a, b))) is not None]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (r := ranks.get((a, b))) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, a, b = heapq.heappop(heap)
@@ -110,29 +159,38 @@ class WordBpe:
                     heapq.heappush(heap, (r, i, part[i], part[k]))
             if (h := before[i]) >= 0 and (r := ranks.get((part[h], part[i]))) is not None:
                 heapq.heappush(heap, (r, h, part[h], part[i]))
-        return tuple(self.vocab[p] for p in part if p is not None)
-
-    def word(self, word: str) -> list[int]:
-        out: list[int] = []
-        for f in self.cut(word):
-            ids = self.fragments.get(f)
-            if ids is None:
-                ids = self.fragments[f] = self.merge(f)
-            out += ids
-        return out
-
-    def piece(self, text: str) -> list[int]:
+        return [self.vocab[p] for p in part if p is not None]
+
+    def word(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            found = []
+            parts = self.cut(word)
+            for k, f in enumerate(parts, 1):
+                ends = k == len(parts)
+                ids = self.fragments[ends].get(f)
+                if ids is None:
+                    ids = self.fragments[ends][f] = array("i", self.merge(f, ends)).tobytes()
+                found.append(ids)
+            known = self.words[word] = b"".join(found)
+        return known
+
+    def piece(self, text: str) -> bytes:
         """Ids of a stretch of text: added tokens stand for themselves, all else is normalised, split and cut."""
-        if self.added_in and (m := self.added_in.search(text)):
-            return [*self.piece(text[:m.start()]), self.added[m[0]], *self._rest(text, m.end())]
-        return [i for w, _ in self.split(self.normalize(text)) for i in self.word(w)]
-
-    def _rest(self, text: str, begin: int) -> list[int]:
-        out: list[int] = []
-        while m := self.added_in.search(text, begin):
-            out += [*self.piece(text[begin:m.start()]), self.added[m[0]]]
+        if not self.added_in or not (m := self.added_in.search(text)):
+            return self._plainly(text)
+        out, begin = [], 0
+        for m in self.added_in.finditer(text):
+            out += [self._plainly(text[begin:m.start()]), array("i", [self.added[m[0]]]).tobytes()]
             begin = m.end()
-        return out + self.piece(text[begin:])
+        return b"".join([*out, self._plainly(text[begin:])])
+
+    def _plainly(self, text: str) -> bytes:
+        if self.plain and text.isascii() and text.isprintable() and " " not in text:
+            words = self.plain(text.lower())
+        else:
+            words = [w for w, _ in self.split(self.normalize(text))]
+        return b"".join([self.words.get(w) or self.word(w) for w in words])
 
 
 def encode(docs: DataFrame, spec: dict, id_col: str = "doc_id", text_col: str = "text",
@@ -150,13 +208,13 @@ def encode(docs: DataFrame, spec: dict, id_col: str = "doc_id", text_col: str =
             for row, value in enumerate(b.column(1)):
                 text = value.as_py() or ""
                 found = pieces(text)
-                fresh = set(found) - known.keys()
+                fresh = [p for p in set(found) if p not in known]
                 if held > memory_chars and fresh:
                     known.clear()
-                    bpe.fragments.clear()
-                    held, fresh = 0, set(found)
+                    bpe.forget()
+                    held, fresh = 0, list(set(found))
                 for p in fresh:
-                    known[p] = np.array(bpe.piece(p), "<i4").tobytes()
+                    known[p] = bpe.piece(p)
                     held += len(p)
                 out.append(np.frombuffer(b"".join(map(known.__getitem__, found)), "<i4"))
                 chars += len(text)
