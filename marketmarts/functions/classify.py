@@ -43,14 +43,6 @@ def role(title: Column) -> Column:
     return expr.otherwise(pair(*ROLE_FALLBACK))
 
 
-def role_canonical(title: Column) -> Column:
-    return role(title).getField("role_canonical")
-
-
-def role_family(title: Column) -> Column:
-    return role(title).getField("role_family")
-
-
 def seniority(title: Column, years_min: Column) -> Column:
     """Title hints first, then experience years; NULL years -> 'mid'."""
     t = _title(title)

@@ -11,6 +11,10 @@ Two passes, unioned into a sorted distinct array:
 
 The taxonomy has a fixed size (48 skills, 82 surfaces), so the text pass is
 one code-generated expression per row: no join, no shuffle, no UDF.
+
+For a taxonomy of thousands of surfaces, ``join_surfaces`` reads each text once
+instead of once per surface: the short pieces of the text that some surface
+begins with are equi-joined with the surfaces, and each pair is then verified.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ from .text import strip_ws, word_haystack, word_haystack_py
 MATCH_MODES = ("substring", "token")
 
 
+def surface_rows() -> list[tuple[str, str, int]]:
+    """(skill, surface, surface_len) of every surface, lower-case."""
+    return [(skill, surface.lower(), len(surface)) for skill, surfaces in SKILL_TAXONOMY.items() for surface in surfaces]
+
+
 def surface_index() -> dict[str, str]:
     """surface (lower-case) -> canonical skill."""
-    out: dict[str, str] = {}
-    for canonical, surfaces in SKILL_TAXONOMY.items():
-        for s in surfaces:
-            out[s.lower()] = canonical
-    return out
+    return {surface: skill for skill, surface, _ in surface_rows()}
 
 
 def _surface_pattern(surface: str, match: str) -> str:
@@ -44,7 +49,6 @@ def _surface_pattern(surface: str, match: str) -> str:
 
 def taxonomy_frame(spark: SparkSession) -> DataFrame:
     """(skill, surface, surface_len) rows of the taxonomy, longest surface first."""
-    rows = [(c, s.lower(), len(s)) for c, ss in SKILL_TAXONOMY.items() for s in ss]
     schema = T.StructType(
         [
             T.StructField("skill", T.StringType(), False),
@@ -52,7 +56,7 @@ def taxonomy_frame(spark: SparkSession) -> DataFrame:
             T.StructField("surface_len", T.IntegerType(), False),
         ]
     )
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("surface_len"), "surface")
+    return spark.createDataFrame(surface_rows(), schema).orderBy(F.desc("surface_len"), "surface")
 
 
 def skills_from_hints(hints: Column) -> Column:
@@ -121,3 +125,51 @@ def extraction_text(role_raw: Column, description: Column) -> Column:
 def extract(hay: Column, hints: Column, match: str = "substring") -> Column:
     """Sorted distinct union of the hint pass and the text pass (on a normalised haystack)."""
     return F.array_sort(F.array_union(skills_from_hints(hints), skills_in_haystack(hay, match)))
+
+
+KEY_CHARS = 3
+
+
+def _key(pattern: Column, match: str) -> Column:
+    """What a surface begins with: its first word, or its first characters."""
+    return F.substring_index(F.trim(pattern), " ", 1) if match == "token" else F.substring(pattern, 1, KEY_CHARS)
+
+
+def _pieces(hay: Column, match: str, lengths: list[int]) -> Column:
+    """Different pieces of a normalised text that can be a key: its words, or its runs of ``lengths`` characters."""
+    if match == "token":
+        return F.array_distinct(F.split(F.trim(hay), " "))
+
+    def runs(chars: Column) -> Column:
+        def of(n: int) -> Column:
+            starts = F.when(F.size(chars) >= n, F.sequence(F.lit(0), F.size(chars) - n))
+            return F.array_distinct(F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)])))
+
+        return F.flatten(F.array(*[F.coalesce(of(n), F.array().cast("array<string>")) for n in lengths]))
+
+    # binding by a lambda cuts the text into characters once
+    return F.transform(F.array(F.split(hay, "")), runs)[0]
+
+
+def join_surfaces(texts: DataFrame, surfaces: DataFrame, id_col: str, text_col: str, match: str = "substring") -> DataFrame:
+    """(id, skill, surface) for every row of ``surfaces`` (skill, surface) that occurs in a text.
+
+    Same result as testing every surface on every text.  Surfaces without a
+    character or, as tokens, without a word occur nowhere.  The keys of the
+    surfaces reach the plan as a literal set, so a taxonomy may have some ten
+    thousand surfaces, whatever the number of texts.
+    """
+    if match not in MATCH_MODES:
+        raise ValueError(f"match must be one of {MATCH_MODES}, got {match!r}")
+    lower = F.lower("surface")
+    pattern = word_haystack(F.col("surface")) if match == "token" else lower
+    table = surfaces.select("skill", lower.alias("surface"), pattern.alias("_pattern")).distinct()
+    table = table.withColumn("_key", _key(F.col("_pattern"), match)).filter(F.col("_key") != "")
+    keys = sorted(r[0] for r in table.select("_key").distinct().collect())
+    if not keys:
+        return texts.select(id_col, F.lit("").alias("skill"), F.lit("").alias("surface")).limit(0)
+    pieces = _pieces(F.col("_hay"), match, sorted({len(k) for k in keys}))
+    hay = with_haystack(texts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), F.col("_text")).select("_id", "_hay")
+    near = hay.select("_id", "_hay", F.explode(F.filter(pieces, lambda p: p.isin(keys))).alias("_key"))
+    return (near.join(table, "_key").filter(F.col("_hay").contains(F.col("_pattern")))
+            .select(F.col("_id").alias(id_col), "skill", "surface"))

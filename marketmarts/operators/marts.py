@@ -23,6 +23,7 @@ from .percentile import grouped_percentiles, quantile_col, truncate_int
 CELL_KEYS = ["role_canonical", "seniority", "headcount_band", "city"]
 PCT_COLS = ["p25_monthly", "p50_monthly", "p75_monthly", "p90_monthly"]
 METHODS = ("exact", "approx")
+APPROX_ACCURACY = 10_000
 
 
 def _snapshot(snapshot_date) -> F.Column:
@@ -40,8 +41,9 @@ def salary_cells(enriched: DataFrame, snapshot_date=None, method: str = "exact",
     exact:  n_disclosed counts disclosed rows with both bounds; percentiles
             are exact, linear, truncated to INT; NULL dimensions become
             'unknown' before grouping.
-    approx: n_disclosed counts the disclosed flag; ``percentile_approx``,
-            not truncated; NULL dimensions stay NULL.
+    approx: n_disclosed counts the disclosed flag; one mergeable sketch per
+            cell answers all quantiles within 1/``APPROX_ACCURACY`` of the
+            cell's rows in rank; not truncated; NULL dimensions stay NULL.
     Cells with fewer than ``min_disclosed`` disclosures get NULL percentiles.
     """
     if method not in METHODS:
@@ -69,25 +71,14 @@ def salary_cells(enriched: DataFrame, snapshot_date=None, method: str = "exact",
                 for q, name in zip(SALARY_QUANTILES, PCT_COLS)
             ],
         )
-    base = enriched.select(*CELL_KEYS, "salary_disclosed", mid.alias("mid"))
-    g = base.groupBy(*CELL_KEYS).agg(
+    cells = enriched.select(*CELL_KEYS, "salary_disclosed", mid.alias("mid")).groupBy(*CELL_KEYS).agg(
+        F.percentile_approx("mid", list(SALARY_QUANTILES), APPROX_ACCURACY).alias("sketched"),
+        F.count_if("salary_disclosed").cast("int").alias("n_disclosed"),
         F.count(F.lit(1)).cast("int").alias("n_postings"),
-        F.sum(F.col("salary_disclosed").cast("int")).cast("int").alias("n_disclosed"),
-        *[F.percentile_approx("mid", q).alias(name) for q, name in zip(SALARY_QUANTILES, PCT_COLS)],
     )
-    guard = F.col("n_disclosed") >= min_disclosed
-    return g.select(
-        snap.alias("snapshot_date"),
-        *CELL_KEYS,
-        "n_postings",
-        "n_disclosed",
-        *[F.when(guard, F.col(c)).alias(c) for c in PCT_COLS],
-    )
-
-
-def family_totals(postings_df: DataFrame) -> DataFrame:
-    """Postings per role family, including postings without skills."""
-    return postings_df.groupBy("role_family").agg(F.count(F.lit(1)).alias("n_total"))
+    published = F.when(F.col("n_disclosed") >= min_disclosed, F.col("sketched"))
+    return cells.select(snap.alias("snapshot_date"), *CELL_KEYS, "n_postings", "n_disclosed",
+                        *[published[i].alias(name) for i, name in enumerate(PCT_COLS)])
 
 
 def skill_counts(postings_df: DataFrame) -> DataFrame:

@@ -1,28 +1,41 @@
-"""Merging one batch's staging tables with the stored ones.
+"""Merging one batch's staging rows with what is stored.
 
 Running two batches one after the other gives the same tables as one run
-over both.  Every merge is an equi-join on the table's key; nothing stored is
-changed in place.
+over both, and running a batch again changes nothing.
+
+``merge_*`` work on frames.  ``upsert_*`` work on stored keyed tables
+(``plans.stored.StoredTable``): the batch is shuffled to the table's buckets,
+only buckets that hold one of its keys are read (without an Exchange) and
+rewritten, and the raw table is only appended to.  Each returns row counts
+observed during its write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .staging import ORDERS
+from ..session import observed
+from .staging import ORDERS, RAW_KEY
 
-RAW_KEY = ["source", "source_post_id", "fetched_at"]
+
+def _same(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in key])
 
 
 def merge_raw(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored fetches stay, new ones are added; repeated arrivals only raise ``n_fetches`` where it is kept."""
-    new = batch.join(stored.select(*RAW_KEY), RAW_KEY, "left_anti")
+    key = [k for k in RAW_KEY if k in stored.columns]
+    old = stored.select(*key)
+    new = batch.join(old, _same(batch, old, key), "left_anti")
     kept = stored
     if "n_fetches" in stored.columns:
-        more = batch.select(*RAW_KEY, F.col("n_fetches").alias("_more"))
-        kept = stored.join(more, RAW_KEY, "left").withColumn(
-            "n_fetches", F.col("n_fetches") + F.coalesce("_more", F.lit(0))).drop("_more")
+        more = batch.select(*key, F.col("n_fetches").alias("_more"))
+        kept = stored.join(more, _same(stored, more, key), "left").select(
+            *[stored[c] for c in stored.columns if c != "n_fetches"],
+            (stored["n_fetches"] + F.coalesce(more["_more"], F.lit(0))).alias("n_fetches"))
     return kept.select(*stored.columns).unionByName(new.select(*stored.columns))
 
 
@@ -32,21 +45,93 @@ def merge_companies(stored: DataFrame, batch: DataFrame, order: str = "ingest")
     ``order="ingest"`` takes the batch's time as the last one processed,
     ``order="event_time"`` the later of the two.
     """
-    if order not in ORDERS:
-        raise ValueError(f"order must be one of {ORDERS}")
-    new = batch.join(stored.select("name_canonical"), "name_canonical", "left_anti")
-    seen = batch.select("name_canonical", F.col("last_seen_at").alias("_seen"))
-    last = F.coalesce("_seen", "last_seen_at") if order == "ingest" else F.greatest("_seen", "last_seen_at")
-    kept = stored.join(seen, "name_canonical", "left").withColumn("last_seen_at", last)
-    return kept.select(*stored.columns).unionByName(new.select(*stored.columns))
+    return _chosen(stored, batch, ["name_canonical"], _company(order)).select(*stored.columns)
 
 
 def merge_postings(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """A posting of the batch replaces the stored one (see ``staging.postings`` for hints of older fetches)."""
-    kept = stored.join(batch.select("posting_id"), "posting_id", "left_anti")
-    return kept.select(*stored.columns).unionByName(batch.select(*stored.columns))
+    return _chosen(stored, batch, ["posting_id"], F.coalesce("b", "s")).select(*stored.columns)
 
 
 def new_companies(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Companies of the batch that the stored dimension lacks."""
     return batch.join(stored.select("name_canonical"), "name_canonical", "left_anti")
+
+
+def _company(order: str) -> Column:
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {ORDERS}")
+    seen, before = F.col("b.last_seen_at"), F.col("s.last_seen_at")
+    last = F.coalesce(seen, before) if order == "ingest" else F.greatest(seen, before)
+    return (F.when(F.col("s").isNull(), F.col("b")).when(F.col("b").isNull(), F.col("s"))
+            .otherwise(F.col("s").withField("last_seen_at", last)))
+
+
+def _paired(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """key, s, b: the stored row and the batch's row of every key, NULL where there is none."""
+    whole = F.struct(*[F.col(c) for c in stored.columns])
+    return stored.select(*key, whole.alias("s")).join(batch.select(*key, whole.alias("b")), key, "full")
+
+
+def _chosen(stored: DataFrame, batch: DataFrame, key: list[str], row: Column) -> DataFrame:
+    return _paired(stored, batch, key).select(row.alias("r")).select("r.*")
+
+
+def upsert_raw(table, batch: DataFrame) -> dict[str, int]:
+    """New fetches are appended; nothing stored is rewritten.
+
+    The table is keyed by (source, source_post_id), so fetches of one posting
+    share a bucket; which of them are stored already is the join's remaining
+    condition.
+    """
+    old = table.slice(table.touched(batch)).select(*[F.col(k).alias(f"_{k}") for k in RAW_KEY])
+    posting = (F.col("source") == F.col("_source")) & (F.col("source_post_id") == F.col("_source_post_id"))
+    # stated as two bounds it stays a condition and does not ask for another partitioning of the stored side
+    time, never = F.coalesce("fetched_at", F.lit("0001-01-01").cast("timestamp_ntz")), F.lit("0001-01-01").cast("timestamp_ntz")
+    old_time = F.coalesce("_fetched_at", never)
+    text, old_text = F.coalesce("fetched_at_text", F.lit("")), F.coalesce("_fetched_at_text", F.lit(""))
+    fetch = (time <= old_time) & (time >= old_time) & (text <= old_text) & (text >= old_text)
+    seen = Observation("raw")
+    new = batch.join(old, posting & fetch, "left_anti").observe(seen, F.count(F.lit(1)).alias("new"))
+    table.append(new)
+    return observed(seen, "new")
+
+
+def upsert(table, batch: DataFrame, row: Column, drop: Column | None = None, **counts: Column) -> dict[str, int]:
+    """Rewrite the touched buckets with ``row``, chosen from ``s`` (stored) and ``b`` (batch) for every key.
+
+    Rows for which ``drop`` holds (a condition on the chosen ``r``) go.
+    ``counts`` are conditions on s and b whose rows are counted besides
+    ``new`` and ``updated``.
+    """
+    touched = table.touched(batch)
+    if not touched:
+        return {"new": 0, "updated": 0, "buckets": 0, **dict.fromkeys(counts, 0)}
+    seen = Observation("upsert")
+    is_new, is_old = F.col("s").isNull(), F.col("s").isNotNull()
+    pairs = _paired(table.slice(touched), batch.select(*table.schema.names), table.key).observe(
+        seen, F.count_if(is_new).alias("new"), F.count_if(is_old & F.col("b").isNotNull()).alias("updated"),
+        *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in counts.items()])
+    rows = pairs.select(row.alias("r"))
+    if drop is not None:
+        rows = rows.filter(~F.coalesce(drop, F.lit(False)))
+    table.replace(rows.select("r.*"))
+    return observed(seen, "new", "updated", *counts) | {"buckets": len(touched)}
+
+
+def upsert_companies(table, batch: DataFrame, order: str = "ingest") -> dict[str, int]:
+    """As ``merge_companies``, on a stored table."""
+    return upsert(table, batch, _company(order))
+
+
+def upsert_postings(table, batch: DataFrame) -> dict[str, int]:
+    """As ``merge_postings``, on a stored table; counts postings with skills that go and that come."""
+    some = lambda side: F.size(F.col(f"{side}.skills_canonical")) > 0
+    return upsert(table, batch, F.coalesce("b", "s"), skilled_out=F.col("b").isNotNull() & some("s"), skilled_in=some("b"))
+
+
+def upsert_latest(table, batch: DataFrame, order_cols: list[str], drop: Column | None = None) -> dict[str, int]:
+    """The row of the largest ``order_cols`` per key stays, whichever batch brings it; one batch row per key."""
+    order = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order_cols])
+    newer = F.col("s").isNull() | (F.col("b").isNotNull() & (order("b") >= order("s")))
+    return upsert(table, batch, F.when(newer, F.col("b")).otherwise(F.col("s")), drop)

@@ -2,8 +2,13 @@
 
 Every limit is a top-k with a unique tie-break, so results are
 deterministic; Spark plans ``orderBy().limit()`` as TakeOrderedAndProject
-(a per-partition top-k then a merge), never a full sort.  Out-of-range
+(a per-partition top-k then a merge), never a full sort.  Where the sort key
+stands on one side of a join, the top-k is taken before the join.  Out-of-range
 arguments raise ``ValueError``.
+
+Marts are given as frames: one snapshot of a stored mart (``sinks.read_mart``,
+a partition filter known before the scan), or any frame of several snapshots,
+of which the newest is taken.
 """
 
 from __future__ import annotations
@@ -87,9 +92,19 @@ def read_company_activity(activity: DataFrame, companies: DataFrame, limit: int
     return df.orderBy(F.desc("n_data_ai"), "name_canonical").limit(limit)
 
 
+def _top(activity: DataFrame, n: int) -> DataFrame:
+    """Rows that can be among the n most active: at least as many data/AI postings as the n-th.
+
+    The names that break ties stand on the other side of the join, so all
+    ties of the n-th row go on.
+    """
+    nth = activity.select("n_data_ai").orderBy(F.desc("n_data_ai")).limit(n).agg(F.min("n_data_ai")).scalar()
+    return activity.filter(F.col("n_data_ai") >= nth)
+
+
 def company_top(activity: DataFrame, companies: DataFrame, n: int = COMPANY_TOP, snapshot_date=None) -> DataFrame:
     """Top n companies by data/AI postings (dashboard chart)."""
-    df = company_activity_named(_snapshot_filter(activity, snapshot_date), companies, "left")
+    df = company_activity_named(_top(_snapshot_filter(activity, snapshot_date), n), companies, "left")
     return df.orderBy(F.desc("n_data_ai"), "name_canonical", "company_id").limit(n)
 
 
@@ -102,16 +117,24 @@ def read_postings(postings: DataFrame, role_canonical=None, limit: int = READ_PO
     return df.orderBy(F.desc("fetched_at"), "posting_id").limit(limit)
 
 
-def search_postings(enriched: DataFrame, title_term: str = "", skill_term: str = "",
-                    limit: int = SEARCH_LIMIT) -> DataFrame:
-    """Title regex (case-insensitive) and skill substring search, newest first (Q5)."""
-    df = enriched
+def search_postings(postings: DataFrame, title_term: str = "", skill_term: str = "",
+                    limit: int = SEARCH_LIMIT, companies: DataFrame | None = None) -> DataFrame:
+    """Title regex (case-insensitive) and skill substring search, newest first (Q5).
+
+    Filters and sort key are the posting's own, so with ``companies`` only
+    the ``limit`` rows found are joined with them (band and industry).
+    """
+    df = postings
     if title_term:
         df = df.filter(F.coalesce(F.col("role_raw").rlike("(?iU)" + title_term), F.lit(False)))
     if skill_term:
         term = skill_term.lower()
         df = df.filter(F.exists("skills_canonical", lambda s: s.contains(term)))
-    return df.orderBy(F.desc("fetched_at"), "posting_id").limit(limit)
+    found = df.orderBy(F.desc("fetched_at"), "posting_id").limit(limit)
+    if companies is None:
+        return found
+    c = companies.select("company_id", "headcount_band", "industry")
+    return found.join(c, "company_id", "left").orderBy(F.desc("fetched_at"), "posting_id")
 
 
 def salary_filtered(salary: DataFrame, role_canonical: str, seniorities: Sequence[str] | None = None,

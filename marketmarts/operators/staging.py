@@ -1,9 +1,14 @@
 """Staging: required fields, raw dedup, company dimension, latest posting.
 
-All "first/last row per key" steps are ``min_by``/``max_by`` aggregates
-over the ingest order ``seq``.  They aggregate partially on the map side,
-so a hot key (say the company ``unknown`` holding a third of all rows)
-reaches the shuffle as one row per map task rather than as all its rows.
+All "first/last row per key" steps first find *positions*: hash aggregates over
+fixed-width values (``seq``, times) that combine before their shuffle, so a hot
+key (say the company ``unknown`` holding a third of all rows) reaches the
+shuffle as one row per map task.  The rows at those positions are then fetched
+by an equi-join on ``seq``, which is unique and so has no hot key.  Wide rows
+are shuffled once at most, and never sorted by a text key.
+
+A ``seq`` that is a (file, position) struct works the same way; only its
+minimum and maximum are sort-based, over rows of key and position.
 """
 
 from __future__ import annotations
@@ -20,10 +25,11 @@ ORDERS = ("ingest", "event_time")
 
 
 def required_fields(feed: DataFrame) -> DataFrame:
-    """Drop rows with a NULL/empty posting_id or a NULL fetched_at."""
-    return feed.filter(
-        F.col("posting_id").isNotNull() & (F.col("posting_id") != "") & F.col("fetched_at").isNotNull()
-    )
+    """Drop rows with a NULL/empty posting_id or without a fetched_at (one that cannot be read counts as given)."""
+    given = F.col("fetched_at").isNotNull()
+    if "fetched_at_text" in feed.columns:
+        given = given | F.coalesce(F.col("fetched_at_text") != "", F.lit(False))
+    return feed.filter(F.col("posting_id").isNotNull() & (F.col("posting_id") != "") & given)
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
@@ -48,29 +54,29 @@ def company_key(name_canonical) -> F.Column:
     return F.xxhash64(name_canonical)
 
 
+RAW_KEY = ["source", "source_post_id", "fetched_at", "fetched_at_text"]
+
+
 def raw_postings(valid: DataFrame) -> DataFrame:
     """Raw table: one row per (source, source_post_id, fetched_at); first arrival wins.
 
     ``payload`` is the JSON text of the whole raw posting; ``raw_id`` is
     the ingest position of the kept row (a hash of it when the position is
-    a (file, offset) struct) and ``n_fetches`` how many arrived.
+    a (file, offset) struct) and ``n_fetches`` how many arrived.  Times that
+    cannot be read are told apart by their text.
     """
-    payload_cols = [c for c in valid.columns if c != "seq"]
-    payload = F.to_json(F.struct(*[F.col(c) for c in payload_cols]))
-    rows = valid.select(
-        F.col("source").alias("source"),
-        F.col("posting_id").alias("source_post_id"),
-        "fetched_at",
-        "seq",
-        payload.alias("payload"),
-    ).withColumn("source", F.coalesce("source", F.lit(DEFAULT_SOURCE)))
-    first = F.min("seq")
-    raw_id = first if isinstance(valid.schema["seq"].dataType, T.NumericType) else F.xxhash64(first)
-    return rows.groupBy("source", "source_post_id", "fetched_at").agg(
-        raw_id.alias("raw_id"),
-        F.min_by("payload", "seq").alias("payload"),
-        F.count(F.lit(1)).alias("n_fetches"),
-    )
+    text = F.col("fetched_at_text") if "fetched_at_text" in valid.columns else F.lit(None).cast("string")
+    keys = valid.select(F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"), F.col("posting_id").alias("source_post_id"),
+                        "fetched_at", text.alias("fetched_at_text"), F.col("seq").alias("_first"))
+    first = keys.groupBy(*RAW_KEY).agg(F.min("_first").alias("_first"), F.count(F.lit(1)).alias("n_fetches"))
+    whole = F.to_json(F.struct(*[F.col(c) for c in valid.columns if c != "seq"]))
+    rows = first.join(valid.select("seq", whole.alias("payload")), F.col("_first") == F.col("seq"))
+    raw_id = F.col("seq") if _numeric(valid) else F.xxhash64("seq")
+    return rows.select(*RAW_KEY, raw_id.alias("raw_id"), "payload", "n_fetches")
+
+
+def _numeric(df: DataFrame) -> bool:
+    return isinstance(df.schema["seq"].dataType, T.NumericType)
 
 
 def companies(valid: DataFrame, order: str = "ingest") -> DataFrame:
@@ -81,27 +87,19 @@ def companies(valid: DataFrame, order: str = "ingest") -> DataFrame:
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
-    rows = company_name_raw(valid)
-    first = F.min_by(
-        F.struct(
-            F.col("name_raw"),
-            F.col("company.headcount_band").alias("headcount_band"),
-            F.col("company.headcount_est").alias("headcount_est"),
-            F.col("company.industry").alias("industry"),
-            F.col("fetched_at").alias("first_seen_at"),
-        ),
-        F.col("seq"),
-    )
+    names = company_name_raw(valid.select("company", "fetched_at", "seq"))
     last = F.max_by("fetched_at", "seq") if order == "ingest" else F.max("fetched_at")
-    dim = rows.groupBy("name_canonical").agg(first.alias("f"), last.alias("last_seen_at"))
-    return dim.select(
+    seen = names.groupBy("name_canonical").agg(F.min("seq").alias("_first"), last.alias("last_seen_at"))
+    rows = seen.join(company_name_raw(valid.select("company", F.col("fetched_at").alias("first_seen_at"), "seq")).drop("name_canonical"),
+                     F.col("_first") == F.col("seq"))
+    return rows.select(
         company_key(F.col("name_canonical")).alias("company_id"),
         "name_canonical",
-        "f.name_raw",
-        "f.headcount_band",
-        "f.headcount_est",
-        "f.industry",
-        "f.first_seen_at",
+        "name_raw",
+        F.col("company.headcount_band").alias("headcount_band"),
+        F.col("company.headcount_est").alias("headcount_est"),
+        F.col("company.industry").alias("industry"),
+        "first_seen_at",
         "last_seen_at",
     )
 
@@ -109,35 +107,51 @@ def companies(valid: DataFrame, order: str = "ingest") -> DataFrame:
 _POSTING_FIELDS = (
     "source", "fetched_at", "role_raw", "city", "is_remote", "experience_years_min",
     "experience_years_max", "education_min", "salary_monthly_low", "salary_monthly_high",
-    "salary_currency", "salary_disclosed", "description_excerpt", "name_raw", "name_canonical",
+    "salary_currency", "salary_disclosed", "description_excerpt", "description", "name_raw", "name_canonical",
 )
 
 
-def latest_postings(valid: DataFrame) -> DataFrame:
-    """Last row per posting_id (by ``seq``) plus the hints of its newest fetch.
+def _micros() -> F.Column:
+    """fetched_at in microseconds; a time that cannot be read is older than all others."""
+    return F.coalesce(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', fetched_at)"), F.lit(-(10**17)))
+
+
+def _newest_fetch(numeric: bool) -> F.Column:
+    """Aggregate: ``seq`` of the newest fetch; of its copies the first to arrive (as in the raw table)."""
+    if not numeric:
+        return F.min_by("seq", F.struct(-_micros(), "seq"))
+    # time and position as one number of fixed width
+    span = F.lit("10000000000000000000").cast("decimal(20,0)")
+    return F.max_by("seq", _micros().cast("decimal(18,0)") * span - F.col("seq").cast("decimal(19,0)"))
+
+
+def positions(valid: DataFrame) -> DataFrame:
+    """(posting_id, last_seq, hint_seq, hints_at): where the last row and the newest fetch's hints of a posting stand.
 
     Hints come from the newest raw fetch of (source, posting_id), where
-    source is the one of the kept row.  Two partial aggregations do it
-    without a join: per (posting_id, source) keep the last row and the
-    newest-fetch hints; per posting_id keep the group holding the last row.
+    source is the one of the last row.
     """
-    rows = company_name_raw(with_defaults(valid))
-    last_row = F.max_by(F.struct(*[F.col(c) for c in _POSTING_FIELDS]), "seq")
-    # newest fetched_at; among copies of one fetch the first arrival (raw dedup) wins.
-    # Written as a minimum so ``seq`` may be any orderable type (a number or a
-    # (file, position) struct).
-    age = -F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', fetched_at)")
-    newest_hints = F.min_by("skills_raw", F.struct(age, F.col("seq")))
+    rows = valid.select("posting_id", F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"), "fetched_at", "seq")
     per_source = rows.groupBy("posting_id", "source").agg(
-        F.max("seq").alias("last_seq"),
-        last_row.alias("row"),
-        newest_hints.alias("hints"),
-        F.max("fetched_at").alias("hints_at"),
-    )
-    per_posting = per_source.groupBy("posting_id").agg(
-        F.max_by(F.struct("row", "hints", "hints_at"), "last_seq").alias("p")
-    )
-    return per_posting.select("posting_id", "p.row.*", F.col("p.hints").alias("hints"), F.col("p.hints_at").alias("hints_at"))
+        F.max("seq").alias("last_seq"), _newest_fetch(_numeric(valid)).alias("hint_seq"), F.max("fetched_at").alias("hints_at"))
+    return per_source.groupBy("posting_id").agg(
+        F.max_by("hint_seq", "last_seq").alias("hint_seq"), F.max_by("hints_at", "last_seq").alias("hints_at"),
+        F.max("last_seq").alias("last_seq"))
+
+
+def latest_postings(valid: DataFrame) -> DataFrame:
+    """Last row per posting_id (by ``seq``) plus the hints of its newest fetch."""
+    valid = valid if "description" in valid.columns else valid.withColumn("description", F.lit(None).cast("string"))
+    at = positions(valid)
+    last = valid.join(at.drop("posting_id"), F.col("seq") == F.col("last_seq"))
+    # most postings have their hints in their last row; the others fetch them
+    elsewhere = (at.filter(F.col("hint_seq") != F.col("last_seq")).select(F.col("last_seq").alias("_last"), "hint_seq")
+                 .join(valid.select(F.col("seq").alias("_seq"), F.col("skills_raw").alias("_hints")), F.col("hint_seq") == F.col("_seq"))
+                 .select("_last", "_hints"))
+    both = last.join(elsewhere, F.col("last_seq") == F.col("_last"), "left")
+    own = F.col("hint_seq") == F.col("last_seq")
+    rows = company_name_raw(with_defaults(both.withColumn("hints", F.when(own, F.col("skills_raw")).otherwise(F.col("_hints")))))
+    return rows.select("posting_id", *_POSTING_FIELDS, "hints", "hints_at")
 
 
 def hints_of_older_fetches(latest: DataFrame, stored_raw: DataFrame) -> DataFrame:
@@ -159,9 +173,8 @@ def postings(valid: DataFrame, match: str = "substring", stored_raw: DataFrame |
     latest = latest_postings(valid)
     if stored_raw is not None:
         latest = hints_of_older_fetches(latest, stored_raw)
-    p = skills.with_haystack(
-        latest, skills.extraction_text(F.col("role_raw"), F.col("description_excerpt"))
-    )
+    whole = F.coalesce("description", "description_excerpt")  # the excerpt is its beginning
+    p = skills.with_haystack(latest, skills.extraction_text(F.col("role_raw"), whole))
     # the role struct is its own column so its rules run once for both fields
     p = p.withColumn("_role", classify.role(F.col("role_raw")))
     return p.select(

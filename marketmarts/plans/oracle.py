@@ -251,7 +251,7 @@ activity_named AS (
 
 RAW = """
 raw AS (
-  SELECT source, posting_id AS source_post_id, fetched_at, min(seq) AS raw_id, count(*) AS n_fetches,
+  SELECT source, posting_id AS source_post_id, fetched_at, CAST(NULL AS VARCHAR) AS fetched_at_text, min(seq) AS raw_id, count(*) AS n_fetches,
          arg_min(skills_delim, seq) AS hints
   FROM valid GROUP BY source, posting_id, fetched_at)
 """
@@ -305,9 +305,10 @@ def oracle_sql() -> dict[str, str]:
     o["companies_dim"] = with_staging(
         "SELECT name_canonical, name_raw, headcount_band, headcount_est, industry, first_seen_at, last_seen_at FROM companies"
     )
-    o["raw_dedup"] = with_staging("SELECT * FROM raw", RAW)
+    o["raw_dedup"] = with_staging("SELECT source, source_post_id, fetched_at, raw_id, n_fetches, hints FROM raw", RAW)
     # two batches merged equal one run over both
-    o["raw_merge"], o["companies_merge"], o["postings_merge"] = o["raw_dedup"], o["companies_dim"], o["postings_staged"]
+    o["raw_merge"] = with_staging("SELECT source, source_post_id, fetched_at, raw_id, hints FROM raw", RAW)
+    o["companies_merge"], o["postings_merge"] = o["companies_dim"], o["postings_staged"]
     o["latest_hints"] = with_staging(
         "SELECT l.posting_id, l.source, h.hints_delim AS hints FROM last_row l LEFT JOIN hints h USING (source, posting_id)"
     )
@@ -340,6 +341,17 @@ SELECT f.seq, coalesce(a.skills, '') AS skills FROM fx f LEFT JOIN agg a USING (
     o["skills_extract_token"] = with_staging("SELECT posting_id, skills FROM postings", match="token")
     o["skills_theta_join"] = f"""WITH d AS (SELECT doc_id, {haystack("text")} AS hay FROM documents)
 SELECT d.doc_id, tax.skill, tax.surface FROM d JOIN {taxonomy_values()} ON contains(d.hay, tax.pattern)"""
+    o["skills_join"] = o["skills_theta_join"]
+    o["salary_cells_approx"] = with_staging(
+        f"""SELECT DATE '{SNAPSHOT}' AS snapshot_date, role_canonical, seniority, headcount_band, city,
+  CAST(max(n_postings) AS INT) AS n_postings, CAST(max(n_disclosed) AS INT) AS n_disclosed,
+  {", ".join(f"max(CASE WHEN n_disclosed >= {MIN_DISCLOSED_PER_CELL} AND r = greatest(1, ceil({dbl(x)} * n)) THEN mid END) AS {name}"
+             for x, name in zip(SALARY_QUANTILES, ["p25_monthly", "p50_monthly", "p75_monthly", "p90_monthly"]))}
+FROM (SELECT *, count(*) OVER c AS n_postings, count_if(salary_disclosed) OVER c AS n_disclosed, count(mid) OVER c AS n,
+        row_number() OVER (PARTITION BY role_canonical, seniority, headcount_band, city ORDER BY mid NULLS LAST) AS r
+      FROM (SELECT *, CASE WHEN salary_disclosed THEN (CAST(salary_monthly_low AS DOUBLE) + salary_monthly_high) / 2 END AS mid FROM enriched)
+      WINDOW c AS (PARTITION BY role_canonical, seniority, headcount_band, city))
+GROUP BY role_canonical, seniority, headcount_band, city""")
     o["postings_with_company"] = with_staging(
         "SELECT posting_id, company_canonical, headcount_band, industry, role_canonical, fetched_at FROM enriched"
     )
@@ -476,8 +488,23 @@ UNION ALL SELECT 'postings_without_skills', count_if(skills = '') FROM postings
 UNION ALL SELECT 'companies', count(*) FROM companies
 UNION ALL SELECT 'salary_by_role', count(*) FROM salary_cells
 UNION ALL SELECT 'skill_demand', count(*) FROM skill_demand
-UNION ALL SELECT 'company_activity', count(*) FROM activity""",
-        RAW, cells, SKILL_DEMAND, ACTIVITY,
+UNION ALL SELECT 'company_activity', count(*) FROM activity
+UNION ALL SELECT 'day1_raw_new', count_if(raw_id <= m) FROM raw, half
+UNION ALL SELECT 'day1_raw_skipped', 0
+UNION ALL SELECT 'day1_companies_new', count(DISTINCT name_canonical) FROM named, half WHERE seq <= m
+UNION ALL SELECT 'day1_companies_updated', 0
+UNION ALL SELECT 'day1_postings_new', count(DISTINCT posting_id) FROM valid, half WHERE seq <= m
+UNION ALL SELECT 'day1_postings_updated', 0
+UNION ALL SELECT 'day2_raw_new', count_if(raw_id > m) FROM raw, half
+UNION ALL SELECT 'day2_raw_skipped', count(*) FROM (SELECT min(seq) AS a, max(seq) AS b FROM valid GROUP BY source, posting_id, fetched_at), half
+  WHERE a <= m AND b > m
+UNION ALL SELECT 'day2_companies_new', count(*) FROM (SELECT min(seq) AS a FROM named GROUP BY name_canonical), half WHERE a > m
+UNION ALL SELECT 'day2_companies_updated', count(*) FROM (SELECT min(seq) AS a, max(seq) AS b FROM named GROUP BY name_canonical), half
+  WHERE a <= m AND b > m
+UNION ALL SELECT 'day2_postings_new', count(*) FROM (SELECT min(seq) AS a FROM valid GROUP BY posting_id), half WHERE a > m
+UNION ALL SELECT 'day2_postings_updated', count(*) FROM (SELECT min(seq) AS a, max(seq) AS b FROM valid GROUP BY posting_id), half
+  WHERE a <= m AND b > m""",
+        RAW, cells, SKILL_DEMAND, ACTIVITY, "half AS (SELECT max(o_orderkey) / 2 AS m FROM orders)",
     )
     o.update(_source_and_stream_oracles())
     return o
@@ -502,7 +529,8 @@ board_a AS (
          coalesce(nullif(city, ''), 'Addr ' || CAST(seq % 50 AS VARCHAR)) AS city, CAST(NULL AS BOOLEAN) AS is_remote,
          CASE WHEN d THEN CAST(lo_s AS INT) END AS salary_monthly_low,
          CASE WHEN d THEN CAST(hi_s AS INT) END AS salary_monthly_high, 'TWD' AS salary_currency, d AS salary_disclosed,
-         substring(repeat(coalesce(description_excerpt, ''), 30), 1, 600) AS description_excerpt, '' AS skills,
+         substring(repeat(coalesce(description_excerpt, ''), 30), 1, 600) AS description_excerpt,
+         repeat(coalesce(description_excerpt, ''), 30) AS description, '' AS skills,
          'https://www.104.com.tw/job/' || CAST(seq AS VARCHAR) AS url
   FROM (SELECT *, coalesce(lo_s <> '' AND hi_s <> '' AND TRY_CAST(hi_s AS INT) > 0, false) AS d FROM board_a_in)
   WHERE cust_name IS NOT NULL)
@@ -523,6 +551,7 @@ board_b AS (
          CASE WHEN d THEN {_a2m("smin")} END AS salary_monthly_low,
          CASE WHEN d THEN {_a2m("smax")} END AS salary_monthly_high, 'TWD' AS salary_currency, d AS salary_disclosed,
          substring(coalesce(description_excerpt, ''), 1, 600) AS description_excerpt,
+         coalesce(description_excerpt, '') AS description,
          array_to_string(list_filter(string_split(skills_delim, '|'), lambda x: x <> ''), '|') AS skills,
          'https://www.yourator.co/companies/firm-' || CAST(seq % 200 AS VARCHAR) || '/jobs/' || CAST(seq AS VARCHAR) AS url
   FROM (SELECT *, coalesce(smin, 0) <> 0 AND coalesce(smax, 0) <> 0 AS d FROM board_b_in)
@@ -554,9 +583,19 @@ def _source_and_stream_oracles() -> dict[str, str]:
 SELECT s.source, coalesce(c.n, 0) AS n_rows
 FROM (VALUES ('104'), ('yourator'), ('sample'), ('unknown')) AS s(source)
 LEFT JOIN (SELECT source, count(*) AS n FROM u GROUP BY source) c USING (source)"""
+    odd = lambda every, i, t, high="NULL", text="NULL": (
+        f"SELECT {i}, 'sample', {t}, {text}, NULL, NULL, NULL, NULL, {high}, NULL, '', NULL FROM fx WHERE seq % {every} = 0")
     o["raw_scan_valid"] = f"""WITH fx AS ({FEED})
-SELECT posting_id, source, fetched_at, role_raw, company_name, experience_years_min, salary_monthly_low,
-       salary_monthly_high, salary_disclosed, skills_delim AS skills, description_excerpt FROM fx"""
+SELECT posting_id, source, fetched_at, CAST(NULL AS VARCHAR) AS fetched_at_text, role_raw, company_name, experience_years_min,
+       salary_monthly_low, salary_monthly_high, salary_disclosed, skills_delim AS skills, description_excerpt FROM fx
+UNION ALL {odd(43, "'B-' || seq", "TIMESTAMP '2024-01-01'")}
+UNION ALL {odd(47, "'N-' || seq", "TIMESTAMP '2024-01-02'")}
+UNION ALL {odd(61, "'U-' || seq", "NULL", text="'garbled'")}
+UNION ALL {odd(59, "CAST(seq AS VARCHAR)", "TIMESTAMP '2024-01-03'", high="70000")}"""
+    o["bad_lines"] = f"""WITH fx AS ({FEED})
+SELECT count_if(seq % 37 = 0) + count_if(seq % 67 = 0) + count_if(seq % 71 = 0) + count_if(seq % 73 = 0) AS bad_lines FROM fx"""
+    o["landing_files"] = f"""WITH fx AS ({FEED})
+SELECT posting_id, source, source AS board, fetched_at, role_raw, company_name, city, salary_monthly_high FROM fx"""
     o["postings_scan"] = with_staging(
         "SELECT posting_id, role_canonical, seniority, fetched_at, salary_monthly_low, skills FROM postings "
         "WHERE role_family = 'data_engineering'"
@@ -580,5 +619,6 @@ QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY event_time DESC, eve
     )
     o["recent_postings"] = f"""WITH {EVENTS}
 SELECT event_id, posting_id, role_family, event_time FROM ev
-WHERE event_time > (SELECT max(event_time) FROM ev) - INTERVAL 1 HOUR"""
+QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY event_time DESC, event_id DESC) = 1
+  AND event_time > (SELECT max(event_time) FROM ev) - INTERVAL 1 HOUR"""
     return o

@@ -8,50 +8,61 @@ result; ``snapshot_date`` is fixed so reruns are repeatable.
 
 from __future__ import annotations
 
+import os
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, skills
-from ..functions.salary import midpoint
-import os
-from functools import cached_property
-
-from ..functions.salary import annual_to_monthly
+from ..functions.salary import annual_to_monthly, midpoint
 from ..operators import checks, marts, merge, reads, reports, staging
 from ..schemas import STREAM_RECORD
 from ..session import load, scratch_path, spread
 from ..sources import boards, jsonl, union
 from ..sources.feed import board_a_pages, board_b_pages, landing_lines, posting_feed
+from ..streaming import hot_table
 from ..streaming import postings_stream as stream
 from . import pipeline, sinks
+from .stored import StoredTable
 
 SNAPSHOT = "2026-01-01"
+DAY_BEFORE = "2025-12-31"
 
 
 def _bars(c) -> F.Column:
     return F.concat_ws("|", c)
 
 
+def _written(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written once as a table under spark.checkpoint.dir and read back.
+
+    What is read several times is computed once and the lineage is cut (an
+    eager checkpoint() would compute it twice).
+    """
+    path = scratch_path(df.sparkSession, kind)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Chain:
-    """The staged layers of one run, built lazily from the driver tables."""
+    """The staged layers of one run, built lazily from the driver tables.
+
+    The filtered feed is written once, so ``orders`` is scanned and joined
+    once for all staging branches (as in plans.pipeline.run); ``stored`` also
+    writes companies and postings, for queries that use them several times.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, match: str = "substring", stored: bool = False):
         self.spark, self.sf_dir, self.match, self.stored = spark, sf_dir, match, stored
         self.feed = posting_feed(spark, sf_dir)
-        # stored: the filtered feed is written once, so orders is scanned and
-        # joined once for all staging branches (as in plans.pipeline.run)
-        self.valid = self._keep(staging.required_fields(self.feed))
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        return _written(staging.required_fields(self.feed), "staged")
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        # Reads and reports serve from the stored staging tables: the frame is
-        # written once as a table under spark.checkpoint.dir and read back, so
-        # queries that use the postings several times compute them once and the
-        # lineage is cut (an eager checkpoint() would compute it twice).
-        if not self.stored:
-            return df
-        path = scratch_path(self.spark, "staged")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return _written(df, "staged") if self.stored else df
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -79,6 +90,33 @@ class Chain:
         return marts.company_activity(self.postings, SNAPSHOT)
 
 
+_RUNS: dict[tuple[str, str], dict] = {}
+
+
+def _halves(feed: DataFrame, spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The feed as two days, cut in the middle of the ingest order."""
+    middle = load(spark, sf_dir, "orders").agg(F.max("o_orderkey") / 2).scalar()
+    return feed.filter(F.col("seq") <= middle), feed.filter(F.col("seq") > middle)
+
+
+def two_day_run(spark: SparkSession, sf_dir: str) -> dict:
+    """The stored tables and marts that reads are served from: two batches, two snapshots.
+
+    Written once per session and input by the batch pipeline, the second
+    batch merged into the first one's tables; reading them writes nothing.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        first, second = _halves(posting_feed(spark, sf_dir), spark, sf_dir)
+        day1 = pipeline.run(spark, first, snapshot_date=DAY_BEFORE)
+        _RUNS[key] = pipeline.run(spark, second, snapshot_date=SNAPSHOT, previous=day1) | {"day_before": day1}
+    return _RUNS[key]
+
+
+def _stored(spark, sf_dir, name: str) -> DataFrame:
+    return pipeline.table(spark, two_day_run(spark, sf_dir), name)
+
+
 POSTING_OUT = [
     "posting_id", "source", "fetched_at", "role_raw", "role_canonical", "role_family", "seniority",
     "company_canonical", "city", "is_remote", "experience_years_min", "experience_years_max", "education_min",
@@ -107,40 +145,56 @@ def q_companies_dim(spark, sf_dir):
 
 def _raw_out(raw):
     hints = F.from_json("payload", "skills_raw ARRAY<STRING>").getField("skills_raw")
-    return raw.select("source", "source_post_id", "fetched_at", "raw_id", "n_fetches", _bars(hints).alias("hints"))
+    counts = [c for c in ("n_fetches",) if c in raw.columns]
+    return raw.select("source", "source_post_id", "fetched_at", "raw_id", *counts, _bars(hints).alias("hints"))
 
 
 def q_raw_dedup(spark, sf_dir):
     return _raw_out(Chain(spark, sf_dir).raw)
 
 
-def _two_days(spark, sf_dir):
-    """The valid feed as two batches, cut in the middle of the ingest order."""
+def _two_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     valid = Chain(spark, sf_dir).valid
-    middle = load(spark, sf_dir, "orders").agg(F.max("o_orderkey") / 2).scalar()
-    return valid.filter(F.col("seq") <= middle), valid.filter(F.col("seq") > middle)
+    return _halves(valid, spark, sf_dir)
+
+
+def _day_one(spark, name: str, rows: DataFrame, buckets: int = 16) -> StoredTable:
+    """A new stored table that holds the first batch."""
+    table = pipeline.stored_table(spark, scratch_path(spark, "stored"), name, buckets)
+    table.append(sinks.typed(rows, name))
+    return table
 
 
 def q_raw_merge(spark, sf_dir):
-    """The second batch merged into the stored raw table of the first."""
-    first, second = _two_days(spark, sf_dir)
-    return _raw_out(merge.merge_raw(staging.raw_postings(first), staging.raw_postings(second)))
+    """The second batch's new fetches appended to the stored raw table of the first."""
+    first, second = _two_batches(spark, sf_dir)
+    table = _day_one(spark, "raw_postings", staging.raw_postings(first))
+    merge.upsert_raw(table, _written(sinks.typed(staging.raw_postings(second), "raw_postings"), "batch"))
+    return _raw_out(table.read())
 
 
 def q_companies_merge(spark, sf_dir):
-    first, second = _two_days(spark, sf_dir)
-    return merge.merge_companies(staging.companies(first), staging.companies(second)).drop("company_id")
+    """The second batch merged into the buckets of the stored companies that it touches."""
+    first, second = _two_batches(spark, sf_dir)
+    table = _day_one(spark, "companies", staging.companies(first))
+    merge.upsert_companies(table, _written(sinks.typed(staging.companies(second), "companies"), "batch"))
+    return table.read().drop("company_id")
 
 
 def q_postings_merge(spark, sf_dir):
-    first, second = _two_days(spark, sf_dir)
-    batch = staging.postings(second, stored_raw=staging.raw_postings(first))
-    return _posting_out(merge.merge_postings(staging.postings(first), batch))
+    """The second batch merged into the buckets of the stored postings that it touches."""
+    first, second = _two_batches(spark, sf_dir)
+    table = _day_one(spark, "postings", staging.postings(first))
+    stored_raw = _day_one(spark, "raw_postings", staging.raw_postings(first)).read()
+    merge.upsert_postings(table, _written(sinks.typed(staging.postings(second, stored_raw=stored_raw), "postings"), "batch"))
+    named = table.read().join(staging.companies(_written(first.unionByName(second), "staged")).select(
+        "company_id", F.col("name_canonical").alias("company_canonical")), "company_id", "left")
+    return _posting_out(named)
 
 
 def q_latest_hints(spark, sf_dir):
     """Hints of the newest stored fetch per posting, read back from the JSON payload."""
-    c = Chain(spark, sf_dir)
+    c = Chain(spark, sf_dir, stored=True)
     newest = c.raw.groupBy("source", "source_post_id").agg(
         F.max_by("payload", "fetched_at").alias("payload")
     )
@@ -207,6 +261,12 @@ def q_skills_theta_join(spark, sf_dir):
     return hits.select("doc_id", "h.skill", "h.surface")
 
 
+def q_skills_join(spark, sf_dir):
+    """The same rows by an equi-join of the documents' pieces with the taxonomy as a table (J8)."""
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return skills.join_surfaces(docs, skills.taxonomy_frame(spark), "doc_id", "text")
+
+
 def q_postings_with_company(spark, sf_dir):
     e = Chain(spark, sf_dir).enriched
     return e.select("posting_id", "company_canonical", "headcount_band", "industry", "role_canonical", "fetched_at")
@@ -300,22 +360,26 @@ def q_labels_lookup(spark, sf_dir):
 # ------------------------------------------------------------------ reads
 
 def q_read_salary(spark, sf_dir):
-    return reads.read_salary(Chain(spark, sf_dir, stored=True).salary(), role_canonical="data_engineer", city="Taipei")
+    return reads.read_salary(_stored(spark, sf_dir, "salary_by_role"), role_canonical="data_engineer", city="Taipei")
 
 
 def q_salary_filtered(spark, sf_dir):
     return reads.salary_filtered(
-        Chain(spark, sf_dir, stored=True).salary(), "senior_data_engineer",
+        _stored(spark, sf_dir, "salary_by_role"), "senior_data_engineer",
         seniorities=["senior", "principal", "mid"], bands=["machinery", "building", "unknown"],
     )
 
 
 def q_read_skills(spark, sf_dir):
-    return reads.read_skills(Chain(spark, sf_dir, stored=True).skill_demand(), top_n=25)
+    return _shares(reads.read_skills(_stored(spark, sf_dir, "skill_demand"), top_n=25))
 
 
 def q_skills_top_n(spark, sf_dir):
-    return reads.skills_top_n(Chain(spark, sf_dir, stored=True).skill_demand(), "data_engineering", top_n=20)
+    return _shares(reads.skills_top_n(_stored(spark, sf_dir, "skill_demand"), "data_engineering", top_n=20))
+
+
+def _shares(df: DataFrame) -> DataFrame:
+    return df.withColumn("share_of_postings", F.col("share_of_postings").cast("double"))
 
 
 def _named_activity_out(df: DataFrame) -> DataFrame:
@@ -324,13 +388,13 @@ def _named_activity_out(df: DataFrame) -> DataFrame:
 
 
 def q_read_company_activity(spark, sf_dir):
-    c = Chain(spark, sf_dir, stored=True)
-    return _named_activity_out(reads.read_company_activity(c.activity(), c.companies, limit=50))
+    return _named_activity_out(reads.read_company_activity(
+        _stored(spark, sf_dir, "company_activity"), _stored(spark, sf_dir, "companies"), limit=50))
 
 
 def q_company_top30(spark, sf_dir):
-    c = Chain(spark, sf_dir, stored=True)
-    return _named_activity_out(reads.company_top(c.activity(), c.companies))
+    return _named_activity_out(reads.company_top(
+        _stored(spark, sf_dir, "company_activity"), _stored(spark, sf_dir, "companies")))
 
 
 def q_company_activity_labelled(spark, sf_dir):
@@ -339,11 +403,18 @@ def q_company_activity_labelled(spark, sf_dir):
 
 
 def q_read_postings(spark, sf_dir):
-    return _posting_out(reads.read_postings(Chain(spark, sf_dir).postings, role_canonical="data_engineer", limit=500))
+    found = reads.read_postings(_stored(spark, sf_dir, "postings"), role_canonical="data_engineer", limit=500)
+    return _posting_out(_with_company_name(spark, sf_dir, found))
+
+
+def _with_company_name(spark, sf_dir, postings: DataFrame) -> DataFrame:
+    names = _stored(spark, sf_dir, "companies").select("company_id", F.col("name_canonical").alias("company_canonical"))
+    return postings.join(names, "company_id", "left")
 
 
 def q_posting_search(spark, sf_dir):
-    hits = reads.search_postings(Chain(spark, sf_dir, stored=True).enriched, title_term="engineer", skill_term="py")
+    hits = _with_company_name(spark, sf_dir, reads.search_postings(
+        _stored(spark, sf_dir, "postings"), title_term="engineer", skill_term="py", companies=_stored(spark, sf_dir, "companies")))
     return hits.select(
         "posting_id", "fetched_at", "role_raw", "company_canonical", "industry", "city",
         "salary_monthly_low", "salary_monthly_high", "salary_disclosed", _bars(F.col("skills_canonical")).alias("skills"),
@@ -377,25 +448,17 @@ def q_fk_orphans(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    """Run metrics: feed rows, kept rows, raw rows, postings with/without skills, companies, mart rows."""
-    c = Chain(spark, sf_dir, stored=True)
-    parts = {
-        "feed_rows": c.feed,
-        "valid_rows": c.valid,
-        "raw_postings": c.raw,
-        "postings": c.postings,
-        "postings_with_skills": c.postings.filter(F.size("skills_canonical") > 0),
-        "postings_without_skills": c.postings.filter(F.size("skills_canonical") == 0),
-        "companies": c.companies,
-        "salary_by_role": c.salary(),
-        "skill_demand": c.skill_demand(),
-        "company_activity": c.activity(),
-    }
-    out = None
-    for name, df in parts.items():
-        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Run metrics of two batches, all observed during their writes: what came in, what was new, what is stored."""
+    run = two_day_run(spark, sf_dir)
+    days, counts = (run["day_before"]["batch"], run["batch"]), run["counts"]
+    rows = {k: days[0][k] + days[1][k] for k in ("feed_rows", "valid_rows")} | {
+        k: counts[k] for k in ("raw_postings", "postings", "postings_with_skills", "companies", "salary_by_role", "skill_demand",
+                               "company_activity")}
+    rows["postings_without_skills"] = counts["postings"] - counts["postings_with_skills"]
+    for day, batch in zip(("day1", "day2"), days):
+        rows |= {f"{day}_{k}": batch[k] for k in ("raw_new", "raw_skipped", "companies_new", "companies_updated", "postings_new",
+                                                  "postings_updated")}
+    return spark.createDataFrame(list(rows.items()), "stage string, n bigint")
 
 
 # ---------------------------------------------------------------- sources
@@ -403,7 +466,7 @@ def q_stage_counts(spark, sf_dir):
 BOARD_OUT = [
     "posting_id", "source", "fetched_at", "role_raw", "company_name", "headcount_band", "industry", "city",
     "is_remote", "salary_monthly_low", "salary_monthly_high", "salary_currency", "salary_disclosed",
-    "description_excerpt", "skills", "url",
+    "description_excerpt", "description", "skills", "url",
 ]
 
 
@@ -414,7 +477,7 @@ def _board_out(df: DataFrame) -> DataFrame:
         "posting_id", "source", "fetched_at", "role_raw",
         F.col("company.name").alias("company_name"), F.col("company.headcount_band").alias("headcount_band"),
         F.col("company.industry").alias("industry"), "city", "is_remote", "salary_monthly_low",
-        "salary_monthly_high", "salary_currency", "salary_disclosed", "description_excerpt",
+        "salary_monthly_high", "salary_currency", "salary_disclosed", "description_excerpt", "description",
         _bars(F.col("skills_raw")).alias("skills"), "url",
     )
 
@@ -460,11 +523,29 @@ def q_raw_scan_valid(spark, sf_dir):
     path = scratch_path(spark, "landing")
     landing_lines(posting_feed(spark, sf_dir)).write.mode("overwrite").text(path)
     rows = jsonl.parse_postings(jsonl.scan_lines(spark, path, glob="part-*"))
-    return rows.select("posting_id", "source", "fetched_at", "role_raw", F.col("company.name").alias("company_name"),
+    return rows.select("posting_id", "source", "fetched_at", "fetched_at_text", "role_raw", F.col("company.name").alias("company_name"),
                        "experience_years_min", "salary_monthly_low", "salary_monthly_high", "salary_disclosed",
                        _bars(F.col("skills_raw")).alias("skills"), "description_excerpt")
 
 
+def q_landing_files(spark, sf_dir):
+    """Feed written as line-JSON in a folder per board (K3), its files discovered and scanned back (S2, S3)."""
+    path = scratch_path(spark, "boards")
+    feed = posting_feed(spark, sf_dir)
+    jsonl.write_jsonl(feed.withColumn("board", F.col("source")), path, partition_by="board")
+    rows = jsonl.read_postings_jsonl(spark, path, glob="*.json")
+    board = F.regexp_extract("file_path", "/board=([^/]*)/", 1)
+    return rows.select("posting_id", "source", board.alias("board"), "fetched_at", "role_raw",
+                       F.col("company.name").alias("company_name"), "city", "salary_monthly_high")
+
+
+def q_bad_lines(spark, sf_dir):
+    """Landing lines that are not JSON objects."""
+    path = scratch_path(spark, "landing")
+    landing_lines(posting_feed(spark, sf_dir)).write.mode("overwrite").text(path)
+    return jsonl.bad_line_count(jsonl.scan_lines(spark, path, glob="part-*"))
+
+
 def q_postings_scan(spark, sf_dir):
     """Staged postings written as a typed table, then scanned with a pushed-down filter."""
     c = Chain(spark, sf_dir)
@@ -481,7 +562,7 @@ def q_mart_rewrite(spark, sf_dir):
     root = scratch_path(spark, "marts")
     paths = {t: os.path.join(root, t) for t in sinks.MARTS}
     enriched = c.enriched
-    for snap in ("2025-12-31", SNAPSHOT, SNAPSHOT):
+    for snap in (DAY_BEFORE, SNAPSHOT, SNAPSHOT):
         sinks.write_mart(spark, marts.salary_cells(enriched, snap), paths["salary_by_role"], "salary_by_role")
         sinks.write_mart(spark, marts.skill_demand(c.postings, snap), paths["skill_demand"], "skill_demand")
         sinks.write_mart(spark, marts.company_activity(c.postings, snap), paths["company_activity"],
@@ -516,23 +597,28 @@ def q_stream_hourly(spark, sf_dir):
     return spark.read.parquet(base + "/sink")
 
 
-def q_stream_hot_upsert(spark, sf_dir):
-    """Latest event per user kept in a hot table through foreachBatch upserts."""
+HOT_FIELDS = "posting_id string, event_id bigint, role_family string, value double, event_time timestamp"
+
+
+def hot_events(spark, sf_dir) -> hot_table.HotTable:
+    """The hot table of the events: two micro-batches, of which the second holds older events too."""
     base = scratch_path(spark, "hot")
-    latest = stream.latest_per_key(
-        _event_stream(spark, sf_dir), "posting_id", ["event_time", "event_id"],
-        ["event_id", "role_family", "value", "event_time"],
-    )
-    writer = (
-        latest.writeStream.outputMode("update")
-        .foreachBatch(stream.upsert_batches(spark, base + "/table", "posting_id", ["event_time", "event_id"]))
-        .option("checkpointLocation", base + "/checkpoint")
-        .trigger(availableNow=True)
-    )
-    stream.start_with_state_partitions(spark, writer, spark.sparkContext.defaultParallelism).awaitTermination()
-    t = stream.read_hot_table(spark, base + "/table")
-    return t.select("posting_id", "event_id", "role_family", "value",
-                    F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+    schema = spark.createDataFrame([], HOT_FIELDS).schema
+    hot = hot_table.HotTable(StoredTable(spark, base, "latest", schema, ["posting_id"], 8), ["event_time", "event_id"])
+    for k in (1, 0):  # odd event ids first: many of the even ones that follow are older than what is stored
+        writer = (_event_stream(spark, sf_dir).filter(F.col("event_id") % 2 == k).writeStream.foreachBatch(hot.writer())
+                  .option("checkpointLocation", f"{base}/checkpoint{k}").trigger(availableNow=True))
+        writer.start().awaitTermination()
+    return hot
+
+
+def _hot_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def q_stream_hot_upsert(spark, sf_dir):
+    """Latest event per user, merged by event time through foreachBatch."""
+    return _hot_out(hot_events(spark, sf_dir).read())
 
 
 def q_stream_decode(spark, sf_dir):
@@ -550,10 +636,9 @@ def q_stream_decode(spark, sf_dir):
 
 
 def q_recent_postings(spark, sf_dir):
-    """Events in the last hour before the newest event."""
-    e = _event_records(spread(load(spark, sf_dir, "events")))
-    r = stream.recent(e, "event_time", "1 hour")
-    return r.select("event_id", "posting_id", "role_family", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+    """Records of the hot table in the last hour before its newest one."""
+    r = hot_events(spark, sf_dir).recent("1 hour")
+    return _hot_out(r.select("event_id", "posting_id", "role_family", "event_time"))
 
 
 QUERIES = {
@@ -574,6 +659,7 @@ QUERIES = {
     "skills_extract": q_skills_extract,
     "skills_extract_token": q_skills_extract_token,
     "skills_theta_join": q_skills_theta_join,
+    "skills_join": q_skills_join,
     "postings_with_company": q_postings_with_company,
     "salary_cells_exact": q_salary_cells_exact,
     "salary_cells_approx": q_salary_cells_approx,
@@ -607,6 +693,8 @@ QUERIES = {
     "source_union": q_source_union,
     "rows_per_source": q_rows_per_source,
     "raw_scan_valid": q_raw_scan_valid,
+    "bad_lines": q_bad_lines,
+    "landing_files": q_landing_files,
     "postings_scan": q_postings_scan,
     "mart_rewrite": q_mart_rewrite,
     "stream_hourly": q_stream_hourly,

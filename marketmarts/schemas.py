@@ -34,13 +34,15 @@ RAW_POSTING = T.StructType(
         _f("salary_disclosed", B),
         _f("skills_raw", T.ArrayType(S)),
         _f("description_excerpt", S),
+        _f("description", S),  # whole text, where the source gives it
         _f("url", S),
     ]
 )
 
-# Same shape after parsing fetched_at; the input of staging.
+# Same shape after parsing fetched_at; the input of staging.  A time that
+# cannot be read is NULL and its text is kept beside it.
 POSTING_FEED = T.StructType(
-    [f if f.name != "fetched_at" else _f("fetched_at", TS) for f in RAW_POSTING.fields]
+    [f if f.name != "fetched_at" else _f("fetched_at", TS) for f in RAW_POSTING.fields] + [_f("fetched_at_text", S)]
 )
 
 # Normalised posting event on the stream.
@@ -68,10 +70,11 @@ TABLE_RULES: dict[str, dict] = {
             "raw_id": (L, True),
             "source": (S, True),
             "source_post_id": (S, True),
-            "fetched_at": (TS, True),
+            "fetched_at": (TS, False),
+            "fetched_at_text": (S, False),
             "payload": (S, True),
         },
-        "key": ["source", "source_post_id", "fetched_at"],
+        "key": ["source", "source_post_id", "fetched_at", "fetched_at_text"],
     },
     "companies": {
         "columns": {
@@ -81,8 +84,8 @@ TABLE_RULES: dict[str, dict] = {
             "headcount_band": (S, False),
             "headcount_est": (I, False),
             "industry": (S, False),
-            "first_seen_at": (TS, True),
-            "last_seen_at": (TS, True),
+            "first_seen_at": (TS, False),
+            "last_seen_at": (TS, False),
         },
         "key": ["company_id"],
         "unique": [["name_canonical"]],
@@ -91,7 +94,7 @@ TABLE_RULES: dict[str, dict] = {
         "columns": {
             "posting_id": (S, True),
             "source": (S, True),
-            "fetched_at": (TS, True),
+            "fetched_at": (TS, False),
             "role_raw": (S, True),
             "role_canonical": (S, True),
             "role_family": (S, True),

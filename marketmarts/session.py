@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -89,6 +90,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on shared storage."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """Counts of an observation after its write.
+
+    Where adaptive planning finds the observed rows to be none, it drops the
+    whole plan with the observation in it, which then has no row: all zeros.
+    """
+    try:
+        got = seen.get
+    except Py4JJavaError:
+        got = {}
+    return {k: int(got.get(k) or 0) for k in names}
+
+
 SCAN_PARTITIONS = "marketmarts.scanPartitions"
 
 

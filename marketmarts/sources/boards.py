@@ -34,6 +34,11 @@ def _excerpt(c: Column) -> Column:
     return F.substring(F.coalesce(c, F.lit("")), 1, DESCRIPTION_MAX_CHARS)
 
 
+def _own_id(*parts: Column) -> Column:
+    """An id for a job that its board gives none: unrelated jobs must not share one."""
+    return F.substring(F.sha2(F.to_json(F.array(*[F.coalesce(p, F.lit("")) for p in parts])), 256), 1, 16)
+
+
 def map_board_a(pages: DataFrame, payload: str = "payload", fetched_at: str = "fetched_at") -> DataFrame:
     """Board A pages -> raw postings. Jobs without a title or company key are dropped."""
     jobs = pages.select(
@@ -55,9 +60,9 @@ def map_board_a(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
     )
     kept = jobs.filter(F.map_contains_key(j, "jobName") & F.map_contains_key(j, "custName"))
     return kept.select(
-        F.concat(F.lit(BOARD_A_ID_PREFIX), F.coalesce(blank_to_null(j["jobNo"]), blank_to_null(j["jobId"]), F.lit(""))).alias(
-            "posting_id"
-        ),
+        F.concat(F.lit(BOARD_A_ID_PREFIX), F.coalesce(
+            blank_to_null(j["jobNo"]), blank_to_null(j["jobId"]), _own_id(j["jobName"], j["custName"], j["link"], j["description"]),
+        )).alias("posting_id"),
         F.lit(BOARD_A_SOURCE).alias("source"),
         "fetched_at",
         j["jobName"].alias("role_raw"),
@@ -73,6 +78,7 @@ def map_board_a(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
         F.lit(DEFAULT_CURRENCY).alias("salary_currency"),
         disclosed.alias("salary_disclosed"),
         _excerpt(j["description"]).alias("description_excerpt"),
+        F.coalesce(j["description"], F.lit("")).alias("description"),
         F.concat(
             F.lit(BOARD_A_URL_PREFIX),
             F.coalesce(F.get_json_object(j["link"], "$.job"), F.lit("")),
@@ -94,7 +100,7 @@ def map_board_b(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
     kept = jobs.filter(F.map_contains_key(j, "name") & company.isNotNull() & F.map_contains_key(company, "name"))
     tag_names = F.transform(F.from_json(j["tags"], "ARRAY<STRUCT<name: STRING>>"), lambda t: t["name"])
     tags = F.filter(tag_names, lambda n: n.isNotNull() & (n != ""))
-    id_text = F.coalesce(j["id"], F.lit("None"))
+    id_text = F.coalesce(j["id"], _own_id(j["name"], j["company"], j["path"], j["description"]))
     slug_text = F.coalesce(company["slug"], F.lit("None"))
     return kept.select(
         F.concat(F.lit(BOARD_B_ID_PREFIX), id_text).alias("posting_id"),
@@ -114,6 +120,7 @@ def map_board_b(pages: DataFrame, payload: str = "payload", fetched_at: str = "f
         F.lit(DEFAULT_CURRENCY).alias("salary_currency"),
         disclosed.alias("salary_disclosed"),
         _excerpt(j["description"]).alias("description_excerpt"),
+        F.coalesce(j["description"], F.lit("")).alias("description"),
         F.coalesce(tags, F.array().cast("array<string>")).alias("skills_raw"),
         F.concat(
             F.lit("https://www.yourator.co/companies/"), slug_text, F.lit("/jobs/"), id_text

@@ -20,7 +20,10 @@ def _fit(col, src_type, dst_type):
             for f in dst_type.fields
         ]
         return F.when(col.isNull(), F.lit(None).cast(dst_type)).otherwise(F.struct(*parts))
-    return col.try_cast(dst_type) if isinstance(src_type, T.DoubleType) else col.cast(dst_type)
+    if isinstance(src_type, T.StringType) and isinstance(dst_type, T.IntegerType):
+        return col.try_cast("double").try_cast(dst_type)  # "2.0" is 2
+    lenient = isinstance(src_type, (T.DoubleType, T.StringType)) and not isinstance(dst_type, T.StringType)
+    return col.try_cast(dst_type) if lenient else col.cast(dst_type)
 
 
 def _utc(name: str):
@@ -34,14 +37,16 @@ def conform_feed(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Select POSTING_FEED columns in order, typed; absent columns become NULL.
 
     ``fetched_at`` given as text is parsed (ISO-8601): naive text is UTC, text
-    with a zone is converted to UTC; text that does not parse becomes NULL
-    and is then dropped by the required-field filter.  Numbers that do not
-    fit their type become NULL.
+    with a zone is converted to UTC; text that does not parse becomes NULL and
+    is kept in ``fetched_at_text``, so the row stays.  Numbers that do not fit
+    their type become NULL.
     """
     cols = []
     present = {f.name: f.dataType for f in df.schema.fields}
     for f in POSTING_FEED.fields:
-        if f.name in present:
+        if f.name == "fetched_at_text" and f.name not in present and isinstance(present.get("fetched_at"), T.StringType):
+            cols.append(F.when(_utc("fetched_at").isNull(), F.col("fetched_at")).alias(f.name))
+        elif f.name in present:
             c = F.col(f.name)
             if f.name == "fetched_at" and isinstance(present[f.name], T.StringType):
                 cols.append(_utc("fetched_at").alias(f.name))

@@ -14,7 +14,7 @@ and otherwise runs a sort-merge join, so nothing unbounded is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load, spread
@@ -173,10 +173,23 @@ def board_b_pages(feed: DataFrame) -> DataFrame:
 
 
 def landing_lines(feed: DataFrame) -> DataFrame:
-    """Line-JSON text of every feed row, plus a bad line after every 37th and a
-    blank line after every 41st order (added lines; no row is left out)."""
-    k = F.col("seq")
+    """Line-JSON text of every feed row, plus odd lines after some orders (added lines; no row is left out).
+
+    Bad ones: broken JSON, a list, a number, text after the object.  Good
+    ones: a key that stands twice, NaN as a salary, a time that cannot be
+    read, a salary as text and a company that is no object.
+    """
+    k, n = F.col("seq"), F.col("seq").cast("string")
     cols = [c for c in feed.columns if c != "seq"]
     record = F.to_json(F.struct(*[F.col(c) for c in cols]))
-    lines = F.array(record, F.when(k % 37 == 0, F.lit("{bad")), F.when(k % 41 == 0, F.lit("   ")))
+
+    def extra(every: int, line: str) -> Column:
+        return F.when(k % every == 0, F.regexp_replace(F.lit(line), "#", n))
+
+    lines = F.array(
+        record, extra(37, "{bad"), extra(41, "   "), extra(67, "[1, 2]"), extra(71, "#"), extra(73, '{"posting_id": "T-#"} x'),
+        extra(43, '{"posting_id": "A-#", "source": "sample", "fetched_at": "2024-01-01T00:00:00", "posting_id": "B-#"}'),
+        extra(47, '{"posting_id": "N-#", "source": "sample", "fetched_at": "2024-01-02T00:00:00", "salary_monthly_low": NaN}'),
+        extra(61, '{"posting_id": "U-#", "source": "sample", "fetched_at": "garbled"}'),
+        extra(59, '{"posting_id": #, "source": "sample", "fetched_at": "2024-01-03", "salary_monthly_high": "70000", "company": "none"}'))
     return feed.select(F.explode(F.array_compact(lines)).alias("value"))

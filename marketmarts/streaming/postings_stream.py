@@ -6,21 +6,22 @@
 * ``hourly_counts``: 2 h watermark, 1 h tumbling windows, count per family;
   append mode emits a window once the watermark passes its end, and rows
   later than the watermark are dropped.
-* ``latest_per_key``: the "hot table" -- latest record per posting as a
-  streaming aggregation (``max_by`` in the state store, partial aggregation
-  per micro-batch); ``upsert_batches`` merges each micro-batch's changed keys
-  into a versioned Parquet table (anti-join + union, no full rewrite of
-  unchanged keys into memory).
+* ``latest_per_key``: one record per posting; the hot table
+  (``streaming.hot_table``) applies it to each micro-batch.
+* ``kafka_options``: the reader options of a topic, with offsets to start from
+  and a rate limit.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import STREAM_WATERMARK, STREAM_WINDOW
 from ..schemas import STREAM_RECORD
-from ..session import list_subdirs, path_exists
 
 
 def decode(kafka_rows: DataFrame, schema=STREAM_RECORD) -> DataFrame:
@@ -30,6 +31,39 @@ def decode(kafka_rows: DataFrame, schema=STREAM_RECORD) -> DataFrame:
     return out.withColumn("event_time", F.expr("try_cast(fetched_at AS TIMESTAMP)"))
 
 
+def kafka_options(servers: str, topic: str, starting: str | Mapping[int, int] = "latest", max_per_trigger: int | None = None,
+                  min_partitions: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of ``readStream.format("kafka")`` for one topic.
+
+    ``starting`` is "earliest", "latest", or an offset per partition of the
+    topic (-2 earliest, -1 latest); it counts only until there is a
+    checkpoint.  ``max_per_trigger`` limits the records of a micro-batch over
+    all partitions, ``min_partitions`` splits large ones over more tasks.
+    """
+    if isinstance(starting, str):
+        if starting not in ("earliest", "latest"):
+            raise ValueError(f"starting must be earliest, latest or offsets per partition, got {starting!r}")
+    elif not starting or any(not isinstance(k, int) or k < 0 or v < -2 for k, v in starting.items()):
+        raise ValueError("offsets are given as partition number -> offset (from -2)")
+    else:
+        starting = json.dumps({topic: {str(k): int(v) for k, v in sorted(starting.items())}})
+    for name, n in (("max_per_trigger", max_per_trigger), ("min_partitions", min_partitions)):
+        if n is not None and n < 1:
+            raise ValueError(f"{name} must be at least 1")
+    out = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+           "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if max_per_trigger is not None:
+        out["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions is not None:
+        out["minPartitions"] = str(min_partitions)
+    return out
+
+
+def read_topic(spark: SparkSession, servers: str, topic: str, **how) -> DataFrame:
+    """The records of a topic as a stream (needs the Kafka connector on the class path)."""
+    return decode(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **how)).load())
+
+
 def hourly_counts(records: DataFrame, ts_col: str = "event_time", family_col: str = "role_family",
                   window: str = STREAM_WINDOW, watermark: str = STREAM_WATERMARK) -> DataFrame:
     """(window_start, window_end, role_family, n) with event-time watermark."""
@@ -83,43 +117,6 @@ def latest_per_key(records: DataFrame, key: str, order_cols: list[str], value_co
     return records.groupBy(key).agg(F.max_by(payload, order).alias("r")).select(key, "r.*")
 
 
-def upsert_batches(spark: SparkSession, root: str, key: str, order_cols: list[str]):
-    """foreachBatch function merging each micro-batch into a versioned table under ``root``.
-
-    Version ``v=<batch id>`` = previous version without the batch's keys,
-    plus the batch's rows (already latest per key).  A replayed batch id
-    rewrites the same version, so a retried batch is idempotent.
-    """
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        target = root.rstrip("/") + f"/v={batch_id:012d}"
-        prev = _latest_version(spark, root, before=batch_id)
-        merged = batch
-        if prev is not None:
-            old = spark.read.parquet(prev)
-            merged = old.join(batch.select(key), key, "left_anti").unionByName(batch)
-        merged.write.mode("overwrite").parquet(target)
-
-    return merge
-
-
-def _latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    """Newest committed version folder (has ``_SUCCESS``) under ``root``, via the Hadoop FS."""
-    versions = [
-        d for d in list_subdirs(spark, root)
-        if d.startswith("v=") and (before is None or int(d[2:]) < before)
-        and path_exists(spark, root.rstrip("/") + "/" + d + "/_SUCCESS")
-    ]
-    return root.rstrip("/") + "/" + versions[-1] if versions else None
-
-
-def read_hot_table(spark: SparkSession, root: str) -> DataFrame:
-    path = _latest_version(spark, root)
-    if path is None:
-        raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(path)
-
-
 def recent(df: DataFrame, ts_col: str, within: str = "1 hour") -> DataFrame:
     """Rows newer than (latest time - ``within``).
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,17 +21,21 @@ def test_run_builds_layers_and_rerun_is_idempotent(spark):
     first = pipeline.run(spark, feed, root, snapshot_date="2026-01-01")
     c = first["counts"]
     assert c["salary_by_role"] > 0 and c["skill_demand"] > 0 and c["company_activity"] > 0
-    snap1 = {t: _rows(spark.read.parquet(p)) for t, p in first["paths"].items()}
+    snap1 = {t: _rows(pipeline.table(spark, first, t)) for t in first["paths"]}
     with pytest.raises(ValueError):
         pipeline.run(spark, feed, root, snapshot_date="2026-01-01")  # stored tables are never overwritten
     second = pipeline.run(spark, feed, scratch_path(spark, "wh-test"), snapshot_date="2026-01-01", previous=first)
-    snap2 = {t: _rows(spark.read.parquet(p)) for t, p in second["paths"].items()}
-    assert snap1 == snap2
+    snap2 = {t: _rows(pipeline.table(spark, second, t)) for t in second["paths"]}
+    assert snap1 == snap2 and second["counts"] == first["counts"]
+    assert c == {t: len(rows) for t, rows in snap1.items()} | {"postings_with_skills": c["postings_with_skills"]}
+    b = second["batch"]
+    assert (b["raw_new"], b["raw_skipped"], b["companies_new"], b["postings_new"]) == (0, c["raw_postings"], 0, 0)
+    assert b["postings_updated"] == c["postings"] and b["companies_updated"] == c["companies"]
     # privacy guard: no published percentile under five disclosures, none missing at five or more
     sal = spark.read.parquet(first["paths"]["salary_by_role"])
     assert sal.filter((F.col("n_disclosed") < 5) & F.col("p50_monthly").isNotNull()).count() == 0
     assert sal.filter((F.col("n_disclosed") >= 5) & F.col("p50_monthly").isNull()).count() == 0
-    tables = {t: spark.read.parquet(p) for t, p in first["paths"].items()}
+    tables = {t: pipeline.table(spark, first, t) for t in first["paths"]}
     assert all(r.n_nulls == 0 for r in checks.not_null_violations(tables).collect())
     assert all(r.n_duplicate_keys == 0 for r in checks.key_violations(tables).collect())
     assert all(r.n_orphans == 0 for r in checks.orphan_counts(tables).collect())
@@ -41,10 +47,10 @@ def test_two_days_equal_one_run_and_unlisted_skills_count(spark):
     day1 = pipeline.run(spark, feed.filter("seq <= 750"), scratch_path(spark, "day1"), snapshot_date="2026-01-01")
     day2 = pipeline.run(spark, feed.filter("seq > 750"), scratch_path(spark, "day2"), snapshot_date="2026-01-02", previous=day1)
     assert day1["counts"]["raw_postings"] < whole["counts"]["raw_postings"]
-    for t in ("raw_postings", "companies", "postings"):
-        assert _rows(spark.read.parquet(day2["paths"][t])) == _rows(spark.read.parquet(whole["paths"][t])), t
-    sal = spark.read.parquet(day2["paths"]["salary_by_role"])
-    assert sal.select("snapshot_date").distinct().count() == 2
+    for t in whole["paths"]:
+        assert _rows(pipeline.table(spark, day2, t)) == _rows(pipeline.table(spark, whole, t)), t
+    assert day2["counts"] == whole["counts"]
+    assert sinks.snapshots(spark, day2["paths"]["salary_by_role"]) == [dt.date(2026, 1, 1), dt.date(2026, 1, 2)]
 
     from marketmarts.operators import marts
 
@@ -62,8 +68,11 @@ def test_mart_slices_are_replaced_and_kept(spark):
     sinks.write_mart(spark, df, path, "skill_demand")
     sinks.write_mart(spark, df.filter(F.col("skill") == "sql").withColumn("n_postings", F.lit(9)), path, "skill_demand")
     sinks.write_mart(spark, df.limit(0), path, "skill_demand")  # empty frame keeps every slice
-    out = sorted((str(r.snapshot_date), r.skill, r.n_postings) for r in sinks.read_mart(spark, path, "skill_demand").collect())
+    out = sorted((str(r.snapshot_date), r.skill, r.n_postings) for r in sinks.read_all_snapshots(spark, path, "skill_demand").collect())
     assert out == [("2026-01-01", "python", 3), ("2026-01-02", "sql", 9)]
+    assert [r.skill for r in sinks.read_mart(spark, path, "skill_demand").collect()] == ["sql"]
+    assert [r.skill for r in sinks.read_mart(spark, path, "skill_demand", "2026-01-01").collect()] == ["python"]
+    assert sinks.read_mart(spark, scratch_path(spark, "none"), "skill_demand").count() == 0
 
 
 def test_company_dimension_first_row_fixes_attributes(spark):
@@ -144,3 +153,22 @@ def test_staging_from_landing_files_orders_by_file_then_line(spark):
     assert sorted(r.n_fetches for r in raw.collect()) == [1, 2]
     assert companies.first().name_canonical == "Foo"
     sinks.write_table(raw, scratch_path(spark, "raw-typed"), "raw_postings")  # raw_id fits BIGINT
+
+
+def test_unreadable_times_stay_and_are_older_than_all_others(spark):
+    rows = [(1, "P-1", "s", "garbled", ["kafka"]), (2, "P-1", "s", "2026-01-01", ["sql"]), (3, "P-2", "s", "soon", ["dbt"]),
+            (4, "P-3", "s", "", ["dbt"]), (5, "P-3", "s", None, ["dbt"]), (6, "P-2", "s", "later", ["looker"]), (7, "P-2", "s", "soon", None)]
+    feed = conform_feed(spark.createDataFrame(rows, "seq long, posting_id string, source string, fetched_at string, skills_raw array<string>"))
+    raw, companies, postings = staging.stage(feed)
+    assert sorted((r.source_post_id, r.fetched_at_text or "", r.n_fetches) for r in raw.collect()) == [
+        ("P-1", "", 1), ("P-1", "garbled", 1), ("P-2", "later", 1), ("P-2", "soon", 2)]
+    got = {r.posting_id: (r.fetched_at, r.skills_canonical) for r in postings.collect()}
+    assert got == {"P-1": (dt.datetime(2026, 1, 1), ["sql"]), "P-2": (None, ["dbt"])}
+    assert companies.count() == 1
+
+
+def test_staging_aggregates_positions_without_sorting_rows(spark):
+    valid = staging.required_fields(posting_feed(spark, SF_SMALL))
+    for df in (staging.raw_postings(valid), staging.companies(valid), staging.postings(valid)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from marketmarts.functions import skills
@@ -69,3 +70,33 @@ def test_taxonomy_is_consistent(spark):
     assert taxonomy_violations(tax).count() == 0
     first = tax.first()
     assert first.surface_len == max(len(s) for ss in SKILL_TAXONOMY.values() for s in ss)
+
+
+def test_surface_join_equals_testing_every_surface(spark):
+    import random
+
+    from marketmarts.functions import skills
+    from marketmarts.functions.text import word_haystack_py
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 5)))
+    surfaces = {" ".join(word() for _ in range(rnd.choice([1, 1, 1, 2, 3]))) for _ in range(11_000)} | {"C++", "a/b", "", "É"}
+    table = spark.createDataFrame([(f"s{i}", s) for i, s in enumerate(sorted(surfaces))], "skill string, surface string")
+    texts = [(i, " ".join(rnd.choice([word(), word().upper(), ", ", "c++"]) for _ in range(rnd.randint(0, 40)))) for i in range(30)]
+    texts += [(98, None), (99, ""), (7, "abc")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    for match in skills.MATCH_MODES:
+        out = skills.join_surfaces(df, table, "id", "text", match)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        want = []
+        for i, t in texts:
+            hay = word_haystack_py(t or "")
+            for k, s in enumerate(sorted(surfaces)):
+                pat = word_haystack_py(s) if match == "token" else s.lower()
+                if pat.strip() and pat in hay:
+                    want.append((i, f"s{k}", s.lower()))
+        assert sorted(tuple(r) for r in out.collect()) == sorted(want) and want
+    assert skills.join_surfaces(df, table.limit(0), "id", "text").count() == 0
+    with pytest.raises(ValueError):
+        skills.join_surfaces(df, table, "id", "text", "fuzzy")

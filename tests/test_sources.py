@@ -25,7 +25,9 @@ def test_jsonl_skips_blank_and_bad_lines_and_keeps_file_order(spark):
     assert jsonl.bad_line_count(lines).first().bad_lines == 2
     rows = jsonl.parse_postings(lines).orderBy("seq").collect()
     assert [r.posting_id for r in rows] == ["P-1", "P-2", "P-1"]
-    assert rows[1].fetched_at is None and rows[1].skills_raw == ["x"]
+    assert rows[1].fetched_at is None and rows[1].fetched_at_text == "not a time" and rows[1].skills_raw == ["x"]
+    kept = staging.required_fields(jsonl.parse_postings(lines))
+    assert kept.count() == 3  # a time that cannot be read is a time
     assert rows[0].seq < rows[1].seq < rows[2].seq
 
 
@@ -55,7 +57,8 @@ def test_board_a_mapping(spark):
     assert a.posting_id == "104-77" and a.city == "Taipei" and a.salary_disclosed
     assert (a.salary_monthly_low, a.salary_monthly_high) == (50000, 60000)
     assert len(a.description_excerpt) == 600 and a.url == "https://www.104.com.tw/job/77"
-    assert b.posting_id == "104-" and not b.salary_disclosed and b.salary_monthly_low is None
+    assert a.description == "x" * 700  # the whole text stands beside the excerpt
+    assert len(b.posting_id) == 20 and not b.salary_disclosed and b.salary_monthly_low is None
     assert b.company.name is None and b.url == "https://www.104.com.tw"
 
 
@@ -170,3 +173,57 @@ def test_pivot_keeps_unlisted_families(spark):
                                    "week_ending string, role_family string, n long")
     r = reports.weekly_pivot(weekly).first()
     assert (r.analytics, r.unlisted) == (2, 6)
+
+
+def test_jobs_without_an_id_are_not_merged(spark):
+    a = {"data": {"list": [{"jobName": "A", "custName": "Foo"}, {"jobName": "B", "custName": "Foo"}, {"jobName": "A", "custName": "Foo"}]}}
+    ids = [r.posting_id for r in boards.map_board_a(_pages(spark, [json.dumps(a)])).collect()]
+    assert ids[0] == ids[2] != ids[1] and all(i.startswith("104-") and len(i) == 20 for i in ids)
+    b = {"jobs": [{"name": "A", "company": {"name": "Foo"}}, {"name": "B", "company": {"name": "Foo"}}]}
+    ids = [r.posting_id for r in boards.map_board_b(_pages(spark, [json.dumps(b)])).collect()]
+    assert len(set(ids)) == 2 and all(i.startswith("yourator-") for i in ids)
+
+
+def test_skills_are_found_past_the_excerpt(spark):
+    page = {"data": {"list": [{"jobName": "Data Engineer", "custName": "Foo", "jobNo": "1", "description": "x " * 400 + "Airflow"}]}}
+    feed = union.union_sources([boards.map_board_a(
+        spark.createDataFrame([(json.dumps(page), "2026-01-01T00:00:00")], "payload string, fetched_at string"))])
+    (p,) = staging.postings(staging.required_fields(feed)).collect()
+    assert "airflow" in p.skills_canonical and len(p.description_excerpt) == 600
+
+
+def _lines(spark, *lines):
+    root = scratch_path(spark, "lines")
+    os.makedirs(root)
+    with open(os.path.join(root, "p.jsonl"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return jsonl.scan_lines(spark, root)
+
+
+def test_lines_are_read_as_a_json_reader_does(spark):
+    lines = ['{"posting_id": "1", "posting_id": "2"}', '{"posting_id": "3", "salary_monthly_low": NaN, "salary_monthly_high": 7}',
+             '{"posting_id": "4", "salary_monthly_low": "50000", "is_remote": "x", "company": [1], "skills_raw": "sql"}',
+             '{"posting_id": "5", "company": {"name": 5, "headcount_est": 20.0}, "skills_raw": ["a", 1, null]}', '{"posting_id": 6, "city": {"a": 1}}',
+             "{}", "null", "7", "[1]", "[]", '"x"', '{"posting_id": "T"} x', '{"posting_id": "T"}, {"posting_id": "U"}', "{'posting_id': 1}",
+             '{"posting_id": "C']
+    scanned = _lines(spark, *lines)
+    rows = {r.posting_id: r for r in jsonl.parse_postings(scanned).collect()}
+    assert set(rows) == {"2", "3", "4", "5", "6", None}  # {} is an object without an id
+    assert rows["3"].salary_monthly_low is None and rows["3"].salary_monthly_high == 7
+    assert rows["4"].salary_monthly_low == 50000 and rows["4"].is_remote is None and rows["4"].company.name is None
+    assert rows["4"].skills_raw is None and rows["5"].skills_raw == ["a", "1", None]
+    assert (rows["5"].company.name, rows["5"].company.headcount_est) == ("5", 20) and rows["6"].city == '{"a":1}'
+    assert jsonl.bad_line_count(scanned).first().bad_lines == 9
+
+
+def test_legacy_file_comes_first_and_paths_are_compared_by_part(spark):
+    root = scratch_path(spark, "order")
+    for name in ("z_legacy.jsonl", "raw/a-b/1.jsonl", "raw/a/2.jsonl"):
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "w") as fh:
+            fh.write(json.dumps({"posting_id": name}) + "\n")
+    legacy = os.path.join(root, "z_legacy.jsonl")
+    rows = jsonl.read_postings_jsonl(spark, os.path.join(root, "raw"), legacy=legacy).orderBy("seq").collect()
+    assert [r.posting_id for r in rows] == ["z_legacy.jsonl", "raw/a/2.jsonl", "raw/a-b/1.jsonl"]
+    rows = jsonl.read_postings_jsonl(spark, os.path.join(root, "raw"), legacy=legacy + ".gone").collect()
+    assert len(rows) == 2

@@ -1,10 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from marketmarts.plans import queries as Q
+from marketmarts.plans.stored import StoredTable
 from marketmarts.session import load, scratch_path
+from marketmarts.streaming import hot_table as H
 from marketmarts.streaming import postings_stream as S
 
 
@@ -22,16 +25,49 @@ def test_stream_equals_batch_windows_past_the_watermark(spark):
     assert streamed == expected and len(expected) > 0
 
 
-def test_hot_table_upsert_keeps_latest_per_key(spark):
-    root = scratch_path(spark, "hot-test")
-    merge = S.upsert_batches(spark, root, "posting_id", ["event_time"])
-    b0 = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "posting_id string, event_time int, v string")
-    b1 = spark.createDataFrame([("a", 2, "z")], "posting_id string, event_time int, v string")
-    merge(b0, 0)
-    merge(b1, 1)
-    merge(b1, 1)  # a replayed batch rewrites the same version
-    out = sorted(tuple(r) for r in S.read_hot_table(spark, root).collect())
-    assert out == [("a", 2, "z"), ("b", 1, "y")]
+def _hot(spark, **how):
+    schema = spark.createDataFrame([], "posting_id string, event_time timestamp, v string").schema
+    return H.HotTable(StoredTable(spark, scratch_path(spark, "hot-test"), "latest", schema, ["posting_id"], 4), ["event_time", "v"], **how)
+
+
+def _batch(spark, *rows):
+    return spark.createDataFrame([(k, dt.datetime(2026, 1, 1, h), v) for k, h, v in rows], "posting_id string, event_time timestamp, v string")
+
+
+def _held(df):
+    return sorted((r.posting_id, r.event_time.hour, r.v) for r in df.collect())
+
+
+def test_hot_table_keeps_the_newest_record_whichever_batch_brings_it(spark):
+    hot = _hot(spark)
+    merge = hot.writer()
+    merge(_batch(spark, ("a", 5, "x"), ("a", 4, "w"), ("b", 1, "y")), 0)
+    late = _batch(spark, ("a", 3, "late"), ("b", 2, "z"), ("c", 1, "n"))
+    merge(late, 1)
+    merge(late, 1)  # a batch that is run again changes nothing
+    merge(_batch(spark), 2)
+    assert _held(hot.read()) == [("a", 5, "x"), ("b", 2, "z"), ("c", 1, "n")]
+    assert _held(hot.recent("2 hours")) == [("a", 5, "x")]
+
+
+def test_hot_table_forgets_what_is_past_its_retention(spark):
+    hot = _hot(spark, retention="3 hours")
+    hot.merge(_batch(spark, *[(f"k{i}", 1, "old") for i in range(40)]))
+    hot.merge(_batch(spark, ("new", 9, "x")))
+    assert len(_held(hot.read())) < 41 and ("new", 9, "x") in _held(hot.read())
+    assert hot.expire() > 0
+    assert _held(hot.read()) == [("new", 9, "x")] and hot.expire() == 0
+
+
+def test_options_of_a_topic():
+    assert S.kafka_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest",
+                                          "failOnDataLoss": "true"}
+    some = S.kafka_options("h:1,h:2", "t", {1: 5, 0: -2}, max_per_trigger=1000, min_partitions=64, fail_on_data_loss=False)
+    assert some["startingOffsets"] == '{"t": {"0": -2, "1": 5}}' and some["failOnDataLoss"] == "false"
+    assert (some["maxOffsetsPerTrigger"], some["minPartitions"]) == ("1000", "64")
+    for bad in ({"starting": "now"}, {"starting": {}}, {"starting": {0: -3}}, {"max_per_trigger": 0}, {"min_partitions": -1}):
+        with pytest.raises(ValueError):
+            S.kafka_options("h", "t", **bad)
 
 
 def test_decode_parses_event_time(spark):
