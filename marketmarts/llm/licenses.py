@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from marketmarts.llm.common import text_or_empty
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ on a text whose A-Z are lower-cased already: the class stated by what it holds.
+WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
 THRESHOLD = 0.9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,8 +72,8 @@ def needed(template: str, threshold: float) -> int:
 def word_counts(docs: DataFrame, text_col: str, templates) -> dict[str, int]:
     """Occurrences over all documents of the templates' words (a bounded list)."""
     wanted = sorted({w for _, t in templates for w in t.split()})
-    rows = (docs.select(F.explode(words_of(text_or_empty(text_col))).alias("word")).filter(F.col("word").isin(wanted))
-            .groupBy("word").agg(F.count("*").alias("n")).collect())
+    mine = F.filter(words_of(text_or_empty(text_col)), lambda w: w.isin(wanted))
+    rows = (docs.select(F.explode(mine).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect())
     return {r["word"]: r["n"] for r in rows}
 
 
@@ -166,7 +167,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
 
 
 def oracle(table: str = "documents", templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """DuckDB SQL for ``report``: every block against every template, without filters."""
+    """DuckDB SQL for ``report``: the window at every word of a text that holds enough of a template's words at all."""
     parts = []
     for p in PHRASES:
         ws = p.split()
@@ -176,8 +177,8 @@ def oracle(table: str = "documents", templates=TEMPLATES, threshold: float = THR
     for label, t in templates:
         kinds, wide = sorted(set(t.split())), len(t.split())
         ts = "[" + ", ".join(f"'{k}'" for k in kinds) + "]"
-        blocks.append((f"list_max(list_transform(range(0, len(w), {wide}), lambda b: "
-                       f"len(list_intersect(w[b + 1 : b + {2 * wide}], {ts}))))", needed(t, threshold), len(kinds), label))
+        blocks.append((f"CASE WHEN len(list_intersect(w, {ts})) >= {needed(t, threshold)} THEN list_max(list_transform(range(0, len(w)), "
+                       f"lambda b: len(list_intersect(w[b + 1 : b + {2 * wide}], {ts})))) END", needed(t, threshold), len(kinds), label))
     places = ", ".join(f"{e} AS p{k}" for k, (e, _) in enumerate(parts))
     shares = ", ".join(f"coalesce({e}, 0) AS s{k}" for k, (e, _, _, _) in enumerate(blocks))
     every = " || ".join(f"p{k}" for k in range(len(parts)))
@@ -185,8 +186,9 @@ def oracle(table: str = "documents", templates=TEMPLATES, threshold: float = THR
     more = ", ".join(f"CASE WHEN s{k} >= {o} THEN '{label}' END" for k, (_, o, _, label) in enumerate(blocks))
     best = ", ".join(f"CASE WHEN s{k} >= {o} THEN s{k}::DOUBLE / {s} ELSE 0.0 END" for k, (_, o, s, _) in enumerate(blocks))
     names = lambda xs: (f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{xs}], lambda x: x IS NOT NULL))), ','), '')")
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return f"""
-WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM {table}),
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{word}') AS w FROM {table}),
 f AS (SELECT doc_id, len(w) AS n_words, {places}, {shares} FROM d),
 g AS (SELECT *, {every} AS p FROM f)
 SELECT doc_id, n_words, len(p) AS n_base, list_min(p) AS first_word, list_max(p) AS last_word,
