@@ -6,14 +6,18 @@ source's size and the excess is shared again by weight (water filling).
 
 The words of a source lie in shards; within a shard the documents stand in
 seeded order and their words form one stream that is cut into equal blocks of
-about ``block_words`` words.  Blocks are seats: the mix has one seat per
-``block_words`` words of all targets, sources win seats by the highest
-quotients target / (2 s + 1), and the shards of a source win its seats by
-blocks / (2 s + 1).  Sources with a target under ``few`` such blocks are
-apportioned among themselves, by words instead of blocks, and have blocks of
-their own of a ``few``-th of their target; the words won are rounded to them.  A shard with q seats and b blocks takes every block
-q div b times and q mod b more blocks in seeded order, so no block, and no
-document, is taken more than twice its size.
+B words (its last block may be shorter).  B is the same for all sources:
+``block_words``, or a ``few``-th of the smallest target if that is less.
+Blocks are seats: the mix has one seat per B words of all targets, sources win
+seats by the highest quotients target / (2 s + 1), and the shards of a source
+win its seats by blocks / (2 s + 1).  A source keeps at most ``most`` seats per
+block; its upper quota is never more than that.
+
+A shard with q seats and b blocks takes every block q div b times and q mod b
+more blocks, spread evenly over the shard from a seeded start.  How many of the
+first k blocks are taken is then a formula, and so is how many words of any
+stretch: no table of blocks is made, however many there are, and no document
+is taken more than ``most`` times its size.
 
 Everything is DataFrame code.  Only (id, source, size) leaves the text scan.
 Windows run over the list of sources, over the shards of a source and inside
@@ -38,7 +42,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
 BLOCK_WORDS = 256
-FEW = 16
+FEW = 16  # blocks of the smallest target at least
 SHARD_WORDS = 1_000_000
 SEED = 17
 
@@ -104,83 +108,61 @@ def apportion(parties: DataFrame, seats: str, votes: str, within: list[str], ord
             .withColumn(out, F.col("_sure") + F.col("_more")).drop("_sure", "_more"))
 
 
-def taken_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                 block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED,
-                 budget: float = BUDGET, most: float = MOST, weights=WEIGHTS,
-                 few: int = FEW) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, blocks, sources): rows with their place in a shard's stream, blocks with the times each is taken."""
+def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED,
+                budget: float = BUDGET, most: float = MOST, weights=WEIGHTS, few: int = FEW) -> tuple[DataFrame, DataFrame]:
+    """(rows, sources): rows with their words [begin, end) in a shard's stream and that shard's quota.
+
+    Columns of a shard: ``width`` (words of a block), ``words``, ``blocks``,
+    ``quota`` and ``start`` (0 .. blocks - 1, seeded).
+    """
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                               word_count(F.col(text_col)).alias("size")), "mix-sizes")
-    sources = targets(rows, budget, most, weights).withColumn(
-        "n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint"))
-    sources = sources.withColumn("small", F.col("target") < few * block_words).withColumn(
-        "block_words", F.when(F.col("small"), F.greatest(F.lit(1), F.floor(F.col("target") / few))).otherwise(block_words))
-    sources = stored(sources, "mix-sources")
-
-    placed = (rows.join(sources.select("source", "position", "n_shards"), rows.source.eqNullSafe(sources.source))
-              .select("id", "size", "position", "n_shards", F.xxhash64(F.lit(seed), "id", "size").alias("_h"))
-              .withColumn("shard", F.pmod(F.xxhash64("_h"), F.col("n_shards"))))
-    stream = Window.partitionBy("position", "shard").orderBy("_h", "id", "size")
-    placed = (placed.withColumn("end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("begin", F.col("end") - F.col("size")).drop("_h", "n_shards"))
-
-    shards = (rows.join(sources.select("source", "position", "n_shards", "block_words"), rows.source.eqNullSafe(sources.source))
-              .withColumn("shard", F.pmod(F.xxhash64(F.xxhash64(F.lit(seed), "id", "size")), F.col("n_shards")))
-              .groupBy("position", "shard", "block_words").agg(F.sum("size").alias("words")).filter("words > 0")
-              .withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("words") / F.col("block_words"))).cast("bigint"))
-              .drop("block_words"))
-    shards = stored(shards, "mix-shards")
-
-    per_source = shards.groupBy("position").agg(F.sum("blocks").alias("source_blocks"))
-    seats = (sources.join(per_source, "position")
-             .withColumn("_grain", F.when(F.col("small"), 1).otherwise(block_words))
-             .withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("_grain")) / F.col("_grain")).cast("bigint")))
-    won = apportion(seats.select("_grain", "position", "target", "source_size", "source_blocks", "seats"), "seats", "target",
-                    ["_grain"], ["position"], "won")
-    in_blocks = F.when(F.col("_grain") == block_words, F.col("won")).otherwise(
-        F.round(F.col("won") * F.col("source_blocks") / F.col("source_size"))).cast("bigint")
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(Window.partitionBy())
+    width = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.coalesce(least, F.lit(block_words)) / few)))
+    sources = stored(
+        targets(rows, budget, most, weights)
+        .withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint"))
+        .withColumn("width", width.cast("bigint")), "mix-sources")
+
+    sharded = (rows.join(sources.select("source", "position", "n_shards", "width"), rows.source.eqNullSafe(sources.source))
+               .select("id", "size", "position", "width", "n_shards", F.xxhash64(F.lit(seed), "id", "size").alias("_h"))
+               .withColumn("shard", F.pmod(F.xxhash64("_h"), F.col("n_shards"))))
+    shards = stored(sharded.groupBy("position", "shard", "width").agg(F.sum("size").alias("words")).filter("words > 0")
+                    .withColumn("blocks", F.expr("(words + width - 1) div width")), "mix-shards")
+    seats = (sources.join(shards.groupBy("position").agg(F.sum("blocks").alias("source_blocks")), "position")
+             .withColumn("all", F.lit(0))
+             .withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("all")) / F.col("width")).cast("bigint")))
+    won = apportion(seats.select("all", "position", "target", "source_blocks", "seats"), "seats", "target", ["all"], ["position"], "won")
     most_blocks = F.floor(F.col("source_blocks") * F.lit(float(most))).cast("bigint")
-    won = won.select("position", F.least(in_blocks, most_blocks).alias("won"))
-    quotas = apportion(shards.join(won, "position").select("position", "shard", "words", "blocks", "won"), "won", "blocks",
-                       ["position"], ["shard"], "quota")
-
-    blocks = quotas.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    pick = Window.partitionBy("position", "shard").orderBy(F.xxhash64(F.lit(seed), "position", "shard", "block"), "block")
-    cut = lambda i: F.floor(F.col("words").cast("decimal(38,0)") * i / F.col("blocks")).cast("bigint")
-    blocks = (blocks.withColumn("_rank", F.row_number().over(pick))
-              .withColumn("times", F.floor(F.col("quota") / F.col("blocks"))
-                          + F.when(F.col("_rank") <= F.col("quota") % F.col("blocks"), 1).otherwise(0))
-              .select("position", "shard", "block", "blocks", "words", "times",
-                      cut(F.col("block")).alias("from"), cut(F.col("block") + 1).alias("to")))
-    return placed, blocks, sources
-
-
-def _pieces(placed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """One row per document and taken block it meets: words [lo, hi) of the document, ``times`` times."""
-    meta = blocks.filter("block = 0").select("position", "shard", "blocks", "words")
-    spread = (placed.filter("size > 0").join(meta, ["position", "shard"])
-              .withColumn("block", F.explode(F.sequence(
-                  F.greatest(F.lit(0).cast("bigint"), F.floor(F.col("begin") * F.col("blocks") / F.col("words")) - 1),
-                  F.least(F.col("blocks") - 1, F.floor((F.col("end") - 1) * F.col("blocks") / F.col("words")) + 1))))
-              .drop("blocks", "words"))
-    met = spread.join(blocks.select("position", "shard", "block", "from", "to", "times"), ["position", "shard", "block"])
-    return (met.filter("times > 0 and from < end and to > begin")
-            .select("id", "size", "position", "shard", "begin", "times",
-                    (F.greatest("from", "begin") - F.col("begin")).alias("lo"),
-                    (F.least("to", "end") - F.col("begin")).alias("hi")))
+    won = won.select("position", F.least("won", most_blocks).alias("won"))
+    quotas = apportion(shards.join(won, "position"), "won", "blocks", ["position"], ["shard"], "quota")
+    quotas = stored(quotas.select("position", "shard", "words", "blocks", "quota", F.pmod(
+        F.xxhash64(F.lit(seed), "position", "shard"), F.col("blocks")).alias("start")), "mix-quotas")
+
+    stream = Window.partitionBy("position", "shard").orderBy("_h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (sharded.withColumn("end", F.sum("size").over(stream)).withColumn("begin", F.col("end") - F.col("size"))
+              .drop("_h", "n_shards").join(quotas, ["position", "shard"], "left"))
+    return placed, sources
+
+
+def _extra_blocks(k: str) -> str:
+    """SQL: how many of a shard's first ``k`` blocks are taken once more than quota div blocks times."""
+    return f"((({k}) * (quota % blocks) + start) div blocks)"
+
+
+def _extra_words(w: str) -> str:
+    """SQL: how many of a shard's first ``w`` words lie in such blocks."""
+    k = f"(({w}) div width)"
+    return (f"({_extra_blocks(k)} * width + ({_extra_blocks(k + ' + 1')} - {_extra_blocks(k)}) * (({w}) - {k} * width))")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """Per input row: id, size, source_size, target (its source's) and taken (words the mix takes, repeats counted)."""
-    placed, blocks, sources = taken_blocks(docs, id_col, text_col, source_col, **how)
-    got = (_pieces(placed, blocks).groupBy("position", "shard", "begin", "size")
-           .agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken")))
-    # an id may repeat, a place in a shard's stream does not (rows without words take none)
-    key = ["position", "shard", "begin", "size"]
-    return (placed.join(got, key, "left")
-            .join(sources.select("position", "source_size", "target"), "position")
-            .select(F.col("id").alias(id_col), "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("bigint").alias("taken")))
+    placed, sources = placed_rows(docs, id_col, text_col, source_col, **how)
+    taken = f"coalesce(size * (quota div blocks) + {_extra_words('end')} - {_extra_words('begin')}, 0)"
+    return placed.join(sources.select("position", "source_size", "target"), "position").select(
+        F.col("id").alias(id_col), "size", "source_size", "target", F.expr(taken).alias("taken"))
 
 
 def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -191,20 +173,28 @@ def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken whole stays as it is; of others the taken words remain, each with
     the white space after it.  Rows of which nothing is taken go.
     """
-    placed, blocks, _ = taken_blocks(docs, id_col, text_col, source_col, **how)
-    runs = (_pieces(placed, blocks).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
-            .groupBy("id", "size", "position", "shard", "begin", "_copy")
-            .agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_runs"), F.sum(F.col("hi") - F.col("lo")).alias("_taken")))
-    nth = Window.partitionBy("id", "size", "_copy").orderBy("position", "shard", "begin")
-    runs = runs.select(F.col("id").alias("_id"), F.col("size").alias("_words"), F.row_number().over(nth).alias("_row"),
-                       "_runs", "_taken")
+    placed, _ = placed_rows(docs, id_col, text_col, source_col, **how)
+    runs = f"""filter(transform(filter(sequence(begin div width, (end - 1) div width),
+        k -> {_extra_blocks('k + 1')} > {_extra_blocks('k')}),
+        k -> struct(cast(greatest(k * width, begin) - begin as int) as lo, cast(least((k + 1) * width, end) - begin as int) as hi)),
+        r -> r.hi > r.lo)"""
+    nth = Window.partitionBy("id", "size").orderBy("position", "shard", "begin")
+    passes = (placed.filter("size > 0 and quota > 0").withColumn("_row", F.row_number().over(nth))
+              .select(F.col("id").alias("_id"), F.col("size").alias("_words"), "_row", F.expr("quota div blocks").alias("_whole"),
+                      F.expr(runs).alias("_runs"))
+              .filter("_whole > 0 or size(_runs) > 0"))
     same = Window.partitionBy(id_col, "_size").orderBy(F.col(source_col).isNull(), F.col(source_col))
     numbered = (docs.withColumn("_size", word_count(F.col(text_col))).filter("_size > 0")
                 .withColumn("_nth", F.row_number().over(same)))
-    both = numbered.join(runs, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
+    both = numbered.join(passes, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
                          & (F.col("_nth") == F.col("_row")))
+    # one row for each whole pass, and one of the blocks that are taken once more
+    copies = F.expr("concat(array_repeat(cast(null as array<struct<lo: int, hi: int>>), cast(_whole as int)), "
+                    "if(size(_runs) > 0, array(_runs), array()))")
+    each = both.withColumn("_pass", F.explode(copies))
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     cut = F.transform(F.array(words), lambda ws: F.array_join(F.transform(
-        "_runs", lambda r: F.array_join(F.slice(ws, r["lo"].cast("int") + 1, (r["hi"] - r["lo"]).cast("int")), "")), ""))[0]
-    text = F.when(F.col("_taken") == F.col("_size"), F.col(text_col)).otherwise(cut)
-    return both.withColumn(text_col, text).select(*docs.columns)
+        "_pass", lambda r: F.array_join(F.slice(ws, r["lo"] + 1, r["hi"] - r["lo"]), "")), ""))[0]
+    kept = F.aggregate("_pass", F.lit(0).cast("bigint"), lambda n, r: n + (r["hi"] - r["lo"]))
+    text = F.when(F.col("_pass").isNull() | (kept == F.col("_size")), F.col(text_col)).otherwise(cut)
+    return each.withColumn(text_col, text).select(*docs.columns)
