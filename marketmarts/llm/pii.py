@@ -153,12 +153,20 @@ def _entities(found: DataFrame) -> DataFrame:
             .select("id", "text_hash", "m.kind", "m.value").distinct())
 
 
-def _together(docs: DataFrame, found: DataFrame, entities: DataFrame, n_docs: DataFrame, text_col: str,
+def _together(docs: DataFrame, found: DataFrame, entities: DataFrame, n_docs: DataFrame, id_col: str, text_col: str,
               generalise_at: float) -> DataFrame:
     """Terms that may disclose with the entities of their documents: id, text_hash, kind, value, term, places, c_t."""
     of_text = F.regexp_extract_all(text_or_empty(text_col), F.lit(TERM), F.lit(0))
-    terms = (docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(of_text), F.lower))).alias("term"))
-             .groupBy("term").agg(F.count("*").alias("c_t")))
+    each = F.explode(F.array_distinct(F.transform(F.array_distinct(of_text), F.lower))).alias("term")
+    terms = docs.select(each).groupBy("term").agg(F.count("*").alias("c_t"))
+    # a repeated row is one document; only where there are any do their texts meet the list of them
+    repeats = stored(found.groupBy("id", "text_hash").agg(F.count("*").alias("times")).filter("times > 1"), "pii-repeats")
+    if not repeats.isEmpty():
+        again = docs.join(repeats.withColumnsRenamed({"id": "_id", "text_hash": "_hash"}), F.col(id_col).eqNullSafe(F.col("_id")) & (
+            F.xxhash64(text_or_empty(text_col)) == F.col("_hash"))).select("_id", "_hash", "times", each)
+        more = (again.groupBy("term", "_id", "_hash", "times").agg(F.count("*").alias("_n"))
+                .groupBy("term").agg(F.sum(F.col("times") - 1).alias("more")))
+        terms = terms.join(more, "term", "left").select("term", (F.col("c_t") - F.coalesce("more", F.lit(0))).alias("c_t"))
     most = entities.groupBy("kind", "value").count().agg(F.max("count").alias("n")).scalar()
     bound = F.pow(n_docs.scalar(), F.lit(1 - generalise_at)) * F.pow(most, F.lit(generalise_at)) * (1 + 1e-9)
     words = (found.filter(F.size("base") > 0).select("id", "text_hash", F.explode("words").alias("w"))
@@ -188,7 +196,7 @@ def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     found = stored(mentions(docs, id_col, text_col), "pii-mentions")
     n_docs = found.select(F.countDistinct(F.struct("id", "text_hash")).cast("double").alias("n_docs"))
     entities = _entities(found)
-    near = stored(_together(docs, found, entities, n_docs, text_col, generalise_at), "pii-terms")
+    near = stored(_together(docs, found, entities, n_docs, id_col, text_col, generalise_at), "pii-terms")
     risky = disclosing_terms(near, entities, n_docs, remove_at, generalise_at)
     hits = (near.join(risky, ["kind", "value", "term"]).select("id", "text_hash", F.explode("places").alias("p"), "action")
             .groupBy("id", "text_hash", "p.start", "p.end").agg(F.max("action").alias("action"))  # remove wins over generalise
