@@ -47,7 +47,7 @@ SELECT o.o_orderkey AS seq,
     WHEN 9 THEN 'Data Scientist' WHEN 10 THEN 'MLOps Engineer' WHEN 11 THEN 'Junior Data Scientist'
     WHEN 12 THEN 'HTML Engineer' ELSE 'Product Manager' END AS role_raw,
   CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(o.o_orderkey % 9 AS INT) END AS experience_years_min,
-  'Firm ' || CAST(o.o_custkey % 200 AS VARCHAR) ||
+  'Firm ' || CAST(o.o_custkey AS VARCHAR) ||
     CASE o.o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN ' Co., Ltd.' WHEN 2 THEN ' Inc.' ELSE ' Corp' END AS company_name,
   CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE lower(c.c_mktsegment) END AS headcount_band,
   CASE c.c_nationkey % 4 WHEN 0 THEN 'Taipei' WHEN 1 THEN 'Hsinchu' WHEN 2 THEN 'Remote' ELSE NULL END AS city,
@@ -326,6 +326,14 @@ def oracle_sql() -> dict[str, str]:
     o["company_canonical"] = (
         f"WITH fx AS ({FEED}) SELECT seq, company_name, {company_case('company_name')} AS name_canonical FROM fx"
     )
+    o["classify_names"] = "WITH n AS (SELECT 'customer' AS table_name, c_custkey AS key, c_name AS name FROM customer " \
+        "UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part) " \
+        f"""SELECT table_name, key, {role_case("name", "role_canonical")} AS role_canonical, {role_case("name", "role_family")} AS role_family,
+  {seniority_case("name", "CAST(NULL AS INT)")} AS seniority, {company_case("name")} AS name_canonical FROM n"""
+    o["classify_turns"] = f"""WITH d AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {haystack("text")} AS hay FROM conversations)
+SELECT conv_id, turn, role, {role_case("text", "role_canonical")} AS role_canonical,
+  {seniority_case("text", "CAST(NULL AS INT)")} AS seniority,
+  coalesce((SELECT string_agg(DISTINCT skill, '|' ORDER BY skill) FROM {taxonomy_values()} WHERE contains(d.hay, tax.pattern)), '') AS skills FROM d"""
     o["skills_from_hints"] = f"""WITH fx AS ({FEED}),
 h AS (SELECT DISTINCT s.seq, tax.skill
       FROM (SELECT seq, lower(trim(unnest(string_split(skills_delim, '|')))) AS hint FROM fx) s

@@ -233,6 +233,29 @@ def q_company_canonical(spark, sf_dir):
                     classify.canonical_company(F.col("company.name")).alias("name_canonical"))
 
 
+def q_classify_names(spark, sf_dir):
+    """Titles, seniority and company names over every name of the given tables."""
+    tables = (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name"))
+    names = None
+    for table, key, name in tables:
+        one = load(spark, sf_dir, table).select(F.lit(table).alias("table_name"), F.col(key).alias("key"), F.col(name).alias("name"))
+        names = one if names is None else names.unionByName(one)
+    role = classify.role(F.col("name"))
+    return names.select("table_name", "key", role["role_canonical"].alias("role_canonical"), role["role_family"].alias("role_family"),
+                        classify.seniority(F.col("name"), F.lit(None).cast("int")).alias("seniority"),
+                        classify.canonical_company(F.col("name")).alias("name_canonical"))
+
+
+def q_classify_turns(spark, sf_dir):
+    """Titles, seniority and skills over the whole text of every conversation turn."""
+    turns = spread(load(spark, sf_dir, "conversations")).select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    t = skills.with_haystack(turns, F.col("text"))
+    return t.select("conv_id", "turn", "role", classify.role(F.col("text"))["role_canonical"].alias("role_canonical"),
+                    classify.seniority(F.col("text"), F.lit(None).cast("int")).alias("seniority"),
+                    _bars(skills.skills_in_haystack(F.col("_hay"))).alias("skills"))
+
+
 def q_skills_from_hints(spark, sf_dir):
     f = posting_feed(spark, sf_dir)
     return f.select("seq", _bars(skills.skills_from_hints(F.col("skills_raw"))).alias("skills"))
@@ -424,7 +447,7 @@ def q_posting_search(spark, sf_dir):
 # ----------------------------------------------------------------- checks
 
 def _tables(c: Chain) -> dict[str, DataFrame]:
-    raw = c.raw.select("raw_id", "source", "source_post_id", "fetched_at", "payload")
+    raw = c.raw.select("raw_id", "source", "source_post_id", "fetched_at", "fetched_at_text", "payload")
     return {
         "raw_postings": raw,
         "companies": c.companies,
@@ -654,6 +677,8 @@ QUERIES = {
     "role_classify": q_role_classify,
     "seniority_classify": q_seniority_classify,
     "company_canonical": q_company_canonical,
+    "classify_names": q_classify_names,
+    "classify_turns": q_classify_turns,
     "skills_from_hints": q_skills_from_hints,
     "skills_from_text": q_skills_from_text,
     "skills_extract": q_skills_extract,

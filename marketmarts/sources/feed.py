@@ -71,7 +71,7 @@ def feed_columns(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.when(k % 103 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("o_orderdate")).alias("fetched_at"),
         _pick(k, FEED_TITLES).alias("role_raw"),
         F.when(k % 11 == 0, F.lit(None).cast("int")).otherwise((k % 9).cast("int")).alias("experience_years_min"),
-        F.concat(F.lit("Firm "), (F.col("o_custkey") % 200).cast("string"), _pick(k, FEED_COMPANY_SUFFIXES)).alias(
+        F.concat(F.lit("Firm "), F.col("o_custkey").cast("string"), _pick(k, FEED_COMPANY_SUFFIXES)).alias(
             "company_name"
         ),
         F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.lower("c_mktsegment")).alias("headcount_band"),
