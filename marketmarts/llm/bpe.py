@@ -17,8 +17,11 @@ only more chunks, and a task holds one chunk plus the words of one bucket
 (the word memory is cleared at ``memory_words`` entries; a cleared word is
 merely encoded again).
 
-Decoding maps ids to bytes through the token table, whose size is that of
-the vocabulary; ``decode`` does it as a broadcast join for any table of ids.
+Decoding joins the token-byte table, which has one entry per token of the
+vocabulary and is broadcast.  ``decoded`` meets it in each Arrow batch: ids are
+positions in the table, so the join is a gather, and a row's ids stay in order
+without a shuffle.  ``decode`` is the same join with one row per id, for plans
+that need it as a DataFrame join.
 
 Nulls and ties: a null text counts as empty and has no ids; null ids and
 repeated rows are carried as they stand; a text of any length is one document
@@ -32,8 +35,6 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -215,12 +216,8 @@ def _encode_lists(ranks, memory_words: int):
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk_chars: int = CHUNK_CHARS, memory_words: int = MEMORY_WORDS, digests: bool = False) -> DataFrame:
-    """(id, ids array<int>) per row; with ``digests`` instead n_tokens, ids_sha256 and decoded_sha256.
-
-    decoded_sha256 is the digest of the bytes that the ids give through the
-    token table.
-    """
+           chunk_chars: int = CHUNK_CHARS, memory_words: int = MEMORY_WORDS) -> DataFrame:
+    """(id, ids array<int>) per row."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(ranks)  # the vocabulary: some 50,000 entries
@@ -232,39 +229,57 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                                                               "chunk bigint, bucket int, ids binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        table = shared.value
-        width = _id_width(table)
+        width = _id_width(shared.value)
         parts = {b: _unpack(x) for b, x in zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist())}
         row = left.to_pylist()[0]
         of = _unpacked_numbers(row["buckets"])
         each = {b: iter(p) for b, p in parts.items()}
-        word_ids = [tuple(np.frombuffer(next(each[b]), width).tolist()) for b in of.tolist()]
+        word_ids = [next(each[b]) for b in of.tolist()]
         positions = _unpacked_numbers(row["positions"])
         ids = pa.ipc.open_stream(row["docs"]).read_all().column("id")
-        spell = [b""] * (max(table.values()) + 1)
-        name = [b""] * len(spell)
-        for token, r in table.items():
-            spell[r], name[r] = token, b"%d" % r
         out, begin = [], 0
         for n in _unpacked_numbers(row["lengths"]).tolist():
-            tokens = list(chain.from_iterable(map(word_ids.__getitem__, positions[begin:begin + n].tolist())))
+            out.append(b"".join(map(word_ids.__getitem__, positions[begin:begin + n].tolist())))
             begin += n
-            if digests:
-                out.append((len(tokens), hashlib.sha256(b",".join(map(name.__getitem__, tokens))).hexdigest(),
-                            hashlib.sha256(b"".join(map(spell.__getitem__, tokens))).hexdigest()))
-            else:
-                out.append(tokens)
-        if digests:
-            return pa.table({"id": ids, "n_tokens": pa.array([x[0] for x in out], pa.int64()),
-                             "ids_sha256": [x[1] for x in out], "decoded_sha256": [x[2] for x in out]})
-        return pa.table({"id": ids, "ids": pa.array(out, pa.list_(pa.int32()))})
-
-    shape = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
+        size = np.dtype(width).itemsize
+        stops = np.cumsum([0, *(len(x) // size for x in out)], dtype=np.int32)
+        flat = np.frombuffer(b"".join(out), width).astype(np.int32)
+        return pa.table({"id": ids, "ids": pa.ListArray.from_arrays(pa.array(stops), pa.array(flat))})
+
     both = chunks.drop("lists").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        reassemble, f"id {id_type}, {shape}")
+        reassemble, f"id {id_type}, ids array<int>")
     return both.withColumnRenamed("id", id_col)
 
 
+def decoded(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids",
+            digests: bool = False) -> DataFrame:
+    """(id, decoded binary) per row of ``encoded``; with ``digests`` instead n_tokens, ids_sha256 and decoded_sha256.
+
+    ids_sha256 is over the decimal ids joined by commas.  A null array has no
+    ids; an id without an entry in the table fails the job.
+    """
+    shared = encoded.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: some 50,000 entries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spell = {r: token for token, r in shared.value.items()}
+        name = {r: b"%d" % r for r in spell}
+        for b in batches:
+            out = []
+            for row in b.column(1):
+                ids = row.values.to_numpy(zero_copy_only=False).tolist() if row.is_valid else []
+                text = b"".join(map(spell.__getitem__, ids))
+                out.append((len(ids), hashlib.sha256(b",".join(map(name.__getitem__, ids))).hexdigest(),
+                            hashlib.sha256(text).hexdigest()) if digests else (text,))
+            columns = [pa.array([x[k] for x in out], kind) for k, (_, kind) in enumerate(fields)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", *(n for n, _ in fields)])
+
+    fields = ([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests
+              else [("decoded", pa.binary())])
+    shape = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "decoded binary"
+    rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return rows.mapInArrow(run, f"id {field_type(rows, 'id')}, {shape}").withColumnRenamed("id", id_col)
+
+
 def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
     """(token_id, token): one row per vocabulary entry."""
     return spark.createDataFrame(pa.table({"token_id": pa.array(list(ranks.values()), pa.int32()),

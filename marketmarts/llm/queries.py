@@ -36,7 +36,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
+    return bpe.decoded(bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks, digests=True)
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_SMALL
@@ -83,8 +85,18 @@ def test_encode_and_decode(spark, odd_docs, no_docs):
     assert got.count() == len(rows) and all(by[i] == ENC.encode_ordinary(t or "") for i, t in rows)
     back = {r.doc_id: bytes(r.decoded).decode() for r in bpe.decode(got, bpe.token_table(spark, RANKS)).collect()}
     assert all(back[i] == (t or "") for i, t in rows)
-    assert bpe.encode(odd_docs, RANKS, P.PATTERN, digests=True).count() == odd_docs.count()
-    assert bpe.encode(no_docs, RANKS, P.PATTERN, digests=True).count() == 0
+    got = sorted(map(str, bpe.decoded(bpe.encode(odd_docs, RANKS, P.PATTERN), RANKS, digests=True).collect()))
+    want = []
+    for r in odd_docs.collect():
+        ids = ENC.encode_ordinary(r.text or "")
+        listed, text = ",".join(map(str, ids)).encode(), (r.text or "").encode()
+        want.append(f"Row(doc_id={r.doc_id}, n_tokens={len(ids)}, ids_sha256='{hashlib.sha256(listed).hexdigest()}', "
+                    f"decoded_sha256='{hashlib.sha256(text).hexdigest()}')")
+    assert got == sorted(want)
+    assert bpe.decoded(bpe.encode(no_docs, RANKS, P.PATTERN), RANKS, digests=True).count() == 0
+    plain = bpe.decoded(spark.createDataFrame([(1, [1, 2]), (2, None)], "doc_id int, ids array<int>"), RANKS).collect()
+    spell = {r: t for t, r in RANKS.items()}
+    assert {r.doc_id: bytes(r.decoded) for r in plain} == {1: spell[1] + spell[2], 2: b""}
 
 
 def test_every_prefix_count_is_exact(spark, odd_docs, no_docs):
@@ -168,6 +180,16 @@ def test_terms_count_and_go_in_whole_documents(spark):
 
 
 # licences, mixing, quality, chat
+def test_a_repeated_row_is_one_document(spark):
+    rows = [(0, "please ask Zorbak about it zorbak@mail.com soon common words")]
+    rows += [(10 + i, "please ask about it soon common words everywhere") for i in range(30)]
+    for times in (1, 4):
+        df = spark.createDataFrame(rows * times + rows[:1] * 3 + [(None, "ask Quip x@y.zz")] * times, "doc_id long, text string")
+        got = {(r.doc_id, r.spans) for r in pii.report(df).collect() if r.n_term}
+        assert got == {(0, "term:11:17,email:27:42"), (None, "term:4:8,email:9:15")}
+        assert pii.report(df).count() == df.count()
+
+
 def test_licences_odd_rows(odd_docs, no_docs):
     rows = {r.doc_id: r for r in licenses.report(odd_docs).collect()}
     assert rows[9].labels == "mit" and rows[9].score == 1.0 and rows[0].labels == "" and rows[0].n_words == 0
@@ -197,6 +219,79 @@ def test_a_notice_is_found_at_every_offset(spark):
             if share >= licenses.THRESHOLD:
                 best, labels = max(best, share), labels | {label}
         assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), best)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cur = con.execute(licenses.oracle())
+    cols = [d[0] for d in cur.description]
+    assert sorted(cur.fetchall()) == sorted(tuple(got[i][c] for c in cols) for i, _ in rows)
+
+
+def test_licence_words_are_those_of_the_contract(spark):
+    texts = ["".join(chr(c) for c in range(0x250)), "İK ſx😀a-b\x80c", "A" * 200000, "\U00010348\U00010348"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("t", licenses.words_of(F.col("t")).alias("w")).collect():
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r.t)
+        assert r.w == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def sainte_lague(votes, seats):
+    """Seats one by one to the highest quotient; ties to the first party."""
+    won = [0] * len(votes)
+    for _ in range(seats if any(votes) else 0):
+        best = max((v / (2 * s + 1), -i) for i, (v, s) in enumerate(zip(votes, won)) if v > 0)
+        won[-best[1]] += 1
+    return won
+
+
+def test_apportionment_is_plain_sainte_lague(spark):
+    rnd = random.Random(9)
+    groups = [([rnd.choice([0, 1, 7, 50.5, 1000, 99999]) for _ in range(rnd.randint(1, 9))], rnd.choice([0, 1, 3, 10, 500])) for _ in range(60)]
+    rows = [(g, i, float(v), n) for g, (votes, n) in enumerate(groups) for i, v in enumerate(votes)]
+    df = spark.createDataFrame(rows, "g int, i int, v double, n bigint")
+    got = {}
+    for r in mixing.apportion(df, "n", "v", ["g"], ["i"], "won").collect():
+        got.setdefault(r.g, {})[r.i] = r.won
+    for g, (votes, n) in enumerate(groups):
+        assert [got[g][i] for i in range(len(votes))] == sainte_lague(votes, n), (votes, n)
+
+
+def test_mix_takes_each_block_by_its_quota_and_makes_no_table_of_blocks(spark):
+    rnd = random.Random(3)
+    docs = [(i, rnd.choice(["a", "a", "a", "b", "c", None]), " ".join(["w"] * rnd.choice([0, 1, 7, 40, 200]))) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    how = dict(block_words=16, shard_words=700)
+    placed, sources = mixing.placed_rows(df, **how)
+    rows, seats = placed.collect(), {}
+    for r in rows:
+        if r.blocks:
+            assert r.blocks == -(-r.words // r.width) and 0 <= r.start < r.blocks
+            seats[r.position, r.shard] = (r.words, r.blocks, r.quota, r.start, r.width)
+    # quotas: seats of the sources by target, of their shards by blocks
+    info = {r.position: r for r in sources.collect()}
+    order = sorted(info)
+    total = round(sum(info[p].target for p in order) / 16)
+    won = sainte_lague([info[p].target for p in order], total)
+    for p, n in zip(order, won):
+        shards = sorted(s for q, s in seats if q == p)
+        blocks = [seats[p, s][1] for s in shards]
+        assert [seats[p, s][2] for s in shards] == sainte_lague(blocks, min(n, 2 * sum(blocks)))
+    # block by block: quota times in all, as the formulas say for every document
+    want = {}
+    for r in rows:
+        if r.blocks:
+            words, blocks, quota, start, width = seats[r.position, r.shard]
+            times = [quota // blocks + (((k + 1) * (quota % blocks) + start) // blocks - (k * (quota % blocks) + start) // blocks) for k in range(blocks)]
+            assert sum(times) == quota
+            want[r.id] = sum(times[w // width] for w in range(r.begin, r.end))
+    mixed = mixing.mix(df, **how)
+    assert {r.doc_id: r.taken for r in mixed.collect()} == {i: want.get(i, 0) for i, *_ in docs}
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    texts = {}
+    for r in mixing.mixed_texts(df, **how).collect():
+        texts[r.doc_id] = texts.get(r.doc_id, 0) + len(r.text.split())
+    assert texts == {i: n for i, n in want.items() if n}
 
 
 def test_mix_keeps_small_sources(spark):
@@ -257,6 +352,16 @@ def test_quality_on_held_out_labels(spark, odd_docs, no_docs):
     assert np.mean([r.predicted == r.quality for r in rows]) >= 0.93
     assert len(model.pairs) > 0 and quality.score(odd_docs, model).count() == odd_docs.count()
     assert quality.keep_good(odd_docs, model).columns == odd_docs.columns and quality.score(no_docs, model).count() == 0
+    # an id that stands very often brings no more rows than the bound
+    crowd = docs.join(labels.filter("doc_id % 3 = 1"), "doc_id", "left_semi").select("doc_id", "text")
+    often = crowd.unionAll(crowd).unionAll(crowd)
+    seen = []
+    fit, quality.fit = quality.fit, lambda x, y, **how: seen.append(len(y)) or fit(x, y, **how)
+    try:
+        quality.train(often, labels, max_rows=50)
+    finally:
+        quality.fit = fit
+    assert seen == [50]
     none = quality.train(docs, labels.limit(0))
     assert {r.score for r in quality.score(odd_docs, none).collect()} == {0.5}
 
