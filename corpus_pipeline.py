@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next stage's ``docs``.
+
+Nulls and ties, in every stage: a null or empty text is an empty document (it
+is scored, is its own near-duplicate group, has no personal data, and leaves
+at the mix, which takes no words of it); null ids and sources are values like
+any other; repeated rows are one document from the second stage on; an empty
+table stays empty with its columns; further columns are carried to the mix,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -36,8 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every text, encoded and decoded again."""
-    return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
-                      public_tokenizers.PATTERN, digests=True)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.decoded(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, digests=True)
 
 
 def with_length(before: DataFrame, after: DataFrame) -> DataFrame:
