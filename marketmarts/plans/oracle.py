@@ -618,6 +618,7 @@ SELECT posting_id, source, source AS board, fetched_at, role_raw, company_name,
     o["stream_hourly"] = """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, role_family, n FROM (
   SELECT date_trunc('hour', ts) AS window_start, event_type AS role_family, count(*) AS n FROM events GROUP BY 1, 2)
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+    o["stream_arrivals"] = o["stream_hourly"]
     o["stream_hot_upsert"] = f"""WITH {EVENTS}
 SELECT posting_id, event_id, role_family, value, event_time FROM ev
 QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY event_time DESC, event_id DESC) = 1"""

@@ -50,7 +50,7 @@ def run(spark: SparkSession, feed: DataFrame, root: str | None = None, snapshot_
     already holds tables is refused.  ``buckets`` is the number of buckets of
     new stored tables: enough for one bucket's rows to be one task's work.
     """
-    root = root or scratch_path(spark, "warehouse")
+    root = root or scratch_path(spark, "warehouse", keep=True)
     home = previous["root"] if previous else root
     buckets = previous["buckets"] if previous else buckets
     if previous is None and path_exists(spark, stored_table(spark, root, "raw_postings", buckets).path):

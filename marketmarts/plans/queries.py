@@ -117,6 +117,21 @@ def _stored(spark, sf_dir, name: str) -> DataFrame:
     return pipeline.table(spark, two_day_run(spark, sf_dir), name)
 
 
+class Served:
+    """The stored staging tables of a finished run, from which marts, reports and reads are served."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.postings = _stored(spark, sf_dir, "postings")
+        self.companies = _stored(spark, sf_dir, "companies")
+        self.enriched = staging.with_company(self.postings, self.companies)
+
+    def salary(self) -> DataFrame:
+        return marts.salary_cells(self.enriched, SNAPSHOT)
+
+    def activity(self) -> DataFrame:
+        return marts.company_activity(self.postings, SNAPSHOT)
+
+
 POSTING_OUT = [
     "posting_id", "source", "fetched_at", "role_raw", "role_canonical", "role_family", "seniority",
     "company_canonical", "city", "is_remote", "experience_years_min", "experience_years_max", "education_min",
@@ -291,23 +306,23 @@ def q_skills_join(spark, sf_dir):
 
 
 def q_postings_with_company(spark, sf_dir):
-    e = Chain(spark, sf_dir).enriched
+    e = _with_company_name(spark, sf_dir, Served(spark, sf_dir).enriched)
     return e.select("posting_id", "company_canonical", "headcount_band", "industry", "role_canonical", "fetched_at")
 
 
 # ------------------------------------------------------------------ marts
 
 def q_salary_cells_exact(spark, sf_dir):
-    return Chain(spark, sf_dir).salary()
+    return Served(spark, sf_dir).salary()
 
 
 def q_salary_cells_approx(spark, sf_dir):
-    return marts.salary_cells(Chain(spark, sf_dir).enriched, SNAPSHOT, method="approx")
+    return marts.salary_cells(Served(spark, sf_dir).enriched, SNAPSHOT, method="approx")
 
 
 def q_cells_null_safe_join(spark, sf_dir):
     """All-postings counts LEFT JOIN disclosed counts on four nullable keys (NULL matches NULL)."""
-    e = Chain(spark, sf_dir).enriched
+    e = Served(spark, sf_dir).enriched
     keys = marts.CELL_KEYS
     counts = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_postings"))
     mid = F.when(F.col("salary_disclosed"), midpoint(F.col("salary_monthly_low"), F.col("salary_monthly_high")))
@@ -325,11 +340,11 @@ def q_cells_null_safe_join(spark, sf_dir):
 
 
 def q_skill_demand(spark, sf_dir):
-    return Chain(spark, sf_dir).skill_demand()
+    return marts.skill_demand(Served(spark, sf_dir).postings, SNAPSHOT)
 
 
 def q_company_activity(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Served(spark, sf_dir)
     a = reads.company_activity_named(c.activity(), c.companies)
     return a.select("snapshot_date", "name_canonical", "n_postings", "n_data_ai", "median_monthly")
 
@@ -337,32 +352,31 @@ def q_company_activity(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 
 def q_weekly_volume(spark, sf_dir):
-    return reports.weekly_volume(Chain(spark, sf_dir).postings)
+    return reports.weekly_volume(Served(spark, sf_dir).postings)
 
 
 def q_weekly_pivot(spark, sf_dir):
-    return reports.weekly_pivot(reports.weekly_volume(Chain(spark, sf_dir).postings))
+    return reports.weekly_pivot(reports.weekly_volume(Served(spark, sf_dir).postings))
 
 
 def q_disclosure_rate(spark, sf_dir):
-    return reports.disclosure_rate(Chain(spark, sf_dir).postings)
+    return reports.disclosure_rate(Served(spark, sf_dir).postings)
 
 
 def q_top_skills_family(spark, sf_dir):
-    return reports.top_skills_per_family(Chain(spark, sf_dir).postings)
+    return reports.top_skills_per_family(Served(spark, sf_dir).postings)
 
 
 def q_salary_kpis(spark, sf_dir):
-    return reports.salary_kpis(Chain(spark, sf_dir).salary())
+    return reports.salary_kpis(_stored(spark, sf_dir, "salary_by_role"))
 
 
 def q_salary_box(spark, sf_dir):
-    return reports.salary_box(Chain(spark, sf_dir).salary())
+    return reports.salary_box(_stored(spark, sf_dir, "salary_by_role"))
 
 
 def q_filter_values(spark, sf_dir):
-    c = Chain(spark, sf_dir, stored=True)
-    sal, sk = c.salary(), c.skill_demand()
+    sal, sk = _stored(spark, sf_dir, "salary_by_role"), _stored(spark, sf_dir, "skill_demand")
     return reports.filter_values({
         "role_canonical": (sal, "role_canonical"),
         "seniority": (sal, "seniority"),
@@ -372,7 +386,7 @@ def q_filter_values(spark, sf_dir):
 
 
 def q_labels_lookup(spark, sf_dir):
-    p = Chain(spark, sf_dir).postings
+    p = Served(spark, sf_dir).postings
     g = p.groupBy("role_canonical", "role_family").agg(F.count(F.lit(1)).alias("n_postings"))
     return g.select(
         "role_canonical", reports.role_label(F.col("role_canonical")).alias("role_label"),
@@ -421,7 +435,7 @@ def q_company_top30(spark, sf_dir):
 
 
 def q_company_activity_labelled(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+    c = Served(spark, sf_dir)
     return _named_activity_out(reads.company_activity_named(c.activity(), c.companies, "left"))
 
 
@@ -620,6 +634,28 @@ def q_stream_hourly(spark, sf_dir):
     return spark.read.parquet(base + "/sink")
 
 
+def q_stream_arrivals(spark, sf_dir):
+    """The same windows when the events arrive in three parts, the last one with a row from hours ago.
+
+    The late row lies before the watermark of the batch before it and is
+    dropped; the windows that stay open between two parts are emitted once.
+    """
+    base = scratch_path(spark, "stream_arrivals")
+    events = load(spark, sf_dir, "events")
+    begin, until = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    third = (until - begin) / 3
+    late = events.filter(F.col("ts") == F.lit(begin)).limit(1)
+    parts = [events.filter(F.col("ts") < F.lit(begin + third)),
+             events.filter((F.col("ts") >= F.lit(begin + third)) & (F.col("ts") < F.lit(begin + 2 * third))),
+             events.filter(F.col("ts") >= F.lit(begin + 2 * third)).unionByName(late)]
+    for part in parts:
+        part.write.mode("append").parquet(base + "/in")
+        arrived = _event_records(spark.readStream.schema(events.schema).parquet(base + "/in"))
+        stream.run_to_parquet(stream.hourly_counts(arrived), base + "/sink", base + "/checkpoint",
+                              state_partitions=spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(base + "/sink")
+
+
 HOT_FIELDS = "posting_id string, event_id bigint, role_family string, value double, event_time timestamp"
 
 
@@ -723,6 +759,7 @@ QUERIES = {
     "postings_scan": q_postings_scan,
     "mart_rewrite": q_mart_rewrite,
     "stream_hourly": q_stream_hourly,
+    "stream_arrivals": q_stream_arrivals,
     "stream_hot_upsert": q_stream_hot_upsert,
     "stream_decode": q_stream_decode,
     "recent_postings": q_recent_postings,

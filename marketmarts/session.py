@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -66,9 +68,35 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A new, unique path under the shared root for one run's output."""
-    return os.path.join(shared_root(spark), kind, uuid.uuid4().hex)
+_SCOPES: list[list[str]] = []
+
+
+def scratch_path(spark: SparkSession, kind: str, keep: bool = False) -> str:
+    """A new, unique path under the shared root for one run's output.
+
+    Inside a :func:`scratch_scope` it is removed with the scope, unless ``keep``.
+    """
+    path = os.path.join(shared_root(spark), kind, uuid.uuid4().hex)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the scratch tables that were named inside.
+
+    Frames built inside read from them: they have to be written or collected
+    before the scope ends.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for p in paths:
+            remove(spark, p)
 
 
 def _fs(spark: SparkSession, path: str):

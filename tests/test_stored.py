@@ -158,3 +158,14 @@ def test_company_top_keeps_ties_for_the_names_to_break(spark):
                                       "company_id long, name_canonical string, headcount_band string, industry string")
     assert [r.company_id for r in reads.company_top(activity, companies, n=3).collect()] == [5, 4, 3]
     assert reads.company_top(activity.limit(0), companies, n=3).count() == 0
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from marketmarts.session import path_exists, scratch_path, scratch_scope
+
+    with scratch_scope(spark):
+        inside, kept = scratch_path(spark, "scope"), scratch_path(spark, "scope", keep=True)
+        for p in (inside, kept):
+            spark.range(3).write.parquet(p)
+        assert Q.q_postings_scan(spark, SF_SMALL).count() > 0
+    assert not path_exists(spark, inside) and path_exists(spark, kept)
