@@ -11,15 +11,19 @@ only these are tried.
 The words of the templates are put in the order of their frequency over all
 documents, rarest first.  A template of s different words that needs o of
 them must share one of its first s - o + 1 words with the block (prefix
-filter); if the first shared one stands at place p, at most s - p can be
-shared (positional filter, which these prefixes satisfy by construction); and
-a block needs o template words itself, repeats counted (length filter).  Only
-blocks that hold prefix words and pass it are compared, and every text with a
-block that meets the threshold is found, wherever the block stands.
-
-Templates are a parameter of bounded size, so they stand in the plan as
-literals; the one aggregate that reaches the driver is their words' counts.
-No text is shuffled.  All DataFrame code.
+filter).  Templates are rows, one per prefix word with its place in the order;
+texts give one row per place where some prefix word stands, with the words
+around it, and the two are equi-joined on the word.  Of a pair, the windows
+that hold the place are tried: one needs o template words, repeats counted
+(length filter), and o of the template's words from the prefix word's place in
+the order on (positional filter: the pair stands for the windows whose rarest
+shared word it is); what is left is compared.  Every text with a block that
+meets the threshold is found, wherever the block stands.
+
+One scan counts the templates' words (that bounded list is all that reaches
+the driver), one finds phrases and places.  Texts are not shuffled, only the
+rows of places that meet the threshold.  The templates, a parameter of bounded
+size, are broadcast.  All DataFrame code.
 
 Nulls and ties: a null text counts as empty (no words, no labels, score 0);
 null ids and repeated rows are carried as they stand; an empty table gives an
@@ -30,10 +34,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmarts.llm.common import text_or_empty
+from marketmarts.llm.common import stored, text_or_empty
 
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ on a text whose A-Z are lower-cased already: the class stated by what it holds.
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
@@ -100,33 +104,53 @@ def _places(words: Column, phrase: str) -> Column:
     return F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), here)).otherwise(F.array().cast("array<int>"))
 
 
-def _blocks(words: Column, spots: Column, label: str, template: str, prefix: list[str], threshold: float) -> Column:
-    """Blocks with prefix words that meet the threshold: array<struct<start, label, containment>>."""
-    kinds = sorted(set(template.split()))
-    wide, need = len(template.split()), needed(template, threshold)
-    own = lambda i: F.get(words, i).isin(kinds)
-    near = F.filter(spots, lambda i: F.get(words, i).isin(prefix))
-    starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.filter(
-        F.sequence(F.greatest(F.lit(0), i - 2 * wide + 1), i), own))))
-
-    def enough(i: Column) -> Column:
-        return F.size(F.filter(F.slice(words, i + 1, 2 * wide), lambda w: w.isin(kinds))) >= need
-
-    def compare(i: Column) -> Column:
-        shared = F.size(F.array_intersect(F.slice(words, i + 1, 2 * wide), F.array(*map(F.lit, kinds))))
-        return F.struct(i.alias("start"), F.lit(label).alias("label"), (shared / len(kinds)).alias("containment"))
-
-    return F.filter(F.transform(F.filter(starts, enough), compare),
-                    lambda m: m["containment"] >= (need - 0.5) / len(kinds))
+def template_rows(spark: SparkSession, templates, threshold: float, counts: dict[str, int]) -> DataFrame:
+    """One row per template and prefix word: word, place (in the order), kinds (in the order), wide, need, label."""
+    rows = []
+    for (label, t), prefix in zip(templates, prefixes(templates, threshold, counts)):
+        order = sorted(set(t.split()), key=lambda w: (counts.get(w, 0), w))
+        rows += [(w, k, order, len(t.split()), needed(t, threshold), label) for k, w in enumerate(prefix)]
+    return spark.createDataFrame(rows, "word string, place int, kinds array<string>, wide int, need int, label string")
+
+
+def _spots(words: Column, rare: list[str], reach: int) -> Column:
+    """Places of prefix words: array<struct<at, from, word, near>>; ``near`` are the words less than ``reach`` away, from word ``from``."""
+    def spot(i: Column) -> Column:
+        first = F.greatest(F.lit(0), i - reach + 1)
+        return F.struct(i.alias("at"), first.alias("from"), F.get(words, i).alias("word"),
+                        F.slice(words, first + 1, i - first + reach).alias("near"))
+
+    return F.transform(F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(rare)), spot)
+
+
+def _blocks_of(spots: DataFrame, templates: DataFrame) -> DataFrame:
+    """(id, text_hash, start, label, containment) of every block that meets its template's threshold."""
+    pairs = spots.join(F.broadcast(templates), "word")
+    at = F.col("at") - F.col("from")  # the prefix word's place in ``near``
+    own = lambda i: F.array_contains("kinds", F.get("near", i))
+    starts = F.filter(F.sequence(F.greatest(F.lit(0), at - 2 * F.col("wide") + 1), at), own)
+    window = lambda i: F.slice("near", i + 1, 2 * F.col("wide"))
+    rest = F.slice("kinds", F.col("place") + 1, F.size("kinds"))
+    tried = pairs.select("id", "text_hash", "label", "kinds", "need", F.col("from").alias("first"), rest.alias("rest"),
+                         F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), window(i).alias("block")))).alias("b"))
+    long_enough = F.size(F.filter("b.block", lambda w: F.array_contains("kinds", w))) >= F.col("need")
+    well_placed = F.size(F.array_intersect("b.block", "rest")) >= F.col("need")
+    met = tried.filter(long_enough).filter(well_placed)
+    shared = F.size(F.array_intersect("b.block", "kinds"))
+    return met.select("id", "text_hash", (F.col("first") + F.col("b.i")).alias("start"), "label",
+                      (shared / F.size("kinds")).alias("containment"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None,
          templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: id, n_words, places (array of start and label of the phrases), blocks (array of start, label, containment)."""
+    spark = docs.sparkSession
     phrases = PHRASES if phrases is None else phrases
-    starts = prefixes(templates, threshold, word_counts(docs, text_col, templates)) if templates else []
-    rare = sorted({w for p in starts for w in p})
+    counts = word_counts(docs, text_col, templates) if templates else {}
+    rare = sorted({w for p in prefixes(templates, threshold, counts) for w in p})
+    reach = 2 * max((len(t.split()) for _, t in templates), default=1)
     place_type, block_type = "array<struct<start:int,label:string>>", "array<struct<start:int,label:string,containment:double>>"
+    spot_type = "array<struct<at:int,from:int,word:string,near:array<string>>>"
     lasts = sorted({p.split()[-1] for p in phrases})
 
     def labelled(label: str):
@@ -135,21 +159,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     def all_places(words: Column) -> Column:
         return F.array_sort(F.concat(*[F.transform(_places(words, p), labelled(label)) for p, label in phrases.items()]))
 
-    def all_blocks(words: Column) -> Column:
-        spots = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(rare))
-        return F.transform(F.array(spots), lambda s: F.array_sort(F.concat(
-            *[_blocks(words, s, label, t, p, threshold) for (label, t), p in zip(templates, starts)])))[0]
-
     def found(words: Column) -> Column:
         has = lambda some: F.arrays_overlap(words, F.array(*map(F.lit, some))) if some else F.lit(False)
         return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
             F.coalesce(F.when(has(lasts), all_places(words)), F.array().cast(place_type)).alias("places"),
-            F.coalesce(F.when(has(rare), all_blocks(words)), F.array().cast(block_type)).alias("blocks"))
+            F.when(has(rare), _spots(words, rare, reach)).cast(spot_type).alias("spots"))
 
     # binding by a lambda splits each text into words once
-    return docs.select(F.col(id_col).alias("id"), F.transform(F.array(words_of(text_or_empty(text_col))), found)[0].alias("x")).select(
-        F.col("id").alias(id_col), "x.n_words", "x.places", "x.blocks")
+    text = text_or_empty(text_col)
+    rows = stored(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"),
+                              F.transform(F.array(words_of(text)), found)[0].alias("x"))
+                  .select("id", "text_hash", "x.n_words", "x.places", "x.spots"), "licence-spots")
+    spots = rows.select("id", "text_hash", F.explode("spots").alias("s")).select("id", "text_hash", "s.*")
+    met = _blocks_of(spots, template_rows(spark, templates, threshold, counts)).groupBy(
+        "id", "text_hash", "start", "label").agg(F.max("containment").alias("containment"))
+    blocks = met.groupBy("id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "label", "containment"))).alias("blocks"))
+    blocks = blocks.withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
+    return (rows.join(blocks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+            .select(F.col("id").alias(id_col), "n_words", "places", F.coalesce("blocks", F.array().cast(block_type)).alias("blocks")))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -64,3 +64,54 @@ def test_nearest_recall_and_odd_rows(spark):
         best = p.vec_id[np.argsort(d, kind="stable")[1:11]]
         hit, n = hit + len(set(best) & set(r.v)), n + 10
     assert hit / n >= 0.9
+
+
+def test_every_length_is_indexed_and_asked(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(i, rnd.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, rnd.normal(size=5).tolist()) for i in range(200)]
+    rows += [(2000, [1.0]), (2001, [2.0]), (2100, [1.0] * 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, 10, sample_rows=120, list_rows=16, least=40).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == {0, 100, 200, 1000, 1100, 2000}  # 2100 has no other vector of its length
+    for q, found in got.items():
+        x = np.array(dict(rows)[q])
+        want = sorted((float(np.sqrt(((np.array(v) - x) ** 2).sum())), i) for i, v in rows if i != q and len(v) == len(x))[:10]
+        assert [(k, i) for k, i, _ in sorted(found)] == [(k + 1, i) for k, (_, i) in enumerate(want)]
+
+
+def test_tasks_are_sent_arrays_only():
+    import pickle
+
+    centroids = ann.balanced_centroids(np.random.default_rng(1).normal(size=(200, 6)), 16)
+    sent = pickle.dumps({6: (centroids, ann.centroid_links(centroids))})
+    assert b"marketmarts" not in sent  # nothing an executor would have to import
+
+
+def test_recall_at_the_settings_of_the_query(spark):
+    from marketmarts.llm.queries import op7_ann
+
+    p = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    x = np.array(p.embedding.tolist(), float)
+    got = {}
+    for r in op7_ann(spark, "/root/testdata/sf0.1").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q, found in got.items():
+        d = ((x - x[p.vec_id == q]) ** 2).sum(axis=1)
+        hit += len(set(p.vec_id[np.argsort(d, kind="stable")[1:11]]) & found)
+    assert len(got) == (p.vec_id % 100 == 0).sum() and hit / (10 * len(got)) >= 0.9
+
+
+def test_top_k_of_large_components_is_exact_or_fails(spark):
+    import pytest
+
+    e = "vec_id long, embedding array<double>"
+    big = spark.createDataFrame([(20, [3e7, 1.0]), (6, [2.9e7, 3e7]), (9, [3e7, -3e7])], e)
+    got = [(r.vec_id, r.score) for r in topk.top_k(big, F.col("vec_id") == 20, 2).orderBy("rank").collect()]
+    a, b = 64 * 30_000_000, 64 * 29_000_000
+    assert got == [(9, a * a - 64 * a), (6, a * b + 64 * a)]
+    for x in (1e15, 1e18):
+        with pytest.raises(Exception):
+            topk.top_k(spark.createDataFrame([(20, [x, x]), (6, [x, x])], e), F.col("vec_id") == 20, 2).collect()
