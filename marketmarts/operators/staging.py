@@ -145,12 +145,16 @@ def latest_postings(valid: DataFrame) -> DataFrame:
     at = positions(valid)
     last = valid.join(at.drop("posting_id"), F.col("seq") == F.col("last_seq"))
     # most postings have their hints in their last row; the others fetch them
-    elsewhere = (at.filter(F.col("hint_seq") != F.col("last_seq")).select(F.col("last_seq").alias("_last"), "hint_seq")
+    # (with hints_at, so that both uses of the positions read the same columns and share their exchanges)
+    elsewhere = (at.filter(F.col("hint_seq") != F.col("last_seq"))
+                 .select(F.col("last_seq").alias("_last"), "hint_seq", F.col("hints_at").alias("_at"))
                  .join(valid.select(F.col("seq").alias("_seq"), F.col("skills_raw").alias("_hints")), F.col("hint_seq") == F.col("_seq"))
-                 .select("_last", "_hints"))
+                 .select("_last", "_hints", "_at"))
     both = last.join(elsewhere, F.col("last_seq") == F.col("_last"), "left")
     own = F.col("hint_seq") == F.col("last_seq")
-    rows = company_name_raw(with_defaults(both.withColumn("hints", F.when(own, F.col("skills_raw")).otherwise(F.col("_hints")))))
+    both = both.withColumn("hints", F.when(own, F.col("skills_raw")).otherwise(F.col("_hints"))).withColumn(
+        "hints_at", F.when(own, F.col("hints_at")).otherwise(F.col("_at")))
+    rows = company_name_raw(with_defaults(both))
     return rows.select("posting_id", *_POSTING_FIELDS, "hints", "hints_at")
 
 

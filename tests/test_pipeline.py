@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from marketmarts.operators import checks, staging
 from marketmarts.plans import pipeline, sinks
+from marketmarts.plans import queries as Q
 from marketmarts.session import scratch_path
 from marketmarts.sources.conform import conform_feed
 from marketmarts.sources.feed import posting_feed
@@ -172,3 +173,6 @@ def test_staging_aggregates_positions_without_sorting_rows(spark):
     for df in (staging.raw_postings(valid), staging.companies(valid), staging.postings(valid)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "HashAggregate" in plan
+    latest = staging.latest_postings(Q._written(valid, "valid"))
+    latest.collect()
+    assert "ReusedExchange" in latest._jdf.queryExecution().executedPlan().toString()  # positions are found once
