@@ -19,14 +19,18 @@ enter the result.
 
 Lists of a hot region are dealt into parts of about ``part_rows`` rows, equal
 vectors are indexed once with the ids that can matter, and a task compares
-one part with the queries that read its list.  The centroids (at most
-``max_lists``) and their graph are all that is sent to every task.
+one part with the queries that read its list.  The centroids (about
+``max_lists``) and their links are all that is sent to every task.
+
+Vectors of different lengths have no distance.  Every length has lists of its
+own, in proportion to its share of the sample; a length that the sample does
+not hold has one list, which all its queries read.
 
 Nulls and ties: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows with a null id; repeated rows count
-once; ties go to the smaller id; vectors of another length than the first
-centroid's are left out; with no more than k candidates all are returned; an
-empty table gives an empty result; other columns are ignored.
+once; ties go to the smaller id; candidates of a query are the rows of its
+length; with no more than k candidates all are returned; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,23 +72,27 @@ def balanced_centroids(sample: np.ndarray, lists: int, seed: int = SEED) -> np.n
     return np.array([sample[c].mean(axis=0) for c in cells if len(c)])
 
 
+def centroid_links(centroids: np.ndarray, near: int = 16, far: int = 4, seed: int = SEED) -> list[np.ndarray]:
+    """Per centroid its links: near ones, a few far ones, the next one, and all that link to it."""
+    n = len(centroids)
+    rng = np.random.default_rng(seed)
+    norms = (centroids**2).sum(axis=1)
+    links = []
+    for i in range(n):
+        d = norms - 2 * centroids @ centroids[i]
+        close = np.argsort(d, kind="stable")[:near + 1]
+        links.append(set(close.tolist()) | set(rng.integers(n, size=far).tolist()) | {(i + 1) % n})
+    for i in range(n):
+        for j in list(links[i]):
+            links[j].add(i)
+    return [np.array(sorted(x - {i}), np.int64) for i, x in enumerate(links)]
+
+
 class CentroidGraph:
-    """Centroids with links to near and a few far ones; searched best first."""
-
-    def __init__(self, centroids: np.ndarray, near: int = 16, far: int = 4, seed: int = SEED):
-        self.centroids = centroids
-        n = len(centroids)
-        rng = np.random.default_rng(seed)
-        norms = (centroids**2).sum(axis=1)
-        links = []
-        for i in range(n):
-            d = norms - 2 * centroids @ centroids[i]
-            close = np.argsort(d, kind="stable")[:near + 1]
-            links.append(set(close.tolist()) | set(rng.integers(n, size=far).tolist()) | {(i + 1) % n})
-        for i in range(n):
-            for j in list(links[i]):
-                links[j].add(i)
-        self.links = [np.array(sorted(x - {i}), np.int64) for i, x in enumerate(links)]
+    """Centroids with their links; searched best first.  Built in tasks from the arrays they are sent."""
+
+    def __init__(self, centroids: np.ndarray, links: list[np.ndarray]):
+        self.centroids, self.links = centroids, links
 
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) of about the ``width`` nearest, ascending."""
@@ -143,19 +151,31 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
     n = points.count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sample = points.select("vec").orderBy(F.xxhash64("vec")).limit(sample_rows).toArrow().column("vec").to_pylist()
-    width = len(sample[0])
-    sample = np.array([v for v in sample if len(v) == width])
-    lists = max(1, min(max_lists, len(sample), -(-n // list_rows)))
-    graph = CentroidGraph(balanced_centroids(sample, lists))
-    shared = spark.sparkContext.broadcast(graph)  # at most max_lists centroids with some 40 links each
-    parts = max(1, -(-n * copies // (lists * part_rows)))
+    sample: dict[int, list] = {}
+    for v in points.select("vec").orderBy(F.xxhash64("vec")).limit(sample_rows).toArrow().column("vec").to_pylist():
+        sample.setdefault(len(v), []).append(v)
+    sampled = sum(map(len, sample.values()))
+    arrays = {}
+    for dim, vecs in sample.items():
+        share = len(vecs) / sampled
+        found = balanced_centroids(np.array(vecs), int(max(1, min(-(-max_lists * share // 1), len(vecs), -(-n * share // list_rows)))))
+        arrays[dim] = found, centroid_links(found)
+    shared = spark.sparkContext.broadcast(arrays)  # about max_lists centroids with some 40 links each
+    parts = max(1, -(-n * copies // (sum(len(c) for c, _ in arrays.values()) * part_rows)))
+
+    def graphs() -> dict[int, CentroidGraph]:
+        return {dim: CentroidGraph(*a) for dim, a in shared.value.items()}
 
     def indexed(batches: Batches) -> Batches:
-        g = shared.value
+        by_length = graphs()
         for b in batches:
             where, lists_ = [], []
             for i, v in enumerate(b.column(0)):
+                g = by_length.get(len(v))
+                if g is None:
+                    where.append(i)
+                    lists_.append(0)
+                    continue
                 ids, d = g.search(np.array(v.as_py()), 16)
                 for j in ids[d <= (1 + border) * d[0]][:copies].tolist():
                     where.append(i)
@@ -163,18 +183,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
             t = b.take(pa.array(where, pa.int32()))
             yield pa.RecordBatch.from_arrays([*t.columns, pa.array(lists_, pa.int32())], names=["vec", "ids", "list"])
 
-    usable = points.filter(F.size("vec") == width)
-    postings = stored(usable.mapInArrow(indexed, "vec array<double>, ids array<bigint>, list int"), "ann-lists")
-    held = np.zeros(len(graph.centroids), np.int64)
-    for r in postings.groupBy("list").count().collect():  # one row per list
-        held[r["list"]] = r["count"]
+    dim = F.size("vec").alias("dim")
+    postings = stored(points.mapInArrow(indexed, "vec array<double>, ids array<bigint>, list int").select("*", dim), "ann-lists")
+    held = {k: np.zeros(len(c), np.int64) for k, (c, _) in arrays.items()}
+    for r in postings.filter(F.col("dim").isin(list(held))).groupBy("dim", "list").count().collect():  # one row per list
+        held[r["dim"]][r["list"]] = r["count"]
     sizes = spark.sparkContext.broadcast(held)
 
     def probes(batches: Batches) -> Batches:
-        g, size = shared.value, sizes.value
+        by_length = graphs()
         for b in batches:
             where, lists_, early = [], [], []
             for i, v in enumerate(b.column(0)):
+                g, size = by_length.get(len(v)), sizes.value.get(len(v))
+                if g is None:
+                    where.append(i)
+                    lists_.append(0)
+                    early.append(True)
+                    continue
                 x = np.array(v.as_py())
                 ids, _ = g.reached(x, reach)
                 wide = len(ids)
@@ -187,9 +213,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(where, pa.int32())), pa.array(lists_, pa.int32()),
                                               pa.array(early, pa.bool_())], names=["vec", "list", "early"])
 
-    asked = rows.filter(F.col("asks") & (F.size("vec") == width)).select("id", "vec").distinct()
-    asking = stored(asked.select("vec").distinct().mapInArrow(probes, "vec array<double>, list int, early boolean"),
-                    "ann-asking")
+    asked = rows.filter("asks").select("id", "vec").distinct()
+    asking = stored(asked.select("vec").distinct().mapInArrow(probes, "vec array<double>, list int, early boolean")
+                    .select("*", dim), "ann-asking")
     dealt = postings.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(parts)).cast("int"))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -208,8 +234,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
                          "score": pa.array(out_s, pa.float64())})
 
     def hits(some: DataFrame) -> DataFrame:
-        each = some.select("vec", "list", "bound", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        return each.groupBy("list", "part").cogroup(dealt.groupBy("list", "part")).applyInArrow(
+        each = some.select("vec", "dim", "list", "bound", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        key = ["dim", "list", "part"]
+        return each.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(
             compare, "q array<double>, vec_id bigint, score double").distinct()
 
     no_bound = F.lit(float("inf"))
