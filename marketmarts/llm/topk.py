@@ -19,7 +19,8 @@ all it emits are k + 1 rows per query and block.
 Nulls and ties: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows with a null id; equal vectors are scored
 once and share the result; repeated rows count once; a query meets only
-vectors of its own length; with fewer than k candidates all are returned; an
+vectors of its own length; with fewer than k candidates all are returned;
+scores are exact, and a score or component beyond 64 bits fails the job; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -88,6 +89,8 @@ class SortedLists:
                 for j, q in zip(np.flatnonzero(few), reading[settled][few]):
                     whole[q] = (np.flatnonzero(alive[:, j]), None)
                 reading = np.setdiff1d(reading, reading[settled][few], assume_unique=True)
+        if span >= 1 << 62:  # beyond 64-bit sums: Python's integers, and a score that is no bigint fails the job
+            return [(rows, self.x[rows].astype(object) @ q.astype(object)) for (rows, _), q in zip(whole, queries)]
         return [(rows, self.x[rows] @ q) for (rows, _), q in zip(whole, queries)]
 
 
@@ -99,7 +102,9 @@ def _deal(rows: DataFrame, name: str, per_block: int) -> tuple[DataFrame, int]:
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
           scale: int = SCALE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best other rows of every query row."""
-    grid = F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
+    too_large = F.raise_error(F.lit(f"a component times {scale} reaches 2^62")).cast("bigint")
+    grid = F.transform(F.col(vec_col), lambda x: F.when(F.abs(x.cast("double") * scale) >= 2.0**62, too_large).otherwise(
+        F.floor(x.cast("double") * scale)))
     rows = stored(vectors.filter(F.col(id_col).isNotNull() & finite(F.col(vec_col))).select(
         F.col(id_col).cast("bigint").alias("id"), grid.alias("vec"), is_query.alias("asks")), "topk-rows")
     asked = stored(rows.filter("asks").select("id", "vec").distinct(), "topk-queries")
