@@ -9,13 +9,14 @@ logistic of the intercept plus one table entry per feature and pair, looked
 up for a whole Arrow batch at once.
 
 The model is fitted on the driver on a bounded sample: the features of at
-most ``max_rows`` labelled rows (those with the smallest hash of their id).
+most ``max_rows`` labelled rows (those with the smallest hash of their id, however
+often an id stands).
 Everything else covers all rows.
 
 Nulls and ties: a null text counts as empty and gets the score of an empty
 text; rows without a label, or with a label that is not 0 or 1, teach
 nothing; repeated labels of an id count as often as they stand; a null id is
-held in (its crc32 is that of an empty string) and scored like any other;
+held out (it has no crc32) and scored like any other;
 without any labels every score is 0.5; an empty table gives an empty result;
 other columns are ignored.
 """
@@ -200,7 +201,7 @@ def held_out(id_col: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, **how) -> Model:
-    """Fit on the features of at most ``max_rows`` labelled rows outside the held-out fold."""
+    """Fit on the features of at most ``max_rows`` labelled rows outside the held-out fold, in the order of their ids' hashes."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
              .filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id")))
              .orderBy(F.xxhash64("id"), "id", "y").limit(max_rows))
@@ -214,7 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [b.column("id").cast(pa.string()), b.column("y").cast(pa.float64()), *(pa.array(c) for c in x.T)],
                 names=["id", "y", *FEATURES])
 
-    sample = rows.mapInArrow(run, "id string, y double, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
+    # an id can stand on any number of rows: the bound holds for what reaches the driver
+    order = [F.xxhash64("id"), "id", "y", *FEATURES]
+    sample = (rows.mapInArrow(run, "id string, y double, " + ", ".join(f"{f} double" for f in FEATURES))
+              .orderBy(*order).limit(max_rows).toArrow())
     table = sample.sort_by([(c, "ascending") for c in ("id", "y", *FEATURES)])
     x = np.column_stack([table.column(f).to_numpy() for f in FEATURES]) if len(table) else np.empty((0, len(FEATURES)))
     return fit(x, table.column("y").to_numpy(), **how)
