@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmarts.llm.common import field_type, stored
@@ -214,10 +214,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one document per component: the one with the smallest id.
 
-    Rows that repeat an id and its text count as one document.  Of a component
-    with null ids only, one row with a null id per different text remains.
+    Rows that repeat an id and its text count as one document, whose row is
+    the one of smallest hash, the same in every run.  Of a component with
+    null ids only, one row with a null id per different text remains.
     """
     kept = (simhash_components(docs, id_col, text_col, shingle)
             .filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct())
+    same = Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*docs.columns))
     return (docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-            .dropDuplicates([id_col, text_col]))
+            .withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").select(*docs.columns))
