@@ -1,21 +1,24 @@
 """Chat formatting with prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all preceding turns are
-its context and only that reply is trainable.  The examples of a conversation
-share their beginnings, so they are kept as the turns' formatted pieces plus
-one row of offsets per example: example k is the text of the conversation up
-to ``end``, its loss mask is [``loss_start``, ``loss_end``).  This grows with
-the input; whole example texts grow with the square of a conversation's
-length, and ``example_texts`` writes them out for those who want them.
+its context and only that reply is trainable.  ``pieces`` formats each turn
+once, with its place in the conversation's text; ``expand`` explodes them into
+whole examples: example k is the text of the conversation up to the end of its
+reply, its loss mask is [``loss_start``, ``loss_end``).  ``read_back`` takes
+roles, texts, masks and lengths from the examples alone.
+
+Example texts grow with the square of a conversation's length.  They are made
+and read in a stream, so what is stored and shuffled is the pieces.
 
 A turn reads ``### role\\n`` + text + ``</turn>\\n``.  In texts and roles the
 escape character, every ``#`` and every ``</`` are escaped (``\\\\``, ``\\#``,
 ``<\\/``; a line break in a role is ``\\n``), so no control string can occur
 inside a turn and unescaping gives back exactly what stood there.
 
-Rows are dealt by conversation, sorted by turn and streamed: a task holds one
-Arrow batch and running offsets or hash states, never a whole conversation.
-One conversation passes through one task because its digest is sequential.
+Rows are dealt by conversation, sorted by turn and streamed: a task holds the
+text of one conversation so far, an Arrow batch of examples of about
+``BATCH_CHARS`` characters, and running hash states.  One conversation passes
+through one task because its digest is sequential.
 
 Nulls and ties: a null text or role counts as empty; a null turn comes first
 and rows that tie on the turn follow by role, then text; repeated rows are
@@ -38,6 +41,7 @@ from marketmarts.llm.common import field_type
 
 OPEN, CLOSE = "### ", "</turn>\n"
 TARGET = "assistant"
+BATCH_CHARS = 1 << 22
 #: One turn: a header line, then escaped text up to the closing string.
 TURN = re.compile(r"### ([^\n]*)\n(.*?)</turn>\n", re.S)
 
@@ -89,25 +93,61 @@ def pieces(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", ro
                                 "example bigint, loss_start bigint, loss_end bigint")
 
 
-def example_texts(formatted: DataFrame) -> DataFrame:
-    """(id, example, text, loss_start, loss_end): every example written out with its whole context."""
-    targets = formatted.filter("example is not null").select("id", "example", F.col("place").alias("last"), "loss_start", "loss_end")
-    context = formatted.select(F.col("id").alias("_id"), "place", "piece")
-    both = targets.join(context, F.col("id").eqNullSafe(F.col("_id")) & (F.col("place") <= F.col("last")))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "piece"))), lambda p: p["piece"]), "")
-    return both.groupBy("id", "example", "loss_start", "loss_end").agg(whole.alias("text")).select(
-        "id", "example", "text", "loss_start", "loss_end")
+def expand(formatted: DataFrame) -> DataFrame:
+    """(id, example, text, loss_start, loss_end): every example with its whole context, in order within a conversation.
+
+    Turns after the last target are no part of any example; they follow as
+    one row without example number and mask, whose text is theirs alone.
+    """
+    rows = formatted.repartition("id").sortWithinPartitions("id", "place")
+    kind = field_type(formatted, "id")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, begun, text, fresh = None, False, "", []
+        out: list[tuple] = []
+        chars = 0
 
-def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Per conversation, from the formatted pieces alone: turn count and digest, loss length and digest, formatted length.
+        def flush() -> pa.RecordBatch:
+            kinds = [id_type, pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                              names=["id", "example", "text", "loss_start", "loss_end"])
+
+        id_type = None
+        for b in batches:
+            id_type = b.schema.field(0).type
+            for i, piece, example, start, stop in zip(*(b.column(c).to_pylist() for c in (
+                    "id", "piece", "example", "loss_start", "loss_end"))):
+                if not begun or i != now:
+                    if fresh:
+                        out.append((now, None, "".join(fresh), None, None))
+                    now, begun, text, fresh = i, True, "", []
+                fresh.append(piece)
+                if example is not None:
+                    text += "".join(fresh)
+                    fresh = []
+                    out.append((i, example, text, start, stop))
+                    chars += len(text)
+                    if chars >= BATCH_CHARS:
+                        yield flush()
+                        out, chars = [], 0
+        if fresh:
+            out.append((now, None, "".join(fresh), None, None))
+        if out:
+            yield flush()
+
+    return rows.mapInArrow(run, f"id {kind}, example bigint, text string, loss_start bigint, loss_end bigint")
+
+
+def read_back(examples: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """Per conversation, from the rows of ``expand`` alone: turn count and digest, loss length and digest, formatted length.
 
     formatted_chars is the length of all examples, each with its context.
+    An example that does not go on from the one before it fails the job.
     """
-    rows = formatted.repartition("id").sortWithinPartitions("id", "place")
+    kind = field_type(examples, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
+        now, state, before = None, None, ""
 
         def row(i, s) -> dict:
             return {"id": i, "n_turns": s[0], "turns_sha256": s[1].hexdigest(), "loss_chars": s[2],
@@ -118,26 +158,32 @@ def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
             schema = pa.schema([("id", b.schema.field(0).type), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                                 ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
             out = []
-            for i, piece, begin, end, start, stop in zip(*(b.column(c).to_pylist() for c in (
-                    "id", "piece", "begin", "end", "loss_start", "loss_end"))):
+            for i, example, text, start, stop in zip(*(c.to_pylist() for c in b.columns)):
                 if state is None or i != now:
                     if state is not None:
                         out.append(row(now, state))
-                    now, state = i, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                turn = TURN.fullmatch(piece)
-                role, text = map(unescape, turn.groups())
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                if start is not None:
-                    reply = unescape(piece[start - begin:stop - begin])
+                    now, state, before = i, [0, hashlib.sha256(), 0, hashlib.sha256(), 0], ""
+                at = 0
+                if example is not None:
+                    if not text.startswith(before):
+                        raise ValueError("an example without the context of the one before it")
+                    at, before = len(before), text
+                while at < len(text):
+                    turn = TURN.match(text, at)
+                    role, said = map(unescape, turn.groups())
+                    state[0] += 1
+                    state[1].update(f"{role}\n{said}\n".encode())
+                    at = turn.end()
+                if example is not None:
+                    reply = unescape(text[start:stop])
                     state[2] += len(reply)
                     state[3].update(reply.encode())
-                    state[4] += end
+                    state[4] += len(text)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
         if state is not None:
             yield pa.RecordBatch.from_pylist([row(now, state)], schema=schema)
 
-    kind = field_type(formatted, "id")
-    return rows.mapInArrow(run, f"id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-                                "formatted_chars bigint").withColumnRenamed("id", id_col)
+    # the rows of a conversation stand in one partition, in order, as ``expand`` leaves them
+    return examples.mapInArrow(run, f"id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+                                    "formatted_chars bigint").withColumnRenamed("id", id_col)
