@@ -18,10 +18,13 @@ only more chunks, and a task holds one chunk plus the words of one bucket
 merely encoded again).
 
 Decoding joins the token-byte table, which has one entry per token of the
-vocabulary and is broadcast.  ``decoded`` meets it in each Arrow batch: ids are
-positions in the table, so the join is a gather, and a row's ids stay in order
-without a shuffle.  ``decode`` is the same join with one row per id, for plans
-that need it as a DataFrame join.
+vocabulary and is broadcast.  ``Decoder`` meets it row by row: ids are positions
+in the table, so the join is a gather, and a row's ids stay in order without a
+shuffle.  ``decoded`` runs it over any table of ids, ``encode`` with ``digests``
+in the task that has put a row's ids together (a second worker for it in the
+same stage would need the memory of one more batch of ids on every core).
+``decode`` is the same join with one row per id, for plans that need it as a
+DataFrame join.
 
 Nulls and ties: a null text counts as empty and has no ids; null ids and
 repeated rows are carried as they stand; a text of any length is one document
@@ -215,9 +218,29 @@ def _encode_lists(ranks, memory_words: int):
     return run
 
 
+class Decoder:
+    """The token-byte table, met by the ids of one row after another."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.spell = {r: token for token, r in ranks.items()}
+        self.name = {r: b"%d" % r for r in self.spell}
+
+    def text(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.spell.__getitem__, ids))
+
+    def digests(self, ids: list[int]) -> tuple[int, str, str]:
+        """Number of ids, digest of the decimal ids joined by commas, digest of the decoded bytes."""
+        listed = b",".join(map(self.name.__getitem__, ids))
+        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(self.text(ids)).hexdigest()
+
+
+_DIGESTS = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+_DIGEST_SHAPE = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk_chars: int = CHUNK_CHARS, memory_words: int = MEMORY_WORDS) -> DataFrame:
-    """(id, ids array<int>) per row."""
+           chunk_chars: int = CHUNK_CHARS, memory_words: int = MEMORY_WORDS, digests: bool = False) -> DataFrame:
+    """(id, ids array<int>) per row; with ``digests`` the ids are decoded again and give n_tokens, ids_sha256, decoded_sha256."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(ranks)  # the vocabulary: some 50,000 entries
@@ -237,17 +260,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         word_ids = [next(each[b]) for b in of.tolist()]
         positions = _unpacked_numbers(row["positions"])
         ids = pa.ipc.open_stream(row["docs"]).read_all().column("id")
+        decoder = Decoder(shared.value) if digests else None
         out, begin = [], 0
         for n in _unpacked_numbers(row["lengths"]).tolist():
-            out.append(b"".join(map(word_ids.__getitem__, positions[begin:begin + n].tolist())))
+            one = b"".join(map(word_ids.__getitem__, positions[begin:begin + n].tolist()))
+            out.append(decoder.digests(np.frombuffer(one, width).tolist()) if digests else one)
             begin += n
+        if digests:
+            return pa.table({"id": ids, **{name: pa.array([x[k] for x in out], kind) for k, (name, kind) in enumerate(_DIGESTS)}})
         size = np.dtype(width).itemsize
         stops = np.cumsum([0, *(len(x) // size for x in out)], dtype=np.int32)
         flat = np.frombuffer(b"".join(out), width).astype(np.int32)
         return pa.table({"id": ids, "ids": pa.ListArray.from_arrays(pa.array(stops), pa.array(flat))})
 
     both = chunks.drop("lists").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        reassemble, f"id {id_type}, ids array<int>")
+        reassemble, f"id {id_type}, {_DIGEST_SHAPE if digests else 'ids array<int>'}")
     return both.withColumnRenamed("id", id_col)
 
 
@@ -261,21 +288,17 @@ def decoded(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id",
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: some 50,000 entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = {r: token for token, r in shared.value.items()}
-        name = {r: b"%d" % r for r in spell}
+        decoder = Decoder(shared.value)
         for b in batches:
             out = []
             for row in b.column(1):
                 ids = row.values.to_numpy(zero_copy_only=False).tolist() if row.is_valid else []
-                text = b"".join(map(spell.__getitem__, ids))
-                out.append((len(ids), hashlib.sha256(b",".join(map(name.__getitem__, ids))).hexdigest(),
-                            hashlib.sha256(text).hexdigest()) if digests else (text,))
+                out.append(decoder.digests(ids) if digests else (decoder.text(ids),))
             columns = [pa.array([x[k] for x in out], kind) for k, (_, kind) in enumerate(fields)]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", *(n for n, _ in fields)])
 
-    fields = ([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests
-              else [("decoded", pa.binary())])
-    shape = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "decoded binary"
+    fields = _DIGESTS if digests else [("decoded", pa.binary())]
+    shape = _DIGEST_SHAPE if digests else "decoded binary"
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(run, f"id {field_type(rows, 'id')}, {shape}").withColumnRenamed("id", id_col)
 

@@ -23,7 +23,7 @@ ODD_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant"
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.createDataFrame(ODD_TURNS, "conv_id bigint, turn bigint, role string, text string")
-    return chat.read_back(chat.pieces(turns.unionByName(odd)))
+    return chat.read_back(chat.expand(chat.pieces(turns.unionByName(odd))))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.decoded(bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks, digests=True)
+    return bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,8 @@ def test_encode_and_decode(spark, odd_docs, no_docs):
         want.append(f"Row(doc_id={r.doc_id}, n_tokens={len(ids)}, ids_sha256='{hashlib.sha256(listed).hexdigest()}', "
                     f"decoded_sha256='{hashlib.sha256(text).hexdigest()}')")
     assert got == sorted(want)
+    assert sorted(map(str, bpe.encode(odd_docs, RANKS, P.PATTERN, digests=True).collect())) == got
+    assert bpe.encode(no_docs, RANKS, P.PATTERN, digests=True).count() == 0
     assert bpe.decoded(bpe.encode(no_docs, RANKS, P.PATTERN), RANKS, digests=True).count() == 0
     plain = bpe.decoded(spark.createDataFrame([(1, [1, 2]), (2, None)], "doc_id int, ids array<int>"), RANKS).collect()
     spell = {r: t for t, r in RANKS.items()}
@@ -369,15 +371,24 @@ def test_quality_on_held_out_labels(spark, odd_docs, no_docs):
 def test_chat_examples_and_odd_rows(spark):
     rows = [(1, 0, "system", "be # nice\\"), (1, 1, "user", "a </turn> b"), (1, 2, "assistant", "### user\n"), (1, 3, "user", None),
             (1, 4, "assistant", "two"), (1, 4, "assistant", "two"), (2, None, None, "x"), (None, 1, "assistant", "n"), (3, 0, "we\nird", "\\n")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnsRenamed({})
-    made = chat.pieces(df)
-    full = {(r.id, r.example): r for r in chat.example_texts(made).collect()}
+    clash = "conv_id long, turn long, role string, text string, id string, piece string, example int, head string"
+    df = spark.createDataFrame([(*r, "x", "y", 7, None) for r in rows], clash)
+    made = chat.expand(chat.pieces(df))
+    full = {(r.id, r.example): r for r in made.collect()}
     assert full[(1, 1)].text[full[(1, 1)].loss_start:full[(1, 1)].loss_end] == "\\#\\#\\# user\n"
     assert full[(1, 3)].text.startswith(full[(1, 1)].text) and (2, 1) not in full
+    assert full[(2, None)].text == "### \nx</turn>\n" and full[(2, None)].loss_start is None
     back = {r.conv_id: r for r in chat.read_back(made).collect()}
     assert back[1].n_turns == 6 and back[2].loss_chars == 0 and back[None].loss_chars == 1
     for c in (1, 2, 3, None):
         whole = "".join(f"{r or ''}\n{t or ''}\n" for i, _, r, t in rows if i == c)
         assert back[c].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
-    assert back[1].formatted_chars == sum(len(r.text) for (c, _), r in full.items() if c == 1)
-    assert chat.read_back(chat.pieces(df.limit(0))).count() == 0
+    assert back[1].formatted_chars == sum(len(r.text) for (c, k), r in full.items() if c == 1 and k)
+    assert chat.read_back(chat.expand(chat.pieces(df.limit(0)))).count() == 0
+    # many turns, long texts, examples over several Arrow batches
+    long = [(5, t, "assistant" if t % 2 else "user", "#</" * (3 * t) + "z" * (200000 if t == 7 else 1)) for t in range(60)]
+    (got,) = chat.read_back(chat.expand(chat.pieces(spark.createDataFrame(long, "conv_id long, turn long, role string, text string")))).collect()
+    assert got.n_turns == 60 and got.loss_sha256 == hashlib.sha256("".join(x for *_, r, x in long if r == "assistant").encode()).hexdigest()
+    cut = chat.expand(chat.pieces(df)).filter("id = 1").orderBy(F.desc("example"))
+    with pytest.raises(Exception, match="without the context"):
+        chat.read_back(cut.coalesce(1)).collect()
