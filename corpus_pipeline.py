@@ -44,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every text, encoded and decoded again."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.decoded(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, digests=True)
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, digests=True)
 
 
 def with_length(before: DataFrame, after: DataFrame) -> DataFrame:
