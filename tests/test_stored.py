@@ -169,3 +169,18 @@ def test_scratch_tables_go_with_their_scope(spark):
             spark.range(3).write.parquet(p)
         assert Q.q_postings_scan(spark, SF_SMALL).count() > 0
     assert not path_exists(spark, inside) and path_exists(spark, kept)
+
+
+def test_merging_frames_equals_one_run(spark):
+    valid = Q._written(staging.required_fields(posting_feed(spark, SF_SMALL)), "valid")
+    a, b = valid.filter("seq <= 700"), valid.filter("seq > 700")
+    rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    assert rows(merge.merge_raw(staging.raw_postings(a), staging.raw_postings(b))) == rows(staging.raw_postings(valid))
+    for order in staging.ORDERS:
+        old, new = staging.companies(a, order), staging.companies(b, order)
+        assert rows(merge.merge_companies(old, new, order)) == rows(staging.companies(valid, order))
+    assert merge.new_companies(old, new).count() == staging.companies(valid).count() - old.count()
+    later = staging.postings(b, stored_raw=staging.raw_postings(a))
+    assert rows(merge.merge_postings(staging.postings(a), later)) == rows(staging.postings(valid))
+    with pytest.raises(ValueError):
+        merge.merge_companies(old, new, "newest")
