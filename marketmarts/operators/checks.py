@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import FOREIGN_KEYS, TABLE_RULES
+from ..schemas import FOREIGN_KEYS, TABLE_RULES, checked_columns
 
 
 def not_null_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, column_name, n_nulls) for every required column; one scan per table."""
+    """(table_name, column_name, n_nulls) for every required column and every time; one scan per table."""
     parts = []
     for name, df in tables.items():
-        req = [c for c, (_, required) in TABLE_RULES[name]["columns"].items() if required and c in df.columns]
+        req = [c for c in checked_columns(name) if c in df.columns]
         if not req:
             continue
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in req])

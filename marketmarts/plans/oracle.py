@@ -265,9 +265,9 @@ def _pct_outputs(quantiles_names) -> str:
     return ", ".join(f"p.q{i} AS {n}" for i, n in enumerate(quantiles_names))
 
 
-# Required (NOT NULL) columns per table, as (table, column, oracle CTE, oracle expression).
+# Checked columns per table (required ones and times), as (table, column, oracle CTE, oracle expression).
 def _not_null_rows():
-    from ..schemas import TABLE_RULES
+    from ..schemas import TABLE_RULES, checked_columns
     cte = {"raw_postings": "raw", "companies": "companies", "postings": "postings",
            "salary_by_role": "salary_cells", "skill_demand": "skill_demand", "company_activity": "activity"}
     alias = {
@@ -277,10 +277,9 @@ def _not_null_rows():
         ("company_activity", "company_id"): "name_canonical",
     }
     rows = []
-    for t, rule in TABLE_RULES.items():
-        for c, (_, req) in rule["columns"].items():
-            if req:
-                rows.append((t, c, cte[t], alias.get((t, c), c)))
+    for t in TABLE_RULES:
+        for c in checked_columns(t):
+            rows.append((t, c, cte[t], alias.get((t, c), c)))
     return rows
 
 
