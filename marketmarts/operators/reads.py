@@ -27,6 +27,7 @@ from ..functions.fixed_values import (
     SEARCH_LIMIT,
     SKILLS_TOP_N_SLIDER,
 )
+from .staging import LARGE
 
 
 def _bounded(name: str, value: int, lo: int, hi: int) -> int:
@@ -80,7 +81,7 @@ def skills_top_n(skills: DataFrame, role_family: str, top_n: int = SKILLS_TOP_N_
 
 def company_activity_named(activity: DataFrame, companies: DataFrame, how: str = "inner") -> DataFrame:
     """Activity rows with the company's name, band and industry (J3 inner / J4 left)."""
-    c = companies.select("company_id", "name_canonical", "headcount_band", "industry")
+    c = companies.select("company_id", "name_canonical", "headcount_band", "industry").hint(LARGE)
     return activity.join(c, "company_id", how)
 
 
